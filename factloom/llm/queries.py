@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import packing
+from . import packing, quality, secrets
 from .common import read_table
 
 
@@ -21,8 +21,18 @@ def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(read_table(spark, sf_dir, "documents"), tokenizer_path())
 
 
+def op9_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.scan(read_table(spark, sf_dir, "documents"))
+
+
+def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.judge(read_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": op1_packing,
+    "op9_secret_scans": op9_secret_scans,
+    "op10_quality_rules": op10_quality_rules,
 }
 
 ORACLE_SQL: dict[str, str] = {}
