@@ -9,7 +9,7 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute  # noqa: F401
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 
 MASK = (1 << 64) - 1
@@ -55,22 +55,40 @@ def _remove(spark: SparkSession, path: str) -> None:
         return
 
 
-def slices(batches: Iterable[pa.RecordBatch], column: str, limit: int = 4_000_000) -> Iterator[tuple[pa.RecordBatch, list[str]]]:
+def slices(batches: Iterable[pa.RecordBatch], column: str, limit: int = 4_000_000) -> Iterator[tuple[pa.RecordBatch, pa.StringArray]]:
     """Parts of the batches with about limit bytes of text each, and their texts (null: empty).
 
     Every row is in exactly one part; a text that is longer than the limit is a part of its own.
     """
     for batch in batches:
-        texts = batch.column(batch.schema.get_field_index(column))
-        sizes = np.cumsum(np.asarray(pa.compute.fill_null(pa.compute.binary_length(texts), 0).to_numpy(zero_copy_only=False), dtype=np.int64))
+        texts = pc.fill_null(batch.column(batch.schema.get_field_index(column)), "")
+        sizes = np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False).astype(np.int64))
         start = 0
         while start < batch.num_rows:
             base = sizes[start - 1] if start else 0
             end = max(start + 1, int(np.searchsorted(sizes, base + limit, side="right")))
-            yield batch.slice(start, end - start), [t or "" for t in texts.slice(start, end - start).to_pylist()]
+            yield batch.slice(start, end - start), texts.slice(start, end - start)
             start = end
 
 
+def words_of(texts: pa.StringArray) -> tuple[np.ndarray, np.ndarray, pa.StringArray]:
+    """The texts' words (runs without ASCII white space) as numbers: codes, each text's word count, the distinct words.
+
+    Splitting and numbering run in Arrow's compiled code, so that Python sees
+    each distinct word of a part once and not each occurrence.
+    """
+    lists = pc.ascii_split_whitespace(texts)
+    ends = lists.offsets.to_numpy().astype(np.int64)
+    flat = lists.values.slice(ends[0], ends[-1] - ends[0]).dictionary_encode()
+    codes, distinct, ends = flat.indices.to_numpy(), flat.dictionary, ends - ends[0]
+    blank = pc.index(distinct, pa.scalar("", distinct.type)).as_py()
+    if blank >= 0:  # white space at a text's edge leaves empty words
+        full = codes != blank
+        ends = np.concatenate([[0], np.cumsum(full)])[ends]
+        codes = codes[full]
+    return codes, np.diff(ends), distinct
+
+
 def mix(x: np.ndarray, seed: int = 0) -> np.ndarray:
     """A 64-bit finaliser (xor-shift and multiply) over an array of uint64."""
     x = x + np.uint64((seed * 0x9E3779B97F4A7C15 + 0x632BE59BD9B4E019) & MASK)

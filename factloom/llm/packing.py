@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -12,24 +13,35 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import slices
+from .common import slices, words_of
 
 WINDOW = 4096
 END_ID = 2
 #: Documents a packing group holds on average: enough that its last windows, which alone stay part empty, hardly count.
 DOCS_PER_GROUP = 16_384
 #: Entries of one generation of a worker's cache of encoded words.
-CACHED_WORDS = 400_000
+CACHED_WORDS = 500_000
+
+#: Punctuation at a word's end that the tokenizer separates from letters; no apostrophe, which it may join to them.
+_CLOSING = "!\"#$%&()*+,-./:;=?@[]^_`{}~"
+
+#: Bytes of text that are split into words at once.
+SLICE = 16_000_000
 
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, pack_group long"
 PACKED = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, sequence_tokens long, padded_to long"
 
 
+def _plain(word: str) -> bool:
+    """Only letters whose lower case is one letter, which normal forms don't change."""
+    return word.isalpha() and max(word) < "\u0130"
+
+
 class WordEncoder:
     """Encodes texts word by word and remembers the words' ids as little-endian bytes.
 
-    The tokenizer never joins what a blank or a line feed separates, so a text's
-    ids are those of its words, one after the other. Two generations of the
+    The tokenizer never joins what white space separates, so a text's ids are
+    those of its words, one after the other. Two generations of the
     cache bound its memory: when the young one is full it becomes the old one.
     """
 
@@ -37,46 +49,77 @@ class WordEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer, self.cached = Tokenizer.from_file(path), cached
-        self.young: dict[str, bytes] = {"": b""}
+        self.young: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
-
-    def _raw(self, words: list[str]) -> None:
-        got = self.tokenizer.encode_batch_fast(words, add_special_tokens=False)
-        self.young.update((w, np.array(e.ids, dtype="<u4").tobytes()) for w, e in zip(words, got, strict=True))
-
-    @staticmethod
-    def _parts(word: str) -> tuple[str, str]:
-        """The letters and a closing comma or full stop, which the tokenizer also separates.
-
-        Only ASCII letters are lower-cased here and only a plain last letter is cut
-        off: the others' case mapping may add marks that join the punctuation.
+        self.suffix = getattr(self.tokenizer.model, "end_of_word_suffix", None)
+        self.ends = np.zeros(self.tokenizer.get_vocab_size(), bool)
+        if self.suffix:
+            self.ends[[i for token, i in self.tokenizer.get_vocab().items() if token.endswith(self.suffix)]] = True
+
+    def encode(self, texts: pa.StringArray) -> tuple[memoryview, np.ndarray]:
+        """The ids of all texts, one after the other, as unsigned 32-bit little-endian bytes, and each text's number of ids."""
+        codes, counts, distinct = words_of(texts)
+        young, words = self.young, distinct.to_pylist()
+        found = list(map(young.get, words))
+        if missing := [w for w, ids in zip(words, found, strict=True) if ids is None]:
+            self._learn(missing)
+            found = [young[w] if ids is None else ids for w, ids in zip(words, found, strict=True)]
+        if len(young) > self.cached:
+            self.old, self.young = young, {}
+        joined = pa.array(found, pa.large_binary()).take(pa.array(codes))
+        ends = np.frombuffer(joined.buffers()[1], np.int64, len(codes) + 1)[np.concatenate([[0], np.cumsum(counts)])] if len(codes) else np.zeros(len(counts) + 1, np.int64)
+        return memoryview(joined.buffers()[2] or b""), np.diff(ends) // 4
+
+    def _learn(self, words: list[str]) -> None:
+        """Puts the words into the young generation, from the old one where it has them.
+
+        A word is looked at as letters with closing punctuation, which the
+        tokenizer separates too. Only a plain last letter is cut off, and only
+        plain letters are lower-cased here: the others' case mapping may add
+        marks that join the punctuation.
         """
-        head, tail = word, ""
-        if len(word) > 1 and word[-1] in ",." and word[:-1].isalpha() and word[-2] < "İ":
-            head, tail = word[:-1], word[-1]
-        return (head.lower() if head.isascii() and head.isalpha() else head), tail
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        """Each text's ids as unsigned 32-bit little-endian bytes."""
-        split = [t.replace("\n", " ").split(" ") for t in texts]
         young, old = self.young, self.old
-        missing = set().union(*split).difference(young)
-        for w in [w for w in missing if w in old]:
-            young[w] = old[w]
-            missing.discard(w)
-        parts = {w: self._parts(w) for w in missing}
-        heads = {p for pair in parts.values() for p in pair}.difference(young)
-        for w in [w for w in heads if w in old]:
-            young[w] = old[w]
-            heads.discard(w)
-        if heads:
-            self._raw(list(heads))
-        for w, (head, tail) in parts.items():
-            young[w] = young[head] + young[tail]
-        out = [b"".join(map(young.__getitem__, words)) for words in split]
-        if len(young) > self.cached:
-            self.old, self.young = young, {"": b""}
-        return out
+        parts, heads = [], set()
+        for w in words:
+            if (ids := old.get(w)) is not None:
+                young[w] = ids
+                continue
+            head = w.rstrip(_CLOSING)
+            if head and head is not w and head.isalpha() and head[-1] < "\u0130":
+                tail = w[len(head) :]
+                heads.add(tail)
+            else:
+                head, tail = w, ""
+            if _plain(head):
+                head = head.lower()
+            heads.add(head)
+            parts.append((w, head, tail))
+        fresh = []
+        for w in heads:
+            if w not in young:
+                if (ids := old.get(w)) is not None:
+                    young[w] = ids
+                else:
+                    fresh.append(w)
+        self._raw(fresh)
+        for w, head, tail in parts:
+            if w not in young:
+                young[w] = young[head] + young[tail] if tail else young[head]
+
+    def _raw(self, words: list[str]) -> None:
+        """Words that are letters only go to the tokenizer as one text: each is one token run up to a word end."""
+        plain = list(filter(_plain, words)) if self.suffix else []
+        if plain:
+            ids = np.array(self.tokenizer.encode_batch_fast([" ".join(plain)], add_special_tokens=False)[0].ids, dtype="<u4")
+            to = (np.flatnonzero(self.ends[ids]) + 1) * 4
+            if len(to) == len(plain):
+                raw, at = ids.tobytes(), 0
+                for w, end in zip(plain, to.tolist(), strict=True):
+                    self.young[w] = raw[at:end]
+                    at = end
+        rest = [w for w in words if w not in self.young]
+        for w, got in zip(rest, self.tokenizer.encode_batch_fast(rest, add_special_tokens=False), strict=True):
+            self.young[w] = array("I", got.ids).tobytes()
 
 
 _ENCODERS: dict[str, WordEncoder] = {}
@@ -89,12 +132,10 @@ def encoder(path: str) -> WordEncoder:
     return _ENCODERS[path]
 
 
-def cut(ids: bytes, window: int = WINDOW) -> Iterator[tuple[int, int, int]]:
-    """(start, length, crc32) of a document's full windows and of its rest."""
-    view, step = memoryview(ids), 4 * window
-    for at in range(0, len(ids), step):
-        part = view[at : at + step]
-        yield at // 4, len(part) // 4, zlib.crc32(part)
+def cut(n_ids: int, window: int = WINDOW) -> Iterator[tuple[int, int]]:
+    """(start, length) of a document's full windows and of its rest."""
+    for at in range(0, n_ids, window):
+        yield at, min(window, n_ids - at)
 
 
 class OpenWindows:
@@ -169,14 +210,18 @@ def pack(docs: DataFrame, tokenizer_path: str, window: int = WINDOW, end_id: int
 
     def tokenise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own, encode, row = TaskContext.get().partitionId(), encoder(tokenizer_path).encode, 0
-        for batch, texts in slices(batches, "text"):
-            rows = []
-            for doc_id, ids in zip(batch.column(0).to_pylist(), encode(texts), strict=True):
-                ids += end
+        for batch, texts in slices(batches, "text", SLICE):
+            ids, counts = encode(texts)
+            rows, at = [], 0
+            for doc_id, n in zip(batch.column(0).to_pylist(), counts.tolist(), strict=True):
                 row += 1
-                for start, length, crc in cut(ids, window):
-                    rows.append((doc_id, start, length, crc, len(ids) // 4, zlib.crc32(b"%d.%d.%d" % (own, row, start)) % groups))
-            yield pa.RecordBatch.from_pydict({n: pa.array(c, type=pa.int64()) for n, c in zip(("doc_id", "start", "length", "ids_crc32", "doc_tokens", "pack_group"), zip(*rows, strict=True), strict=True)})
+                for start, length in cut(n + 1, window):
+                    last = start + length > n
+                    crc = zlib.crc32(ids[at + 4 * start : at + 4 * (start + length - last)])
+                    crc = zlib.crc32(end, crc) if last else crc
+                    rows.append((doc_id, start, length, crc, n + 1, zlib.crc32(b"%d.%d.%d" % (own, row, start)) % groups))
+                at += 4 * n
+            yield pa.RecordBatch.from_pydict({c: pa.array(x, type=pa.int64()) for c, x in zip(("doc_id", "start", "length", "ids_crc32", "doc_tokens", "pack_group"), zip(*rows, strict=True), strict=True)})
 
     def fill(key: tuple, pieces: pd.DataFrame) -> pd.DataFrame:
         pieces = pieces.sort_values(["length", "doc_id", "start", "ids_crc32"], ascending=[False, True, True, True])

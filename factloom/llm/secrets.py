@@ -133,6 +133,7 @@ def scan(documents: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, texts in slices(batches, "text"):
+            texts = texts.to_pylist()
             rows = []
             for text in texts:
                 base = base_spans(text)
@@ -156,6 +157,7 @@ def redact(documents: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, texts in slices(batches, "text"):
+            texts = texts.to_pylist()
             old = batch.column(at).to_pylist()
             new = []
             for raw, text in zip(old, texts, strict=True):
