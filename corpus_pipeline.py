@@ -1,11 +1,58 @@
-"""The corpus pipeline: toxicity, near duplicates, decontamination, secrets, packing."""
+"""The corpus pipeline: toxicity, near duplicates, decontamination, secrets, packing.
+
+Each stage takes (spark, docs, sf_dir), works on all rows that the one before
+it kept, and all but the last return the columns of documents.
+"""
 
 from __future__ import annotations
 
-STAGES: list = []
+from pyspark.sql import DataFrame, SparkSession
+
+from factloom.llm import decontamination, near_dedup, packing, secrets, toxicity
+from factloom.llm.common import materialise, read_table
+from factloom.llm.queries import tokenizer_path
+
+
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the compression-distance classifier predicts to be toxic go."""
+    return toxicity.drop_toxic(docs, toxicity.fit(docs, read_table(spark, sf_dir, "labels")))
+
+
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each near-duplicate class stays."""
+    return near_dedup.deduplicate(docs)
+
+
+def drop_benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that overlap a benchmark item go."""
+    return decontamination.drop_leaks(docs, read_table(spark, sf_dir, "benchmark"))
+
+
+def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Secrets are replaced by a mark; every document stays."""
+    return secrets.redact(docs)
+
+
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The pieces of the packed training sequences."""
+    return packing.pack(docs, tokenizer_path())
+
+
+STAGES = [
+    ("toxicity", drop_toxic),
+    ("near_duplicates", drop_near_duplicates),
+    ("decontamination", drop_benchmark_leaks),
+    ("secrets", redact_secrets),
+    ("packing", pack),
+]
+
+#: Tokenizing, sampling and compression have no SQL; tests hold the stages against brute force instead.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    """STAGES applied to documents, each written as Parquet and read again."""
-    raise NotImplementedError
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """STAGES applied to documents, each written as Parquet and read again as the next one's docs."""
+    docs = read_table(spark, sf_dir, "documents")
+    for _, stage in STAGES:
+        docs = materialise(stage(spark, docs, sf_dir))
+    return docs

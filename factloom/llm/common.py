@@ -10,7 +10,9 @@ from collections.abc import Iterable, Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import xxhash
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 MASK = (1 << 64) - 1
 
@@ -95,3 +97,63 @@ def mix(x: np.ndarray, seed: int = 0) -> np.ndarray:
     x = (x ^ (x >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
     x = (x ^ (x >> np.uint64(29))) * np.uint64(0xA0761D6478BD642F)
     return x ^ (x >> np.uint64(32))
+
+
+_TOKEN_BASE = np.uint64(0x9E3779B97F4A7C15)
+
+
+def token_hashes(texts: pa.StringArray) -> tuple[np.ndarray, np.ndarray]:
+    """The texts' tokens as 64-bit hashes, one text after the other, and each text's number of tokens.
+
+    A token is a word in lower case without anything but letters, marks and
+    digits; words without any are left out.
+    """
+    codes, counts, distinct = words_of(texts)
+    plain = pc.utf8_lower(pc.replace_substring_regex(distinct, r"[^\p{L}\p{M}\p{N}]+", "")).to_pylist()
+    full = np.fromiter(map(bool, plain), bool, len(plain))
+    hashes = np.fromiter(map(xxhash.xxh3_64_intdigest, plain), np.uint64, len(plain))
+    if not full.all():
+        keep = full[codes]
+        ends = np.concatenate([[0], np.cumsum(keep)])[np.concatenate([[0], np.cumsum(counts)])]
+        codes, counts = codes[keep], np.diff(ends)
+    return hashes[codes], counts
+
+
+def shingles(tokens: np.ndarray, counts: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """The hashes of all runs of n tokens within a text, in order, and the number of each one's text.
+
+    A text with fewer tokens, but some, has all of them as its only shingle.
+    """
+    size = len(tokens)
+    owner = np.repeat(np.arange(len(counts)), counts)
+    left = np.repeat(np.cumsum(counts), counts) - np.arange(size)
+    first = np.zeros(size, bool)
+    first[(np.cumsum(counts) - counts)[counts > 0]] = True
+    at = np.flatnonzero((left >= n) | first)
+    key = tokens[at]
+    for k in range(1, n):
+        key = key * _TOKEN_BASE + np.where(left[at] > k, tokens[np.minimum(at + k, size - 1)], np.uint64(k))
+    return mix(key), owner[at]
+
+
+def components(edges: DataFrame) -> DataFrame:
+    """(node, label) of every node of the edges (a, b); label: the least node of its connected component.
+
+    Large-star and small-star rounds in turn, each written to the shared
+    folder. Least neighbours are pre-aggregated and joined back, so a hub is
+    never gathered in one task. No edges give no rows; nulls are left out.
+    """
+    edges = materialise(edges.where("a IS NOT NULL AND b IS NOT NULL AND a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
+    state = None
+    while True:
+        seen = edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
+        if state == seen or not seen[0]:
+            break
+        state = seen
+        both = edges.union(edges.select("b", "a"))
+        least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
+        large = both.join(least, "a").where("b > a AND b <> m").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
+        down = large.groupBy("a").agg(F.min("b").alias("m"))
+        small = large.join(down, "a").where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b")).union(down.select("a", F.col("m").alias("b")))
+        edges = materialise(small.where("a <> b").distinct())
+    return edges.select(F.col("a").alias("node"), F.col("b").alias("label")).union(edges.select(F.col("b").alias("node"), F.col("b").alias("label")).distinct())

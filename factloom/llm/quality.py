@@ -2,18 +2,18 @@
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import mix, slices
+from .common import mix, slices, words_of
 
-WORD = re.compile(r"[^\x20\x09-\x0D]+")
+# A word is a run of anything but these white-space characters.
+_WORD_CHAR, _NO_WORD_CHAR = r"[^\x20\x09-\x0D]", r"[\x20\x09-\x0D]+"
 SYMBOLS = "#*$%&|<>"
 MIN_WORDS = 50
 BASE_NGRAM = 3
@@ -47,51 +47,55 @@ def covered(starts: np.ndarray, n: int, size: int) -> np.ndarray:
     return total[:size] - np.concatenate([np.zeros(n, np.int64), total[: size - n]])[:size] > 0 if size > n else np.full(size, bool(len(starts)))
 
 
-def measure(texts: list[str], lengths: tuple[int, ...] = tuple(MAX_NGRAM_COVERAGE)) -> dict[str, np.ndarray]:
+def _lines(texts: pa.StringArray) -> dict[str, np.ndarray]:
+    """Lines with a word, those among them that equal an earlier one, and these lines' word characters."""
+    lists = pc.split_pattern(texts, "\n")
+    ends = lists.offsets.to_numpy().astype(np.int64)
+    flat = lists.values.slice(ends[0], ends[-1] - ends[0]).dictionary_encode()
+    codes, distinct, n_texts = flat.indices.to_numpy(), flat.dictionary, len(texts)
+    owner = np.repeat(np.arange(n_texts), np.diff(ends))
+    full = pc.match_substring_regex(distinct, _WORD_CHAR).to_numpy(zero_copy_only=False)[codes]
+    owner, codes = owner[full], codes[full]
+    _, later = repeated(owner * len(distinct) + codes)
+    again = np.unique(codes[later])
+    chars = np.zeros(len(distinct), np.int64)
+    chars[again] = pc.utf8_length(pc.replace_substring_regex(distinct.take(pa.array(again)), _NO_WORD_CHAR, "")).to_numpy()
+    count = lambda who, weights=None: np.bincount(who, weights, n_texts).astype(np.int64)
+    return {"n_lines": count(owner), "n_dup_lines": count(owner[later]), "dup_line_chars": count(owner[later], chars[codes[later]])}
+
+
+def measure(texts: pa.StringArray, lengths: tuple[int, ...] = tuple(MAX_NGRAM_COVERAGE)) -> dict[str, np.ndarray]:
     """Every text's counts; ngram_chars has a column for each of the rising lengths.
 
-    Longer n-grams are looked for only where the n-gram one word shorter repeats,
-    since each part of a repeated n-gram repeats too.
+    A rolling hash gives each window of n words its key. Longer n-grams are
+    looked for only where the n-gram one step shorter repeats, since each part
+    of a repeated n-gram repeats too.
     """
-    split = [WORD.findall(t) for t in texts]
-    counts = np.fromiter(map(len, split), np.int64, len(split))
-    size, n_texts = int(counts.sum()), len(texts)
-    hashes = np.fromiter(map(hash, chain.from_iterable(split)), np.int64, size).view(np.uint64)
-    chars = np.fromiter(map(len, chain.from_iterable(split)), np.int64, size)
+    codes, counts, distinct = words_of(texts)
+    size, n_texts = len(codes), len(texts)
+    hashes = mix(np.arange(len(distinct), dtype=np.uint64))[codes]
+    chars = pc.utf8_length(distinct).to_numpy()[codes].astype(np.int64)
     owner = np.repeat(np.arange(n_texts), counts)
     left = np.repeat(np.cumsum(counts), counts) - np.arange(size)
     total = lambda weights: np.bincount(owner, weights, n_texts).astype(np.int64)
-    hashes = mix(hashes)
     rolled, at, done = hashes + mix(owner.astype(np.uint64), 7), np.arange(size), 1
     out = {"n_words": counts, "word_chars": total(chars)}
     ngram_chars = []
     for n in (BASE_NGRAM, *lengths):
         at = at[left[at] >= n]
+        key = rolled[at]
         for k in range(done, n):
-            rolled[: size - k] = rolled[: size - k] * _BASE + hashes[k:]
-        done = n
-        some, later = repeated(rolled[at])
+            key = key * _BASE + hashes[at + k]
+        rolled[at], done = key, n
+        some, later = repeated(key)
         if n == BASE_NGRAM:
             out["n_repeat_words"] = total(covered(at[some], n, size))
         else:
             ngram_chars.append(total(covered(at[later], n, size) * chars))
         at = at[some]
     out["ngram_chars"] = np.stack(ngram_chars, axis=1) if ngram_chars else np.zeros((n_texts, 0), np.int64)
-    lines = []
-    for text in texts:
-        seen: set[str] = set()
-        n_lines = n_dup = dup_chars = 0
-        for line in text.split("\n"):
-            if WORD.search(line):
-                n_lines += 1
-                if line in seen:
-                    n_dup += 1
-                    dup_chars += sum(map(len, WORD.findall(line)))
-                seen.add(line)
-        lines.append((n_lines, n_dup, dup_chars))
-    out["n_lines"], out["n_dup_lines"], out["dup_line_chars"] = np.array(lines, np.int64).reshape(-1, 3).T
-    out["n_symbols"] = np.array([sum(map(t.count, SYMBOLS)) for t in texts], np.int64)
-    return out
+    out["n_symbols"] = sum(pc.count_substring(texts, c).to_numpy(zero_copy_only=False).astype(np.int64) for c in SYMBOLS)
+    return out | _lines(texts)
 
 
 def judge(documents: DataFrame) -> DataFrame:
