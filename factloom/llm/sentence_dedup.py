@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from .common import materialise, slices
 
 #: A span is the shortest run of consecutive sentences with so many words.
-SPAN_WORDS = 13
+SPAN_WORDS = 20
 _SENTENCE = re.compile(r"[^\s.!?…](?:[^\n.!?…]|[.!?…]+(?=[^\s.!?…]))*[.!?…]*|[.!?…]+")
 
 
