@@ -6,5 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLE_SQL: dict[str, str] = {}
+from .plans import facts, monitoring, texts, votes
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = facts.QUERIES | votes.QUERIES | monitoring.QUERIES | texts.QUERIES
+ORACLE_SQL: dict[str, str] = facts.ORACLE_SQL | votes.ORACLE_SQL | monitoring.ORACLE_SQL | texts.ORACLE_SQL

@@ -1 +1 @@
-"""Plans of the summary checks."""
+"""Named queries over the driver tables, with the SQL that gives the same rows."""
