@@ -7,7 +7,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import components, materialise, mix, shingles, slices, token_hashes
@@ -20,6 +20,8 @@ BANDS, ROWS = 12, 4
 COMMON = 0.01
 #: Candidate shingles that the tasks get as an array; with more, the counts are joined instead.
 MAX_CANDIDATES = 2_000_000
+#: Members of a crowded bucket that all others are compared with in a turn, and turns before all that is still apart is paired.
+PIVOTS, PIVOT_TURNS = 4, 4
 _SLICE = 6_000_000
 _BLOCK = 16_384
 
@@ -229,16 +231,38 @@ def _verified(pairs: DataFrame, of: DataFrame, least: float) -> DataFrame:
     return joined.mapInArrow(run, "a long, b long, similarity double")
 
 
+def _placed(live: DataFrame, labels: DataFrame) -> DataFrame:
+    """(bucket, node, label, low, high): the members of the buckets with their components, and each bucket's least and greatest component."""
+    own = materialise(live.join(labels, "node", "left").select("bucket", "node", F.coalesce("label", "node").alias("label")))
+    ends = own.groupBy("bucket").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low < high")
+    return materialise(own.join(ends, "bucket"))
+
+
+def _crowded(placed: DataFrame) -> bool:
+    """Whether pairing all members across components would give over PIVOTS pairs a member."""
+    sizes = placed.groupBy("bucket", "label").agg(F.count("*").alias("n")).groupBy("bucket").agg(F.sum("n").alias("all"), F.sum(F.col("n") * F.col("n")).alias("same"))
+    members, pairs = sizes.agg(F.sum("all"), F.sum((F.col("all") * F.col("all") - F.col("same")) / 2)).first()
+    return bool(members) and pairs > PIVOTS * members
+
+
+def _pivot_pairs(placed: DataFrame, turn: int) -> DataFrame:
+    """Pairs (a, b) of every member with those pivots of its bucket that lie in other components: at most PIVOTS a member and bucket."""
+    order = Window.partitionBy("bucket").orderBy(F.xxhash64("node", F.lit(turn)), "node")
+    pivots = placed.withColumn("_n", F.row_number().over(order)).where(F.col("_n") <= PIVOTS).select("bucket", F.col("node").alias("pivot"), F.col("label").alias("other"))
+    return placed.join(pivots, "bucket").where("label <> other").select(F.least("node", "pivot").alias("a"), F.greatest("node", "pivot").alias("b")).distinct()
+
+
 def classes(documents: DataFrame, least: float = SIMILARITY, common: float = COMMON) -> DataFrame:
     """One row a document: class_id (the least doc_id of its class), kept (it is that one) and copy_of (the least doc_id with its very tokens).
 
     Classes are the connected components of all links of at least the given
     weighted Jaccard similarity between different texts that share a band.
     Copies are one node, so a group of them costs one row each. Of each band's
-    bucket first every member is compared with the least one; then, where
-    members are still in different components, all pairs across these that
-    were not compared before. So no link of a bucket is lost and no group of
-    near copies is paired with itself.
+    bucket first every member is compared with the least one; then, in crowded
+    buckets, with a few pivots a turn; then, where members are still in
+    different components, all pairs across these that were not compared
+    before. So no link of a bucket is lost and no group of near copies is
+    paired with itself.
 
     Texts without tokens are alike only if they are equal (null: empty). Rows
     that repeat a doc_id are one document, which any of their texts may link.
@@ -255,11 +279,19 @@ def classes(documents: DataFrame, least: float = SIMILARITY, common: float = COM
     stars = live.where("node <> centre").select(F.col("centre").alias("a"), F.col("node").alias("b")).distinct()
     links = materialise(_verified(stars, known, least))
     labels = components(links)
-    placed = materialise(live.join(labels, "node", "left").select("bucket", "node", F.coalesce("label", "node").alias("label")))
-    mixed = placed.groupBy("bucket").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low < high").select("bucket")
-    rest = placed.join(mixed, "bucket", "left_semi")
-    x, y = rest.toDF("bucket", "na", "la"), rest.toDF("bucket", "nb", "lb")
-    across = x.join(y, "bucket").where("la < lb").select(F.least("na", "nb").alias("a"), F.greatest("na", "nb").alias("b")).distinct().join(stars, ["a", "b"], "left_anti")
+    placed, compared = _placed(live, labels), stars
+    for turn in range(PIVOT_TURNS):
+        if not _crowded(placed):
+            break
+        # members of a dense group nearly all link to one of a few; what is still apart is paired in full below
+        tried = materialise(_pivot_pairs(placed, turn).join(compared, ["a", "b"], "left_anti"))
+        links = materialise(links.unionByName(_verified(tried, known, least)))
+        compared = compared.unionByName(tried)
+        labels = components(links)
+        placed = _placed(live, labels)
+    rest = placed.where("low < high")
+    x, y = rest.select("bucket", "node", "label").toDF("bucket", "na", "la"), rest.select("bucket", "node", "label").toDF("bucket", "nb", "lb")
+    across = x.join(y, "bucket").where("la < lb").select(F.least("na", "nb").alias("a"), F.greatest("na", "nb").alias("b")).distinct().join(compared, ["a", "b"], "left_anti")
     more = materialise(_verified(across, known, least))
     if not more.isEmpty():
         labels = components(links.unionByName(more))
