@@ -18,7 +18,7 @@ MASKS = ("111111", "1111011", "11011011", "1110010111", "111101111", "1011101101
 MIN_TOKENS = 13
 #: Items of fewer tokens tell nothing and are left out.
 MIN_ITEM_TOKENS = 5
-#: A substitution costs as much as this many equal tokens earn: overlaps are 0.8 alike at least.
+#: An overlap has this many equal tokens a substitution at least: it is 0.8 alike.
 MISMATCH_COST = 4
 #: Characters of benchmark text that the tasks get at once.
 BLOCK_CHARS = 8_000_000
@@ -29,12 +29,12 @@ _SLICE = 6_000_000
 
 
 def best_overlap(equal: np.ndarray) -> tuple[int, int]:
-    """(start, end) of the run that maximises equal tokens less MISMATCH_COST a substitution; the first and shortest such run."""
+    """(start, end) of the longest run with at least MISMATCH_COST equal tokens a substitution, at its edges too; the first such run."""
     total = np.concatenate([[0], np.cumsum(np.where(equal, 1, -MISMATCH_COST))])
-    low = np.minimum.accumulate(total[:-1])
-    end = int(np.argmax(total[1:] - low)) + 1
-    start = end - 1 - int(np.argmin(total[:end][::-1]))
-    return start, end
+    # for each end the earliest start whose sum is not above its own
+    starts = np.searchsorted(-np.minimum.accumulate(total), -total)
+    end = int(np.argmax(np.arange(len(total)) - starts))
+    return int(starts[end]), end
 
 
 class Seeds:
@@ -96,8 +96,8 @@ class Seeds:
                 if stop > low:
                     equal = tokens[low:stop] == own[low - shift : stop - shift]
                     start, end = best_overlap(equal)
-                    if end - start >= min(MIN_TOKENS, len(own)) and (n := int(equal[start:end].sum())) * (MISMATCH_COST + 1) >= MISMATCH_COST * (end - start):
-                        row = (-n, end - start, low + start - int(ends[text] - counts[text]), low + start - shift)
+                    if end - start >= min(MIN_TOKENS, len(own)):
+                        row = (-int(equal[start:end].sum()), end - start, low + start - int(ends[text] - counts[text]), low + start - shift)
                         if (text, item) not in best or row < best[text, item]:
                             best[text, item] = row
                 low, text = stop, text + 1
@@ -118,7 +118,8 @@ def leaks(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
     """One row for each document and benchmark item whose tokens overlap, with the best overlap.
 
     An overlap is a run of positions on one diagonal where substitutions are at
-    most a fifth, of MIN_TOKENS tokens at least or of the whole item. It is
+    most a fifth, of MIN_TOKENS tokens at least or of the whole item. The longest
+    run of the diagonal counts, and substitutions may stand at its edges. It is
     found from any seed the two share. The benchmark goes to the tasks in
     blocks of bounded size, all documents against each, so nothing is shuffled
     and no item or document can be hot.
