@@ -5,7 +5,7 @@ from __future__ import annotations
 import hashlib
 import math
 import re
-from bisect import bisect_left
+from bisect import bisect_left, bisect_right
 from collections import Counter
 from collections.abc import Iterator
 
@@ -62,8 +62,10 @@ def weak_links(text: str, base: list[Span], scope: int = SCOPE) -> list[tuple[Sp
     Identifiers are access keys and assigned user, client or account names;
     endpoints are URLs and assigned hosts. Weak candidates are secrets that the
     base patterns leave out: assignments to less telling names, and long mixed
-    runs of letters and digits. The join is an interval join: both sides lie in
-    rising order and each candidate looks up its neighbours by bisection.
+    runs of letters and digits. They are searched in the whole text, so that one
+    which reaches beyond the scope stays whole. The join is an interval join:
+    both sides lie in rising order and each candidate looks up its neighbours by
+    bisection.
     """
     parts = [(s, e, "access") for s, k, e in base if k == 1]
     if "=" in text or ":" in text:
@@ -74,23 +76,23 @@ def weak_links(text: str, base: list[Span], scope: int = SCOPE) -> list[tuple[Sp
     parts.sort()
     taken = sorted((s, e) for s, _, e in base)
     starts = [p[0] for p in parts]
+    # parts may hold others, so the nearest one before is that with the last end; of equal ends the one that begins first
+    closed = sorted(reversed(parts), key=lambda p: p[1])
+    ends = [p[1] for p in closed]
     covers = lambda s, e, spans: any(a < e and s < b for a, b in spans)
-    weak: dict[Span, None] = {}
-    for low, high in _merged([(max(0, s - scope), min(len(text), e + scope)) for s, e, _ in parts]):
-        for m in _WEAK_ASSIGN.finditer(text, low, high):
-            weak[m.start(), 3, m.end()] = None
-        for m in _WEAK_RUN.finditer(text, low, high):
-            if _looks_random(m[0]):
-                weak[m.start(), 3, m.end()] = None
+    found = {m.span() for m in _WEAK_ASSIGN.finditer(text)}
+    runs = {m.span(): m[0] for m in _WEAK_RUN.finditer(text)}
     out, last = [], 0
-    for s, k, e in sorted(weak):
-        if s < last or covers(s, e, taken) or covers(s, e, [p[:2] for p in parts[max(0, bisect_left(starts, s) - 1) : bisect_left(starts, e)]]):
+    for s, e in sorted(found | runs.keys()):
+        before, after = bisect_right(ends, s), bisect_left(starts, e)
+        near = [p for p in closed[max(0, before - 1) : before] + parts[after : after + 1] if p[0] - e <= scope and s - p[1] <= scope]
+        if s < last or not near or (s, e) not in found and not _looks_random(runs[s, e]):
             continue
-        near = [p for p in parts[max(0, bisect_left(starts, s) - 1) : bisect_left(starts, s) + 1] if p[0] - e <= scope and s - p[1] <= scope]
-        if near:
-            part = min(near, key=lambda p: (max(p[0] - e, s - p[1]), p))
-            out.append(((s, k, e), (part[0], k, part[1]), part[2]))
-            last = e
+        if covers(s, e, taken) or covers(s, e, [p[:2] for p in parts[max(0, bisect_left(starts, s) - 1) : after]]):
+            continue
+        part = min(near, key=lambda p: (max(p[0] - e, s - p[1]), p))
+        out.append(((s, 3, e), (part[0], 3, part[1]), part[2]))
+        last = e
     return out
 
 

@@ -1,0 +1,33 @@
+"""Weak candidates at the edge of a part's scope, and parts that hold others."""
+
+import pytest
+
+from factloom.llm import secrets
+
+RUN = "aB3dE5gH7jK9mN1pQ2sT4vW6yZ8" * 3 + "c0F2h4J6k"
+GAP = " x" * 80
+
+
+def links(text):
+    return [(text[w[0] : w[2]], text[p[0] : p[2]], kind) for w, p, kind in secrets.weak_links(text, secrets.base_spans(text))]
+
+
+@pytest.mark.parametrize("weak", [RUN, f"auth={RUN}", RUN[:30]])
+@pytest.mark.parametrize("gap", [GAP, " x" * 95, " x" * 99])
+def test_a_candidate_that_runs_past_the_scope_is_whole(weak, gap):
+    assert links(f"client_id=abcd{gap} {weak} end") == [(weak, "client_id=abcd", "identifier")]
+    assert links(f"start {weak}{gap} client_id=abcd") == [(weak, "client_id=abcd", "identifier")]
+
+
+def test_a_candidate_beyond_the_scope_has_no_link():
+    assert links(f"client_id=abcd{' x' * 100} {RUN}") == links(f"{RUN}{' x' * 100} client_id=abcd") == []
+
+
+def test_a_url_ends_nearer_than_the_identifier_in_it():
+    url = "https://a.example/?client_id=abcd&" + "/".join(["page"] * 60)
+    assert links(f"{url} {RUN}") == [(RUN, url, "endpoint")]
+
+
+def test_nothing_of_a_secret_is_left(spark):
+    frame = spark.createDataFrame([(1, f"client_id=abcd{GAP} auth={RUN} end")], "doc_id long, text string")
+    assert secrets.redact(frame).first().text == f"client_id=abcd{GAP} [SECRET] end"
