@@ -133,12 +133,14 @@ def extract(pages: DataFrame) -> DataFrame:
 
     Blocks are placed by the page's structure: menus, headers, footers, asides,
     forms, and elements whose class, id or role says so are template; blocks of
-    an article or main element are content. What stands in neither is judged by
-    page differencing: pages are ordered by host and path, each is aligned by
-    longest common subsequence with its predecessor (the first page of a host
-    with its successor), and lines that both have are deleted as template. A
-    page with content blocks has only these, so that an article keeps lines
-    which another article repeats.
+    an article or main element are content, so that an article keeps lines
+    which another article repeats. What stands in neither is judged by page
+    differencing, whether the page has an article or not: pages are ordered by
+    host and path, each is aligned by longest common subsequence with its
+    predecessor (the first page of a host with its successor), and lines that
+    both have are deleted as template. Pages of a host with the same lines are
+    one page there, that of the least path, so that copies don't delete each
+    other; a host with no other page tells nothing, and all such lines stay.
 
     Null and empty pages have an empty text. Equal URLs are ordered by page_id
     and by the lines' hash. Repeated rows are judged each for itself; an empty
@@ -146,37 +148,43 @@ def extract(pages: DataFrame) -> DataFrame:
     partition of line hashes, so a host of any size is spread over tasks; the
     last page of each part is passed on to the next part.
     """
-    schema = "page_id long, url string, host string, path string, row long, text string, open array<string>, hashes array<long>"
+    schema = "page_id long, url string, host string, path string, row long, lines array<string>, free array<boolean>, hashes array<long>, same long"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, part in slices(batches, "html"):
-            found = [blocks(t) for t in part.to_pylist()]
-            texts = ["\n".join(t for p, t in own if p == ARTICLE) for own in found]
-            open_lines = [[] if text else [t for p, t in own if p == OPEN] for own, text in zip(found, texts, strict=True)]
+            found = [[(p, t) for p, t in blocks(page) if p != PLATE] for page in part.to_pylist()]
+            lines = [[t for _, t in own] for own in found]
+            free = [[p == OPEN for p, _ in own] for own in found]
             hashes = [[xxhash.xxh3_64_intdigest(t) - (1 << 63) for p, t in own if p == OPEN] for own in found]
-            yield pa.RecordBatch.from_arrays([*batch.columns[:5], pa.array(texts, pa.string()), pa.array(open_lines, pa.list_(pa.string())), pa.array(hashes, pa.list_(pa.int64()))], names=["page_id", "url", "host", "path", "row", "text", "open", "hashes"])
+            same = [xxhash.xxh3_64_intdigest("\n".join(f"{p} {t}" for p, t in own)) - (1 << 63) for own in found]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:5], pa.array(lines, pa.list_(pa.string())), pa.array(free, pa.list_(pa.bool_())), pa.array(hashes, pa.list_(pa.int64())), pa.array(same, pa.int64())], names=["page_id", "url", "host", "path", "row", "lines", "free", "hashes", "same"])
 
     url = F.col("url").cast("string")
     only = pages.select(F.col("page_id").cast("long").alias("page_id"), url.alias("url"), host(url).alias("host"), path(url).alias("path"), F.monotonically_increasing_id().alias("row"), F.col("html").cast("string").alias("html"))
     found = materialise(only.mapInArrow(run, schema))
-    bare = (F.col("text") == "") & (F.size("open") > 0)
-    judged = found.where(bare).join(_template_lines(found), "row", "left")
-    kept = F.filter(F.transform("open", lambda t, i: F.when(F.coalesce(F.get("gone", i), F.lit(False)), None).otherwise(t)), lambda t: t.isNotNull())
-    out = judged.select("page_id", "url", F.array_join(kept, "\n").alias("text")).union(found.where(~bare).select("page_id", "url", "text"))
+    judged, clear = F.size("hashes") > 0, F.size("hashes") == 0
+    gone = _template_lines(found.where(judged)).withColumnRenamed("host", "of").withColumnRenamed("same", "with")
+    placed = found.where(judged).join(gone, F.expr("host <=> of AND same = with"), "left")
+    # the k-th free line has the k-th mark
+    marks = F.transform("free", lambda f, i: f & F.coalesce(F.get("gone", F.size(F.filter(F.slice("free", 1, i + 1), lambda x: x)) - 1), F.lit(False)))
+    kept = F.filter(F.transform("lines", lambda t, i: F.when(~F.get(marks, i), t)), lambda t: t.isNotNull())
+    out = placed.select("page_id", "url", F.array_join(kept, "\n").alias("text")).union(found.where(clear).select("page_id", "url", F.array_join("lines", "\n").alias("text")))
     return out.withColumn("n_chars", F.length("text").cast("long"))
 
 
 def _template_lines(found: DataFrame) -> DataFrame:
-    """(row, gone): for the pages without content blocks, which of their open lines the page next to them shares."""
+    """(host, same, gone): for each host's pages of the same lines, which of the open ones the page next to them shares."""
     keys = ["host", "path", "page_id", "row"]
-    lined = found.where(F.size("hashes") > 0).select(*keys, "hashes", (F.col("text") == "").alias("bare"))
+    # the least of pages with the same lines stands for all of them
+    least = found.groupBy("host", "same").agg(F.min(F.struct("path", "page_id", "row")).alias("m")).select("m.row")
+    lined = found.select(*keys, "same", "hashes").join(least, "row", "left_semi").select(*keys, "same", "hashes")
     parts = int(found.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     ordered = materialise(lined.repartitionByRange(parts, *keys).sortWithinPartitions(*keys).withColumn("part", F.spark_partition_id()))
     ends = ordered.groupBy("part").agg(F.min(F.struct(*keys)).alias("first"), F.max(F.struct(*keys)).alias("last"))
     before = ends.select((F.col("part") + 1).alias("part"), F.col("last.row").alias("row"))
     after = ends.select((F.col("part") - 1).alias("part"), F.col("first.row").alias("row"))
-    lent = ordered.drop("part").join(F.broadcast(before.union(after)), "row").select("part", *keys, "hashes", F.lit(True).alias("lent"), "bare")
-    every = ordered.select("part", *keys, "hashes", F.lit(False).alias("lent"), "bare").unionByName(lent)
+    lent = ordered.drop("part").join(F.broadcast(before.union(after)), "row").select("part", *keys, "same", "hashes", F.lit(True).alias("lent"))
+    every = ordered.select("part", *keys, "same", "hashes", F.lit(False).alias("lent")).unionByName(lent)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         before = held = None
@@ -187,7 +195,7 @@ def _template_lines(found: DataFrame) -> DataFrame:
         if held is not None and (got := _gone(held, before, None)):
             yield got
 
-    return every.repartition(parts, "part").sortWithinPartitions("part", *keys).mapInArrow(run, "row long, gone array<boolean>")
+    return every.repartition(parts, "part").sortWithinPartitions("part", *keys).mapInArrow(run, "host string, same long, gone array<boolean>")
 
 
 def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
@@ -196,11 +204,11 @@ def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
 
 
 def _gone(page: dict, before: dict | None, after: dict | None) -> pa.RecordBatch | None:
-    """The row of a bare page that has a neighbour in its own host and part."""
-    if page["lent"] or not page["bare"]:
+    """The row of a page that has a neighbour in its own host and part."""
+    if page["lent"]:
         return None
     near = [p for p in (before, after) if p is not None and p["part"] == page["part"] and p["host"] == page["host"]]
     if not near:
         return None
     found = shared(np.array(page["hashes"], np.int64), np.array(near[0]["hashes"], np.int64))
-    return pa.RecordBatch.from_arrays([pa.array([page["row"]], pa.int64()), pa.array([found.tolist()], pa.list_(pa.bool_()))], names=["row", "gone"]) if found.any() else None
+    return pa.RecordBatch.from_arrays([pa.array([page["host"]], pa.string()), pa.array([page["same"]], pa.int64()), pa.array([found.tolist()], pa.list_(pa.bool_()))], names=["host", "same", "gone"]) if found.any() else None
