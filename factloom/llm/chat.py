@@ -19,7 +19,9 @@ CHUNK = 256
 TEMPLATE = "<|{role}|>\n{text}\n<|end|>\n"
 
 _NAMES = {"system": 0, "sys": 0, "developer": 0, "instruction": 0, "instructions": 0, "context": 0, "user": 1, "human": 1, "question": 1, "q": 1, "customer": 1, "client": 1, "prompter": 1, "me": 1, "assistant": 2, "ai": 2, "bot": 2, "answer": 2, "a": 2, "gpt": 2, "model": 2, "agent": 2, "chatbot": 2, "response": 2}
-_MARKER = re.compile(r"^\s*(?:#{1,6}\s*|\*{1,2}|\[|<\|?)?(?:im_start\|>)?(" + "|".join(sorted(_NAMES, key=len, reverse=True)) + r")(?:\*{1,2})?(?:\s*:\*{0,2}|\]\s*:?|\|?>\s*|(?<=\w)\s*\n)\s*", re.IGNORECASE)
+_MARKER = re.compile(r"^\s*(?:(?P<alone>#{1,6}\s*|\*{1,2}|<\|im_start\|>)|\[|<\|?)?(?:im_start\|>)?(?P<name>" + "|".join(sorted(_NAMES, key=len, reverse=True)) + r")(?:\*{1,2})?(?:\s*:\*{0,2}|\]\s*:?|\|?>\s*|(?(alone)(?=\s*$)|(?!)))\s*", re.IGNORECASE)
+#: ChatML's end of a turn, where the line or the turn ends.
+_END, _END_BEFORE = re.compile(r"<\|im_end\|>[^\S\n]*$", re.MULTILINE), re.compile(r"<\|im_end\|>[^\S\n]*(?=<\|im_start\|>)")
 #: How sure a written marker, and the role that a row declares, tells the speaker; a line without either keeps it.
 _SURE, _DECLARED, _STAY = 0.98, 0.995, 0.98
 _LENGTHS = (20, 60, 120, 200, 400, 800, 1600)
@@ -29,7 +31,7 @@ _FEATURES = len(_LENGTHS) + 1
 def marker(line: str) -> tuple[int | None, str]:
     """The role that a line's opening marker names, and the line without it."""
     m = _MARKER.match(line)
-    return (_NAMES[m[1].lower()], line[m.end() :]) if m else (None, line)
+    return (_NAMES[m["name"].lower()], line[m.end() :]) if m else (None, line)
 
 
 def _feature(length: int, asks: bool) -> int:
@@ -86,7 +88,7 @@ def units_of(declared: str | None, text: str) -> list[tuple[tuple, str]]:
     """A row's units with their texts: its lines, of which those without a marker of their own join the one before."""
     role = {"system": 0, "user": 1, "assistant": 2}.get((declared or "").strip().lower(), _NAMES.get((declared or "").strip().lower()))
     pieces: list[list] = []
-    for k, line in enumerate(text.split("\n")):
+    for k, line in enumerate(_END.sub("", _END_BEFORE.sub("\n", text)).split("\n")):
         marked, rest = marker(line)
         if k == 0 or marked is not None:
             pieces.append([k == 0, role if k == 0 else None, marked, [rest]])
@@ -142,7 +144,7 @@ def format_chats(conversations: DataFrame, model: Model | None = None) -> DataFr
 
     A row's text is one unit, or several where lines within it open with a
     speaker marker ("User:", "### Assistant", "[human]" and the like), which is
-    cut off. The roles are the best path of a hidden Markov model: markers and
+    cut off. Names without a colon or bracket need a line of their own. The roles are the best path of a hidden Markov model: markers and
     the row's declared role speak strongly, length and question marks weakly,
     and turns follow each other as they do in all conversations.
 
