@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from .common import materialise
 
 ROLES = ("system", "user", "assistant")
-#: Turns of a conversation that are decoded in one piece.
+#: Rows of a conversation that are decoded in one piece at most.
 CHUNK = 256
 #: How a turn is rendered.
 TEMPLATE = "<|{role}|>\n{text}\n<|end|>\n"
@@ -148,27 +148,38 @@ def format_chats(conversations: DataFrame, model: Model | None = None) -> DataFr
     the row's declared role speak strongly, length and question marks weakly,
     and turns follow each other as they do in all conversations.
 
-    Long conversations are decoded in chunks of CHUNK turns: best-path scores
-    across each chunk are combined first, so that the result is that of one
-    pass over the conversation. Rows come by turn, ties by role and text; rows
+    Conversations of more than CHUNK rows are decoded in chunks of CHUNK rows at
+    most, cut by the rows' order and not by turn, so that many rows of one turn
+    are spread too: best-path scores across each chunk are combined first, so
+    that the result is that of one pass over the conversation. Rows come by turn, ties by role and text; rows
     that repeat one entirely count once. Null texts are empty; unknown and null
     roles are undeclared; null conv_ids and turns are one conversation and turn
     0. An empty table gives no rows; further columns are ignored.
     """
     model = model or fit(conversations)
     rows = conversations.select(F.col("conv_id").cast("long").alias("conv_id"), F.coalesce(F.col("turn").cast("long"), F.lit(0)).alias("turn"), F.col("role").cast("string").alias("role"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    rows = rows.groupBy("conv_id", "turn", "role", "text").agg(F.lit(1).alias("one")).drop("one").withColumn("chunk", F.floor(F.col("turn") / CHUNK))
-    ends = rows.groupBy("conv_id").agg(F.min("chunk").alias("low"), F.max("chunk").alias("high")).where("low < high")
-    long = materialise(ends.select("conv_id"))
+    rows = rows.groupBy("conv_id", "turn", "role", "text").agg(F.lit(1).alias("one")).drop("one")
+    long = materialise(rows.groupBy("conv_id").count().where(F.col("count") > CHUNK).select("conv_id"))
     if long.isEmpty():
-        return _decode(_sorted(rows.withColumns({"entry": F.lit(None).cast("array<double>"), "exit": F.lit(None).cast("int")})), model)
+        return _decode(_sorted(rows.withColumns({"chunk": F.lit(0).cast("long"), "entry": F.lit(None).cast("array<double>"), "exit": F.lit(None).cast("int")})), model)
     same = rows.conv_id.eqNullSafe(long.conv_id)
-    short, rest = rows.join(long, same, "left_anti"), rows.join(long, same, "left_semi")
+    short, rest = rows.join(long, same, "left_anti").withColumn("chunk", F.lit(0).cast("long")), materialise(_chunked(rows.join(long, same, "left_semi")))
     plans = _plan(materialise(_matrices(_sorted(rest), model)), model)
     placed = rest.alias("r").join(plans.alias("p"), F.expr("r.conv_id <=> p.conv_id AND r.chunk = p.chunk")).select("r.*", "p.entry", "p.exit")
     return _decode(_sorted(short.withColumns({"entry": F.lit(None).cast("array<double>"), "exit": F.lit(None).cast("int")}).unionByName(placed)), model)
 
 
+def _chunked(rows: DataFrame) -> DataFrame:
+    """rows with chunks that rise in their order, over all conversations, and have CHUNK rows at most, whatever the turns say.
+
+    The order is a range partition over all that tells rows apart; the numbers
+    hold for one run only, so the result is to be materialised.
+    """
+    keys = ["conv_id", "turn", "role", "text"]
+    parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return rows.repartitionByRange(parts, *keys).sortWithinPartitions(*keys).withColumn("chunk", F.floor(F.monotonically_increasing_id() / CHUNK))
+
+
 def _sorted(rows: DataFrame) -> DataFrame:
     return rows.repartition("conv_id", "chunk").sortWithinPartitions("conv_id", "chunk", "turn", "role", "text")
 

@@ -20,3 +20,15 @@ def test_no_marker(line):
 def test_chatml_row(end):
     row = "".join(f"<|im_start|>{name}\n{text}{end}" for name, text in (("system", "Be brief."), ("user", "Why?"), ("assistant", "So.")))
     assert [(u[2], body.strip()) for u, body in chat.units_of(None, row)] == [(0, "Be brief."), (1, "Why?"), (2, "So.")]
+
+
+@pytest.mark.parametrize("turns", ["none", "one", "rising"])
+def test_chunks_are_bounded_and_exact(spark, monkeypatch, turns):
+    turn = {"none": lambda k: None, "one": lambda k: 7, "rising": lambda k: k}[turns]
+    rows = [(None if c == 0 else c, turn(k), None if k % 3 else "user", f"{'Why' if k % 2 else 'Since'} {k:04}{'?' if k % 2 else ''}") for c in (0, 1) for k in range(600)]
+    frame = spark.createDataFrame(rows + [(2, 0, "user", "Hi"), (2, 1, None, "Hello")], "conv_id long, turn long, role string, text string")
+    sizes = [r["count"] for r in chat._chunked(frame).groupBy("conv_id", "chunk").count().collect()]
+    assert max(sizes) <= chat.CHUNK and sum(sizes) == 1202
+    got = sorted(map(tuple, chat.format_chats(frame).collect()), key=repr)
+    monkeypatch.setattr(chat, "CHUNK", 10**6)
+    assert got == sorted(map(tuple, chat.format_chats(frame).collect()), key=repr) and len(got) == 1202
