@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from .common import materialise, slices
 
-#: A span is the shortest run of consecutive sentences with so many words.
+#: A span is the shortest run of consecutive sentences with so many words, from its first sentence on or back from its last.
 SPAN_WORDS = 20
 _SENTENCE = re.compile(r"[^\s.!?…](?:[^\n.!?…]|[.!?…]+(?=[^\s.!?…]))*[.!?…]*|[.!?…]+")
 
@@ -24,12 +24,14 @@ def sentences(text: str) -> list[tuple[int, int]]:
 
 
 def spans(text: str, at: list[tuple[int, int]], least: int = SPAN_WORDS) -> list[tuple[int, int, bytes]]:
-    """(first sentence, sentence after the last, 128-bit hash) of the span from each sentence on; none where too few words follow."""
+    """(first sentence, sentence after the last, 128-bit hash) of the shortest spans from each sentence on and up to each sentence, in order; none where too few words follow or precede."""
     plain = [text[s:e].lower().split() for s, e in at]
     words = np.cumsum([0, *map(len, plain)])
     ends = np.searchsorted(words, words[:-1] + least)
+    starts = np.searchsorted(words, words[1:] - least, side="right") - 1
+    found = {(i, j) for i, j in enumerate(ends.tolist()) if j <= len(at)} | {(i, j) for j, i in enumerate(starts.tolist(), 1) if i >= 0}
     joined = [" ".join(p) for p in plain]
-    return [(i, j, xxhash.xxh3_128_digest("\n".join(joined[i:j]))) for i, j in enumerate(ends.tolist()) if j <= len(at)]
+    return [(i, j, xxhash.xxh3_128_digest("\n".join(joined[i:j]))) for i, j in sorted(found)]
 
 
 def _texts(documents: DataFrame) -> DataFrame:
