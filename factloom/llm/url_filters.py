@@ -84,7 +84,7 @@ def judge(pages: DataFrame, rules: Sequence[Rule] = RULES) -> DataFrame:
     edges = materialise(alias_edges(pages))
     if edges.isEmpty():
         return judged.select("page_id", "host", "path", "rule", F.coalesce("own", F.lit("allow")).alias("verdict"), F.when(F.col("own").isNotNull(), "rule").otherwise("default").alias("reason"))
-    labels = materialise(components(edges))
+    labels = components(edges)
     node = F.concat(F.lit("://"), F.col("node"))
     decided = labels.withColumn("own", rule_of(host(node), path(node), rules, "verdict")).groupBy("label").agg(F.when(F.max(F.col("own") == "allow"), "allow").when(F.max(F.col("own") == "block"), "block").alias("group"))
     known = labels.join(decided, "label").select(F.col("node").alias("page_key"), "group")
