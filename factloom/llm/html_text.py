@@ -1,4 +1,4 @@
-"""Main text of web pages: structure first, and lines shared with the page of the nearest URL deleted."""
+"""Main text of web pages: lines shared with the page of the nearest URL are deleted, and structure tells template from article."""
 
 from __future__ import annotations
 
@@ -32,6 +32,8 @@ _START_BODY = re.compile(r"</head\s*>|<body\b", re.IGNORECASE)
 
 #: Where a line stands: in what no article has, in none of both, in an article.
 PLATE, OPEN, ARTICLE = 0, 1, 2
+#: Shared-line marks that are broadcast at most; beyond that the join shuffles.
+BROADCAST_BYTES = 16_000_000
 
 
 def _is_plate(name: str, attributes: str, in_article: bool) -> bool:
@@ -109,86 +111,115 @@ def blocks(page: str) -> list[tuple[int, str]]:
     return out
 
 
+def _lengths(a: list[int], b: list[int]) -> np.ndarray:
+    """Lengths of the longest common subsequences of all of a and each beginning of b, by bit-parallel addition."""
+    places: dict[int, int] = {}
+    for j, x in enumerate(b):
+        places[x] = places.get(x, 0) | 1 << j
+    full = (1 << len(b)) - 1
+    free = full
+    for x in a:
+        used = free & places.get(x, 0)
+        free = ((free + used) | (free - used)) & full
+    bits = np.unpackbits(np.frombuffer(free.to_bytes(-(-len(b) // 8), "little"), np.uint8), bitorder="little")[: len(b)]
+    return np.concatenate([[0], np.cumsum(1 - bits.astype(np.int64))])
+
+
+def _align(a: list[int], b: list[int], at: int, out: np.ndarray) -> None:
+    """Marks in out, from at on, the elements of a that a longest common subsequence with b keeps; halves a until one is left."""
+    low = 0
+    while low < len(a) and low < len(b) and a[low] == b[low]:
+        low += 1
+    out[at : at + low] = True
+    a, b, at = a[low:], b[low:], at + low
+    end = 0
+    while end < len(a) and end < len(b) and a[-1 - end] == b[-1 - end]:
+        end += 1
+    if end:
+        out[at + len(a) - end : at + len(a)] = True
+        a, b = a[:-end], b[:-end]
+    if not a or not b:
+        return
+    if len(a) == 1:
+        out[at] = a[0] in b
+        return
+    half = len(a) // 2
+    cut = int(np.argmax(_lengths(a[:half], b) + _lengths(a[:half - 1 : -1], b[::-1])[::-1]))
+    _align(a[:half], b[:cut], at, out)
+    _align(a[half:], b[cut:], at + half, out)
+
+
 def shared(own: np.ndarray, other: np.ndarray) -> np.ndarray:
-    """Which of own's lines a longest common subsequence with other's keeps."""
-    n, m = len(own), len(other)
-    length = np.zeros((n + 1, m + 1), np.int32)
-    for i in range(n - 1, -1, -1):
-        match = np.where(other == own[i], length[i + 1, 1:] + 1, length[i + 1, :-1])
-        length[i, :-1] = np.maximum.accumulate(match[::-1])[::-1]
-    out, i, j = np.zeros(n, bool), 0, 0
-    while i < n and j < m:
-        if own[i] == other[j] and length[i, j] == length[i + 1, j + 1] + 1:
-            out[i] = True
-            i, j = i + 1, j + 1
-        elif length[i, j] == length[i + 1, j]:
-            i += 1
-        else:
-            j += 1
+    """Which of own's lines a longest common subsequence with other's keeps. Memory grows with the lines, not with their product."""
+    out = np.zeros(len(own), bool)
+    _align(own.tolist(), other.tolist(), 0, out)
     return out
 
 
 def extract(pages: DataFrame) -> DataFrame:
     """One row a page: page_id, url, its main text and the text's code points.
 
-    Blocks are placed by the page's structure: menus, headers, footers, asides,
-    forms, and elements whose class, id or role says so are template; blocks of
-    an article or main element are content, so that an article keeps lines
-    which another article repeats. What stands in neither is judged by page
-    differencing, whether the page has an article or not: pages are ordered by
-    host and path, each is aligned by longest common subsequence with its
-    predecessor (the first page of a host with its successor), and lines that
-    both have are deleted as template. Pages of a host with the same lines are
-    one page there, that of the least path, so that copies don't delete each
-    other; a host with no other page tells nothing, and all such lines stay.
-
-    Null and empty pages have an empty text. Equal URLs are ordered by page_id
-    and by the lines' hash. Repeated rows are judged each for itself; an empty
-    table gives no rows; further columns are ignored. The order is a range
-    partition of line hashes, so a host of any size is spread over tasks; the
-    last page of each part is passed on to the next part.
+    Every page is paired with the one of the nearest URL: pages are ordered by
+    host and path, and of the one before and the one after the one with the
+    longer common beginning of the path counts. All text lines of the two are
+    aligned by longest common subsequence, and the lines that both have are
+    deleted. Structure refines this both ways: lines within an article or main
+    element are content, so that an article keeps what another one repeats;
+    menus, headers, footers, asides, forms, and elements whose class, id or
+    role says so are template also where no other page has their lines.
+    n_lines counts a page's lines, n_shared those that the alignment found.
+
+    Pages of a host with the same lines are one page in the pairing, that of the
+    least path, so that copies don't delete each other; a host with no other
+    page tells nothing. Null and empty pages have an empty text. Equal URLs are
+    ordered by page_id and by their place in the table. Repeated rows are judged
+    each for itself; an empty table gives no rows; further columns are ignored.
+    The order is a range partition of line hashes, so a host of any size is
+    spread over tasks; each part lends its first and last page to its
+    neighbours.
     """
-    schema = "page_id long, url string, host string, path string, row long, lines array<string>, free array<boolean>, hashes array<long>, same long"
+    schema = "page_id long, url string, host string, path string, row long, lines array<string>, places array<int>, hashes array<long>, same long"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, part in slices(batches, "html"):
-            found = [[(p, t) for p, t in blocks(page) if p != PLATE] for page in part.to_pylist()]
-            lines = [[t for _, t in own] for own in found]
-            free = [[p == OPEN for p, _ in own] for own in found]
-            hashes = [[xxhash.xxh3_64_intdigest(t) - (1 << 63) for p, t in own if p == OPEN] for own in found]
+            found = [blocks(page) for page in part.to_pylist()]
+            lines = [[t for p, t in own if p != PLATE] for own in found]
+            # of a line outside articles the number among all lines, else -1
+            places = [[k if p == OPEN else -1 for k, (p, _) in enumerate(own) if p != PLATE] for own in found]
+            hashes = [[xxhash.xxh3_64_intdigest(t) - (1 << 63) for _, t in own] for own in found]
             same = [xxhash.xxh3_64_intdigest("\n".join(f"{p} {t}" for p, t in own)) - (1 << 63) for own in found]
-            yield pa.RecordBatch.from_arrays([*batch.columns[:5], pa.array(lines, pa.list_(pa.string())), pa.array(free, pa.list_(pa.bool_())), pa.array(hashes, pa.list_(pa.int64())), pa.array(same, pa.int64())], names=["page_id", "url", "host", "path", "row", "lines", "free", "hashes", "same"])
+            yield pa.RecordBatch.from_arrays([*batch.columns[:5], pa.array(lines, pa.list_(pa.string())), pa.array(places, pa.list_(pa.int32())), pa.array(hashes, pa.list_(pa.int64())), pa.array(same, pa.int64())], names=[c.split()[0] for c in schema.split(", ")])
 
     url = F.col("url").cast("string")
     only = pages.select(F.col("page_id").cast("long").alias("page_id"), url.alias("url"), host(url).alias("host"), path(url).alias("path"), F.monotonically_increasing_id().alias("row"), F.col("html").cast("string").alias("html"))
     found = materialise(only.mapInArrow(run, schema))
-    judged, clear = F.size("hashes") > 0, F.size("hashes") == 0
-    gone = _template_lines(found.where(judged)).withColumnRenamed("host", "of").withColumnRenamed("same", "with")
-    placed = found.where(judged).join(gone, F.expr("host <=> of AND same = with"), "left")
-    # the k-th free line has the k-th mark
-    marks = F.transform("free", lambda f, i: f & F.coalesce(F.get("gone", F.size(F.filter(F.slice("free", 1, i + 1), lambda x: x)) - 1), F.lit(False)))
-    kept = F.filter(F.transform("lines", lambda t, i: F.when(~F.get(marks, i), t)), lambda t: t.isNotNull())
-    out = placed.select("page_id", "url", F.array_join(kept, "\n").alias("text")).union(found.where(clear).select("page_id", "url", F.array_join("lines", "\n").alias("text")))
-    return out.withColumn("n_chars", F.length("text").cast("long"))
-
-
-def _template_lines(found: DataFrame) -> DataFrame:
-    """(host, same, gone): for each host's pages of the same lines, which of the open ones the page next to them shares."""
+    gone = materialise(_shared_lines(found.where(F.size("hashes") > 0)))
+    small = gone.agg(F.coalesce(F.sum(F.size("gone") + 40), F.lit(0))).first()[0] <= BROADCAST_BYTES
+    gone = gone.select(F.col("host").alias("of"), F.col("same").alias("with"), "gone")
+    placed = found.drop("path", "row").join(F.broadcast(gone) if small else gone, F.expr("host <=> of AND same = with"), "left")
+    kept = F.filter(F.transform("lines", lambda t, i: F.when(~F.coalesce(F.get("gone", F.get("places", i)), F.lit(False)), t)), lambda t: t.isNotNull())
+    out = placed.select("page_id", "url", F.array_join(kept, "\n").alias("text"), F.size("hashes").cast("long").alias("n_lines"), F.size(F.filter(F.coalesce("gone", F.array()), lambda x: x)).cast("long").alias("n_shared"))
+    return out.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"), "n_lines", "n_shared")
+
+
+def _shared_lines(found: DataFrame) -> DataFrame:
+    """(host, same, gone): for each host's pages of the same lines, which of their lines the page of the nearest URL shares; only where it shares some."""
     keys = ["host", "path", "page_id", "row"]
     # the least of pages with the same lines stands for all of them
     least = found.groupBy("host", "same").agg(F.min(F.struct("path", "page_id", "row")).alias("m")).select("m.row")
     lined = found.select(*keys, "same", "hashes").join(least, "row", "left_semi").select(*keys, "same", "hashes")
     parts = int(found.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     ordered = materialise(lined.repartitionByRange(parts, *keys).sortWithinPartitions(*keys).withColumn("part", F.spark_partition_id()))
-    ends = ordered.groupBy("part").agg(F.min(F.struct(*keys)).alias("first"), F.max(F.struct(*keys)).alias("last"))
-    before = ends.select((F.col("part") + 1).alias("part"), F.col("last.row").alias("row"))
-    after = ends.select((F.col("part") - 1).alias("part"), F.col("first.row").alias("row"))
-    lent = ordered.drop("part").join(F.broadcast(before.union(after)), "row").select("part", *keys, "same", "hashes", F.lit(True).alias("lent"))
+    # one row a part, of which there are as many as shuffle partitions: the first and last page of those that are not empty
+    ends = sorted(ordered.groupBy("part").agg(F.min(F.struct(*keys))["row"].alias("first"), F.max(F.struct(*keys))["row"].alias("last")).collect())
+    pairs = [(after.part, before.last) for before, after in zip(ends, ends[1:])] + [(before.part, after.first) for before, after in zip(ends, ends[1:])]
+    spark = found.sparkSession
+    lent = ordered.drop("part").join(F.broadcast(spark.createDataFrame(pairs, "part int, row long")), "row").select("part", *keys, "same", "hashes", F.lit(True).alias("lent"))
     every = ordered.select("part", *keys, "same", "hashes", F.lit(False).alias("lent")).unionByName(lent)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         before = held = None
-        for page in _rows(batches):
+        for page in (row for batch in batches for row in batch.to_pylist()):
             if held is not None and (got := _gone(held, before, page)):
                 yield got
             before, held = (held, page) if held is None or held["part"] == page["part"] else (None, page)
@@ -198,17 +229,17 @@ def _template_lines(found: DataFrame) -> DataFrame:
     return every.repartition(parts, "part").sortWithinPartitions("part", *keys).mapInArrow(run, "host string, same long, gone array<boolean>")
 
 
-def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
-    for batch in batches:
-        yield from batch.to_pylist()
+def _common(a: str, b: str) -> int:
+    return next((i for i, (x, y) in enumerate(zip(a, b)) if x != y), min(len(a), len(b)))
 
 
 def _gone(page: dict, before: dict | None, after: dict | None) -> pa.RecordBatch | None:
-    """The row of a page that has a neighbour in its own host and part."""
+    """The row of a page that shares lines with its neighbour in its own host and part."""
     if page["lent"]:
         return None
     near = [p for p in (before, after) if p is not None and p["part"] == page["part"] and p["host"] == page["host"]]
     if not near:
         return None
-    found = shared(np.array(page["hashes"], np.int64), np.array(near[0]["hashes"], np.int64))
+    nearest = max(near, key=lambda p: _common(p["path"], page["path"]))
+    found = shared(np.array(page["hashes"], np.int64), np.array(nearest["hashes"], np.int64))
     return pa.RecordBatch.from_arrays([pa.array([page["host"]], pa.string()), pa.array([page["same"]], pa.int64()), pa.array([found.tolist()], pa.list_(pa.bool_()))], names=["host", "same", "gone"]) if found.any() else None

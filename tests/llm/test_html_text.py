@@ -1,6 +1,9 @@
 """Page differencing with copies and beside an article."""
 
+import numpy as np
 import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
 
 from factloom.llm import html_text
 
@@ -32,3 +35,43 @@ def test_a_host_of_copies_keeps_all(spark):
 def test_text_outside_a_short_article_is_judged_and_the_article_stays(spark):
     pages = [(f"https://a.example/{k}", [("div", "Top of the site"), ("article", "teaser"), ("p", f"own {k}"), ("nav", "menu"), ("div", "End of the site")]) for k in (1, 2)]
     assert texts(spark, pages) == ["teaser\nown 1", "teaser\nown 2"]
+
+
+def dense(a, b):
+    length = [[0] * (len(b) + 1) for _ in range(len(a) + 1)]
+    for i, x in enumerate(a):
+        for j, y in enumerate(b):
+            length[i + 1][j + 1] = length[i][j] + 1 if x == y else max(length[i][j + 1], length[i + 1][j])
+    return length[-1][-1]
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.integers(0, 6), max_size=40), st.lists(st.integers(0, 6), max_size=40))
+def test_alignment_is_a_longest_common_subsequence(a, b):
+    kept = html_text.shared(np.array(a, np.int64), np.array(b, np.int64))
+    assert kept.sum() == dense(a, b)
+    rest = iter(b)
+    assert all(x in rest for x, keep in zip(a, kept) if keep)
+
+
+def test_alignment_of_long_pages_takes_little_memory():
+    own, other = np.arange(20_000) % 977, (np.arange(20_000) * 3) % 977
+    assert 0 < html_text.shared(own, other).sum() < 20_000
+
+
+def test_every_page_is_paired_over_empty_parts_and_hosts_of_one(spark):
+    pages = [(f"https://{'ab'[k % 2]}.example/{k:03}", [("div", "Top of the site"), ("article", f"own {k}"), ("div", f"only here {k}")]) for k in range(30)] + [("https://c.example/", [("div", "Top of the site"), ("article", "lone")])]
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "64")
+    try:
+        got = texts(spark, pages)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)
+    assert got == [f"own {k}\nonly here {k}" for k in range(30)] + ["Top of the site\nlone"]
+
+
+def test_odd_rows(spark):
+    rows = [(1, None, None, "x"), (2, "no scheme", "", "x"), (None, "https://a.example/", "<p>A &amp; B\n  C</p>", "x"), (3, "https://a.example/", "<p>A &amp; B C</p>", "x"), (3, "https://a.example/", "<p>A &amp; B C</p>", "x")]
+    frame = spark.createDataFrame(rows, "page_id long, url string, html string, text string")
+    assert sorted(((r.page_id or 0, r.text, r.n_chars) for r in html_text.extract(frame).collect())) == [(0, "A & B C", 7), (1, "", 0), (2, "", 0), (3, "A & B C", 7), (3, "A & B C", 7)]
+    assert html_text.extract(frame.limit(0)).count() == 0
