@@ -7,7 +7,6 @@ from array import array
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
@@ -196,7 +195,7 @@ def pack(docs: DataFrame, tokenizer_path: str, window: int = WINDOW, end_id: int
     A document's ids are its text's, then end_id; null and empty texts have the
     end_id alone. Documents over the window are cut into full windows first, so
     only their rests are packed. Pieces are dealt over groups by a hash of the
-    document and of the piece's place in its task; a group is packed best fit
+    piece's place in its task (another split of the files deals them otherwise); a group is packed best fit
     decreasing by OpenWindows, so windows of different groups never mix and no
     task sees more than about docs_per_group documents' pieces. Ties go by
     doc_id, start and checksum. A sequence whose fill is a power of two needs
@@ -223,11 +222,13 @@ def pack(docs: DataFrame, tokenizer_path: str, window: int = WINDOW, end_id: int
                 at += 4 * n
             yield pa.RecordBatch.from_pydict({c: pa.array(x, type=pa.int64()) for c, x in zip(("doc_id", "start", "length", "ids_crc32", "doc_tokens", "pack_group"), zip(*rows, strict=True), strict=True)})
 
-    def fill(key: tuple, pieces: pd.DataFrame) -> pd.DataFrame:
-        pieces = pieces.sort_values(["length", "doc_id", "start", "ids_crc32"], ascending=[False, True, True, True])
-        number, offset, used = best_fit(pieces["length"].to_numpy(), window)
+    def fill(key: tuple, pieces: pa.Table) -> pa.Table:
+        pieces = pieces.sort_by([("length", "descending"), ("doc_id", "ascending"), ("start", "ascending"), ("ids_crc32", "ascending")])
+        number, offset, used = best_fit(pieces.column("length").to_numpy(), window)
         total = used[number]
-        return pieces.drop(columns="pack_group").assign(sequence_id=(int(key[0]) << 32) + number, offset=offset, sequence_tokens=total, padded_to=np.where(total & (total - 1) == 0, total, window))
+        for name, values in (("sequence_id", (key[0].as_py() << 32) + number), ("offset", offset), ("sequence_tokens", total), ("padded_to", np.where(total & (total - 1) == 0, total, window))):
+            pieces = pieces.append_column(name, pa.array(values, pa.int64()))
+        return pieces.drop_columns(["pack_group"])
 
     pieces = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(tokenise, PIECES)
-    return pieces.groupBy("pack_group").applyInPandas(fill, PACKED)
+    return pieces.groupBy("pack_group").applyInArrow(fill, PACKED)
