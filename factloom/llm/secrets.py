@@ -74,12 +74,11 @@ def weak_links(text: str, base: list[Span], scope: int = SCOPE) -> list[tuple[Sp
     if not parts:
         return []
     parts.sort()
-    taken = sorted((s, e) for s, _, e in base)
+    taken, within = _merged(sorted((s, e) for s, _, e in base)), _merged([(p[0], p[1]) for p in parts])
     starts = [p[0] for p in parts]
     # parts may hold others, so the nearest one before is that with the last end; of equal ends the one that begins first
     closed = sorted(reversed(parts), key=lambda p: p[1])
     ends = [p[1] for p in closed]
-    covers = lambda s, e, spans: any(a < e and s < b for a, b in spans)
     found = {m.span() for m in _WEAK_ASSIGN.finditer(text)}
     runs = {m.span(): m[0] for m in _WEAK_RUN.finditer(text)}
     out, last = [], 0
@@ -88,7 +87,7 @@ def weak_links(text: str, base: list[Span], scope: int = SCOPE) -> list[tuple[Sp
         near = [p for p in closed[max(0, before - 1) : before] + parts[after : after + 1] if p[0] - e <= scope and s - p[1] <= scope]
         if s < last or not near or (s, e) not in found and not _looks_random(runs[s, e]):
             continue
-        if covers(s, e, taken) or covers(s, e, [p[:2] for p in parts[max(0, bisect_left(starts, s) - 1) : after]]):
+        if _overlaps(taken, s, e) or _overlaps(within, s, e):
             continue
         part = min(near, key=lambda p: (max(p[0] - e, s - p[1]), p))
         out.append(((s, 3, e), (part[0], 3, part[1]), part[2]))
@@ -106,6 +105,12 @@ def _merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return out
 
 
+def _overlaps(merged: list[tuple[int, int]], start: int, end: int) -> bool:
+    """Whether the span shares a place with one of the merged ones, which rise: the last that begins before its end tells."""
+    at = bisect_left(merged, (end,)) - 1
+    return at >= 0 and merged[at][1] > start
+
+
 def rendered(spans: list[Span]) -> str:
     return ",".join(f"{KINDS[k]}:{s}:{e}" for s, k, e in spans)
 
