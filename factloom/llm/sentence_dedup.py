@@ -13,8 +13,10 @@ from pyspark.sql import functions as F
 
 from .common import materialise, slices
 
-#: A span is the shortest run of consecutive sentences with so many words, from its first sentence on or back from its last.
-SPAN_WORDS = 20
+#: A span is the shortest run of consecutive sentences, from its first on or back from its last, with so many sentences and words.
+SPAN_SENTENCES, SPAN_WORDS = 2, 20
+#: A sentence of so many words is a span by itself.
+LONE_WORDS = 40
 _SENTENCE = re.compile(r"[^\s.!?…](?:[^\n.!?…]|[.!?…]+(?=[^\s.!?…]))*[.!?…]*|[.!?…]+")
 
 
@@ -24,12 +26,14 @@ def sentences(text: str) -> list[tuple[int, int]]:
 
 
 def spans(text: str, at: list[tuple[int, int]], least: int = SPAN_WORDS) -> list[tuple[int, int, bytes]]:
-    """(first sentence, sentence after the last, 128-bit hash) of the shortest spans from each sentence on and up to each sentence, in order; none where too few words follow or precede."""
+    """(first sentence, sentence after the last, 128-bit hash) of the shortest spans from each sentence on and up to each sentence, in order; none where too few follow or precede."""
     plain = [text[s:e].lower().split() for s, e in at]
-    words = np.cumsum([0, *map(len, plain)])
-    ends = np.searchsorted(words, words[:-1] + least)
-    starts = np.searchsorted(words, words[1:] - least, side="right") - 1
-    found = {(i, j) for i, j in enumerate(ends.tolist()) if j <= len(at)} | {(i, j) for j, i in enumerate(starts.tolist(), 1) if i >= 0}
+    n, words = len(at), np.cumsum([0, *map(len, plain)])
+    first = np.arange(n)
+    ends = np.maximum(np.searchsorted(words, words[:-1] + least), first + SPAN_SENTENCES)
+    starts = np.minimum(np.searchsorted(words, words[1:] - least, side="right") - 1, first + 1 - SPAN_SENTENCES)
+    found = {(i, j) for i, j in enumerate(ends.tolist()) if j <= n} | {(i, j) for j, i in enumerate(starts.tolist(), 1) if i >= 0}
+    found |= {(i, i + 1) for i in np.flatnonzero(np.diff(words) >= LONE_WORDS).tolist()}
     joined = [" ".join(p) for p in plain]
     return [(i, j, xxhash.xxh3_128_digest("\n".join(joined[i:j]))) for i, j in sorted(found)]
 
@@ -43,8 +47,8 @@ def repeated_spans(documents: DataFrame, least: int = SPAN_WORDS) -> DataFrame:
 
     The first is that of the least doc_id, and in it the earliest. Spans that
     repeat within a document are told there; the others by a count and a least
-    id for each hash, which are pre-aggregated, and a join back, where Spark
-    may split a hash that many documents share.
+    id for each hash, which are pre-aggregated and written, and a join back of
+    two written tables, so that Spark can split a hash that many documents share.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -59,7 +63,7 @@ def repeated_spans(documents: DataFrame, least: int = SPAN_WORDS) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), (pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int32(), pa.bool_()), strict=True)], names=["doc_id", "first", "last", "h", "g", "again"])
 
     every = materialise(_texts(documents).mapInArrow(run, "doc_id long, first int, last int, h long, g int, again boolean"))
-    known = every.where("NOT again").groupBy("h", "g").agg(F.count("*").alias("n"), F.min("doc_id").alias("first_doc_id")).where("n > 1").drop("n")
+    known = materialise(every.where("NOT again").groupBy("h", "g").agg(F.count("*").alias("n"), F.min("doc_id").alias("first_doc_id")).where("n > 1").drop("n"))
     across = every.join(known, ["h", "g"]).where("doc_id <> first_doc_id").select("doc_id", "first", "last", "first_doc_id")
     within = every.where("again").select("doc_id", "first", "last", F.col("doc_id").alias("first_doc_id"))
     return across.union(within)
@@ -86,7 +90,8 @@ def deduplicate(documents: DataFrame, least: int = SPAN_WORDS) -> DataFrame:
 
     Documents without repeats have no row. Null and empty texts have no spans.
     Rows that repeat a doc_id are one document: what only they share stays, and
-    each of them loses what the document loses. An empty table gives no rows;
+    each of them loses what the document loses. Rows without a doc_id are left
+    out. An empty table gives no rows;
     further columns are ignored.
     """
     found = repeated_spans(documents, least).groupBy("doc_id").agg(F.collect_set(F.struct("first", "last")).alias("spans"), F.array_sort(F.collect_set("first_doc_id")).alias("first_doc_ids"))
