@@ -22,8 +22,8 @@ _NAMES = {"system": 0, "sys": 0, "developer": 0, "instruction": 0, "instructions
 _MARKER = re.compile(r"^\s*(?:(?P<alone>#{1,6}\s*|\*{1,2}|<\|im_start\|>)|\[|<\|?)?(?:im_start\|>)?(?P<name>" + "|".join(sorted(_NAMES, key=len, reverse=True)) + r")(?:\*{1,2})?(?:\s*:\*{0,2}|\]\s*:?|\|?>\s*|(?(alone)(?=\s*$)|(?!)))\s*", re.IGNORECASE)
 #: ChatML's end of a turn, where the line or the turn ends.
 _END, _END_BEFORE = re.compile(r"<\|im_end\|>[^\S\n]*$", re.MULTILINE), re.compile(r"<\|im_end\|>[^\S\n]*(?=<\|im_start\|>)")
-#: How sure a written marker, and the role that a row declares, tells the speaker; a line without either keeps it.
-_SURE, _DECLARED, _STAY = 0.98, 0.995, 0.98
+#: How sure a written marker, and the role that a row declares, tells the speaker; a line without either keeps it. A declared role is one observation that others can outweigh.
+_SURE, _DECLARED, _STAY = 0.98, 0.9, 0.98
 _LENGTHS = (20, 60, 120, 200, 400, 800, 1600)
 _FEATURES = len(_LENGTHS) + 1
 
@@ -39,13 +39,20 @@ def _feature(length: int, asks: bool) -> int:
 
 
 class Model:
-    """Log probabilities of first roles, of the next turn's role, and of a turn's features by role."""
+    """Log probabilities of first roles, of the next turn's role, and of a turn's features by role.
+
+    The last state stands for the place before a conversation, from which first
+    roles follow and which nothing leads to.
+    """
 
     def __init__(self, starts: np.ndarray, moves: np.ndarray, features: np.ndarray):
         smooth = lambda x: np.log((x + 1) / (x + 1).sum(axis=-1, keepdims=True))
-        self.start, self.move, self.emit = smooth(starts), smooth(moves), smooth(features)
         n = len(ROLES)
-        self.stay = np.log(np.where(np.eye(n, dtype=bool), _STAY, (1 - _STAY) / (n - 1)))
+        never = np.full((n + 1, 1), -np.inf)
+        start, self.emit = smooth(starts)[None, :], smooth(features)
+        stay = np.log(np.where(np.eye(n, dtype=bool), _STAY, (1 - _STAY) / (n - 1)))
+        self.move, self.stay = (np.hstack([np.vstack([m, start]), never]) for m in (smooth(moves), stay))
+        self.before = np.array([-np.inf] * n + [0.0])
 
     def scores(self, unit: tuple) -> np.ndarray:
         """Of a unit (opens a row, declared role, marked role, feature) under each role."""
@@ -54,10 +61,10 @@ class Model:
         for role, sure in ((marked, _SURE), (declared, _DECLARED)):
             if role is not None:
                 out += np.log(np.where(np.arange(len(ROLES)) == role, sure, (1 - sure) / (len(ROLES) - 1)))
-        return out
+        return np.append(out, 0.0)
 
     def steps(self, units: list[tuple]) -> list[np.ndarray]:
-        """From each role before a unit to each role of it. A unit that opens a row or has a marker begins a turn."""
+        """From each state before a unit to each state of it. A unit that opens a row or has a marker begins a turn."""
         return [(self.move if u[0] or u[2] is not None else self.stay) + self.scores(u)[None, :] for u in units]
 
 
@@ -144,9 +151,10 @@ def format_chats(conversations: DataFrame, model: Model | None = None) -> DataFr
 
     A row's text is one unit, or several where lines within it open with a
     speaker marker ("User:", "### Assistant", "[human]" and the like), which is
-    cut off. Names without a colon or bracket need a line of their own. The roles are the best path of a hidden Markov model: markers and
-    the row's declared role speak strongly, length and question marks weakly,
-    and turns follow each other as they do in all conversations.
+    cut off. Names without a colon or bracket need a line of their own. The roles are the best path of a hidden Markov model: markers
+    speak most strongly, then the row's declared role, then length and question
+    marks, and turns follow each other as they do in all conversations.
+    Neighbouring units of a row that get the same role are one turn.
 
     Conversations of more than CHUNK rows are decoded in chunks of CHUNK rows at
     most, cut by the rows' order and not by turn, so that many rows of one turn
@@ -198,17 +206,33 @@ def _plan(matrices: DataFrame, model: Model) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for group in _chunks(row.set_column(1, "chunk", pa.nulls(row.num_rows, pa.int64())).append_column("own", row.column(1)) for row in batches):
-            steps = [np.array(row["matrix"]).reshape(3, 3) for row in group]
-            roles = viterbi(_entry(model), steps, None)
-            entries = [_entry(model), *(np.where(np.arange(3) == r, 0.0, -np.inf) for r in roles[:-1])]
+            steps = [np.array(row["matrix"]).reshape(len(model.before), -1) for row in group]
+            roles = viterbi(model.before, steps, None)
+            entries = [model.before, *(np.where(np.arange(len(model.before)) == r, 0.0, -np.inf) for r in roles[:-1])]
             yield pa.RecordBatch.from_pydict({"conv_id": pa.array([row["conv_id"] for row in group], pa.int64()), "chunk": pa.array([row["own"] for row in group], pa.int64()), "entry": pa.array([e.tolist() for e in entries], pa.list_(pa.float64())), "exit": pa.array(roles, pa.int32())})
 
     return matrices.repartition("conv_id").sortWithinPartitions("conv_id", "chunk").mapInArrow(run, "conv_id long, chunk long, entry array<double>, exit int")
 
 
-def _entry(model: Model) -> np.ndarray:
-    """Scores of a role before the first turn, such that moves from it give the first roles' probabilities nearly."""
-    return np.array([-(model.start - model.move[k]).var() for k in range(len(ROLES))])
+def _merged(units: list[tuple], roles: list[int]) -> Iterator[tuple[dict, int, int, str]]:
+    """(row, part, role, text) of the turns: neighbouring units of one row and role are one."""
+    held = None
+    for (row, part, _, body), role in zip(units, roles, strict=True):
+        if held and held[0] is row and held[2] == role:
+            held = (row, held[1], role, f"{held[3]}\n{body.strip()}".strip())
+        else:
+            if held:
+                yield held
+            held = (row, part, role, body.strip())
+    if held:
+        yield held
+
+
+def agreement(conversations: DataFrame) -> DataFrame:
+    """(declared, role, n): roles recovered from markers, lines and turn order alone against the declared ones."""
+    blind = format_chats(conversations.withColumn("role", F.lit(None).cast("string")), fit(conversations)).where("part = 0").select("conv_id", "turn", "role")
+    told = conversations.where(F.col("role").isin(*ROLES)).groupBy("conv_id", "turn").agg(F.min("role").alias("declared"))
+    return told.join(blind, ["conv_id", "turn"]).groupBy("declared", "role").agg(F.count("*").alias("n"))
 
 
 def _decode(rows: DataFrame, model: Model) -> DataFrame:
@@ -218,10 +242,9 @@ def _decode(rows: DataFrame, model: Model) -> DataFrame:
         out: list[tuple] = []
         for group in _chunks(batches):
             units = [(row, part, unit, body) for row in group for part, (unit, body) in enumerate(units_of(row["role"], row["text"]))]
-            entry = _entry(model) if group[0]["entry"] is None else np.array(group[0]["entry"])
+            entry = model.before if group[0]["entry"] is None else np.array(group[0]["entry"])
             roles = viterbi(entry, model.steps([u for _, _, u, _ in units]), group[0]["exit"])
-            for (row, part, _, body), role in zip(units, roles, strict=True):
-                text = body.strip()
+            for row, part, role, text in _merged(units, roles):
                 out.append((row["conv_id"], row["turn"], part, ROLES[role], text, TEMPLATE.format(role=ROLES[role], text=text), row["role"]))
             if len(out) >= 2_000:
                 yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64() if k < 3 else pa.string()) for k, c in enumerate(zip(*out, strict=True))], names=names)

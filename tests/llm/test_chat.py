@@ -32,3 +32,34 @@ def test_chunks_are_bounded_and_exact(spark, monkeypatch, turns):
     got = sorted(map(tuple, chat.format_chats(frame).collect()), key=repr)
     monkeypatch.setattr(chat, "CHUNK", 10**6)
     assert got == sorted(map(tuple, chat.format_chats(frame).collect()), key=repr) and len(got) == 1202
+
+
+def test_best_path_equals_that_of_all_paths():
+    import itertools
+
+    import numpy as np
+
+    rng = np.random.default_rng(4)
+    model = chat.Model(rng.integers(0, 9, 3), rng.integers(0, 9, (3, 3)), rng.integers(0, 9, (3, 2 * chat._FEATURES)))
+    for _ in range(40):
+        units = [(bool(rng.integers(2)) or not k, *(None if rng.integers(2) else int(rng.integers(3)) for _ in range(2)), int(rng.integers(2 * chat._FEATURES))) for k in range(rng.integers(1, 7))]
+        steps = model.steps(units)
+
+        def total(path):
+            return model.before[3] + sum(step[a, b] for step, a, b in zip(steps, (3, *path), path))
+
+        got = chat.viterbi(model.before, steps, None)
+        assert abs(total(tuple(got)) - max(total(p) for p in itertools.product(range(3), repeat=len(units)))) < 1e-9
+
+
+def test_first_role_and_order_outweigh_a_wrong_role(spark):
+    rows = [(c, t, ("user", "assistant")[t % 2], "Why is that so?" if t % 2 == 0 else "Because of this and that. " * 9) for c in range(60) for t in range(4)]
+    rows[41 * 4 + 1] = (41, 1, "user", rows[1][3])
+    got = {(r.conv_id, r.turn): r.role for r in chat.format_chats(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")).collect()}
+    assert got[41, 1] == "assistant" and got[41, 0] == "user" and got[7, 1] == "assistant"
+
+
+def test_lines_of_one_role_are_one_turn(spark):
+    frame = spark.createDataFrame([(1, 0, None, "User: one\nUser: two\nAssistant: three")], "conv_id long, turn long, role string, text string")
+    assert [(r.role, r.text) for r in chat.format_chats(frame).orderBy("part").collect()] == [("user", "one\ntwo"), ("assistant", "three")]
+    assert chat.format_chats(frame.limit(0)).count() == 0
