@@ -27,6 +27,7 @@ class Rule(NamedTuple):
 RULES = (Rule("net", "/", "block"), Rule("example.net", "/en/", "allow"), Rule("example.com", "/de/", "block"), Rule("org", "/fr/", "allow"))
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+_HIDDEN = r"(?is)<!--.*?(?:-->|\z)|<script\b.*?(?:</script\s*>|\z)|<style\b.*?(?:</style\s*>|\z)"
 _CANONICAL = r"""(?is)<link\b(?=[^>]*\brel\s*=\s*["']?[^"'>]*\bcanonical\b)[^>]*\bhref\s*=\s*["']?([^"'\s>]+)"""
 _REFRESH = r"""(?is)<meta\b(?=[^>]*\bhttp-equiv\s*=\s*["']?refresh\b)[^>]*\bcontent\s*=\s*["']?[^"'>;]*;\s*url\s*=\s*["']?([^"'\s>]+)"""
 
@@ -56,9 +57,9 @@ def key(url: Column) -> Column:
 
 
 def alias_edges(pages: DataFrame) -> DataFrame:
-    """(a, b): keys of pages and of what they redirect to (meta refresh) or name as canonical; targets may be relative."""
-    html, url = F.col("html").cast("string"), F.col("url").cast("string")
-    named = pages.where(html.rlike("(?i)canonical|refresh")).select(url.alias("url"), F.concat(F.regexp_extract_all(html, F.lit(_CANONICAL)), F.regexp_extract_all(html, F.lit(_REFRESH))).alias("targets"))
+    """(a, b): keys of pages and of what they redirect to (meta refresh) or name as canonical, outside comments, scripts and styles; targets may be relative."""
+    html, url = F.regexp_replace(F.col("html").cast("string"), _HIDDEN, " "), F.col("url").cast("string")
+    named = pages.where(F.col("html").rlike("(?i)canonical|refresh")).select(url.alias("url"), F.concat(F.regexp_extract_all(html, F.lit(_CANONICAL)), F.regexp_extract_all(html, F.lit(_REFRESH))).alias("targets"))
     target = F.replace("target", F.lit("&amp;"), F.lit("&"))
     site = F.regexp_extract("url", r"^(.*?://[^/?#]*)", 1)
     folder = F.regexp_extract("url", r"^(.*?://[^/?#]*/(?:[^?#]*/)?)", 1)
@@ -87,7 +88,7 @@ def judge(pages: DataFrame, rules: Sequence[Rule] = RULES) -> DataFrame:
     labels = components(edges)
     node = F.concat(F.lit("://"), F.col("node"))
     decided = labels.withColumn("own", rule_of(host(node), path(node), rules, "verdict")).groupBy("label").agg(F.when(F.max(F.col("own") == "allow"), "allow").when(F.max(F.col("own") == "block"), "block").alias("group"))
-    known = labels.join(decided, "label").select(F.col("node").alias("page_key"), "group")
+    known = labels.join(materialise(decided), "label").select(F.col("node").alias("page_key"), "group")
     return judged.join(known, "page_key", "left").select("page_id", "host", "path", "rule", F.coalesce("own", "group", F.lit("allow")).alias("verdict"), F.when(F.col("own").isNotNull(), "rule").when(F.col("group").isNotNull(), "alias").otherwise("default").alias("reason"))
 
 
@@ -107,7 +108,7 @@ def _sql_key(url: str) -> str:
 #: The same over absolute targets: DuckDB's patterns have no look-ahead, so link and meta elements are cut out first.
 ORACLE = rf"""
 WITH RECURSIVE elements AS (
-  SELECT url, unnest(regexp_extract_all(html, '(?is)<(?:link|meta)\b[^>]*>')) AS e FROM pages WHERE regexp_matches(html, '(?i)canonical|refresh')),
+  SELECT url, unnest(regexp_extract_all(regexp_replace(html, '{_HIDDEN.removeprefix("(?is)")}', ' ', 'gis'), '(?is)<(?:link|meta)\b[^>]*>')) AS e FROM pages WHERE regexp_matches(html, '(?i)canonical|refresh')),
 targets AS (
   SELECT url, CASE WHEN regexp_matches(e, '(?is)^<link.*rel\s*=\s*["'']?[^"''>]*\bcanonical\b') THEN regexp_extract(e, '(?is)\bhref\s*=\s*["'']?([^"''\s>]+)', 1)
     WHEN regexp_matches(e, '(?is)^<meta.*http-equiv\s*=\s*["'']?refresh\b') THEN regexp_extract(e, '(?is)\bcontent\s*=\s*["'']?[^"''>;]*;\s*url\s*=\s*["'']?([^"''\s>]+)', 1) END AS t FROM elements),
