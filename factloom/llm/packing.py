@@ -5,6 +5,7 @@ from __future__ import annotations
 import zlib
 from array import array
 from collections.abc import Iterator
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -20,6 +21,8 @@ END_ID = 2
 DOCS_PER_GROUP = 16_384
 #: Entries of one generation of a worker's cache of encoded words.
 CACHED_WORDS = 500_000
+#: Entries that a worker keeps from one task to the next.
+KEPT_WORDS = 100_000
 
 #: Punctuation at a word's end that the tokenizer separates from letters; no apostrophe, which it may join to them.
 _CLOSING = "!\"#$%&()*+,-./:;=?@[]^_`{}~"
@@ -69,6 +72,11 @@ class WordEncoder:
         ends = np.frombuffer(joined.buffers()[1], np.int64, len(codes) + 1)[np.concatenate([[0], np.cumsum(counts)])] if len(codes) else np.zeros(len(counts) + 1, np.int64)
         return memoryview(joined.buffers()[2] or b""), np.diff(ends) // 4
 
+    def shrink(self) -> None:
+        """Keeps the words met first, which are the most frequent: the worker may live on for other work."""
+        self.young, self.old = dict(islice(self.young.items(), KEPT_WORDS)), {}
+        pa.default_memory_pool().release_unused()
+
     def _learn(self, words: list[str]) -> None:
         """Puts the words into the young generation, from the old one where it has them.
 
@@ -221,6 +229,7 @@ def pack(docs: DataFrame, tokenizer_path: str, window: int = WINDOW, end_id: int
                     rows.append((doc_id, start, length, crc, n + 1, zlib.crc32(b"%d.%d.%d" % (own, row, start)) % groups))
                 at += 4 * n
             yield pa.RecordBatch.from_pydict({c: pa.array(x, type=pa.int64()) for c, x in zip(("doc_id", "start", "length", "ids_crc32", "doc_tokens", "pack_group"), zip(*rows, strict=True), strict=True)})
+        encoder(tokenizer_path).shrink()
 
     def fill(key: tuple, pieces: pa.Table) -> pa.Table:
         pieces = pieces.sort_by([("length", "descending"), ("doc_id", "ascending"), ("start", "ascending"), ("ids_crc32", "ascending")])
