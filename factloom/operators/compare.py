@@ -12,19 +12,20 @@ from ..functions.text import overlap
 from .facts import causal_links, contradictions, numeric_facts, polarity_facts
 
 
-def assign(a: Column, b: Column, similarity: Callable[[Column, Column], Column]) -> Column:
+def assign(a: Column, b: Column, fits: Callable[[Column, Column], Column], similarity: Callable[[Column, Column], Column]) -> Column:
     """Greedy assignment in the order of a: array<struct<i, j, similarity>>, positions from 0.
 
-    Each element of a takes the free element of b with the greatest similarity
-    (null: no candidate), the first of equals. The state of the fold is the
-    list of pairs, which also tells what is taken.
+    Each element of a takes the free element of b that fits with the greatest
+    similarity (null: no candidate), the first of equals. The state of the fold
+    is the list of pairs, which also tells what is taken; fits, a cheap test,
+    comes before it, so that few elements are looked up and compared.
     """
+    placed = F.transform(b, lambda y, j: F.struct(y.alias("y"), j.alias("j")))
 
     def step(pairs: Column, i: Column) -> Column:
         x = F.get(a, i)
-        scored = F.transform(b, lambda y, j: F.struct(similarity(x, y).alias("s"), (-j).alias("j")))
-        free = F.filter(scored, lambda c: c["s"].isNotNull() & ~F.exists(pairs, lambda p: p["j"] == -c["j"]))
-        best = F.array_max(free)
+        free = F.filter(placed, lambda c: fits(x, c["y"]) & ~F.exists(pairs, lambda p: p["j"] == c["j"]))
+        best = F.array_max(F.filter(F.transform(free, lambda c: F.struct(similarity(x, c["y"]).alias("s"), (-c["j"]).alias("j"))), lambda c: c["s"].isNotNull()))
         return F.when(best.isNull(), pairs).otherwise(F.concat(pairs, F.array(F.struct(i.alias("i"), (-best["j"]).alias("j"), best["s"].cast("double").alias("similarity")))))
 
     none = F.array().cast("array<struct<i:int,j:int,similarity:double>>")
@@ -38,14 +39,15 @@ def with_facts(pairs: DataFrame, source: str = "source_text", summary: str = "su
 
 def numeric_pairs(a: Column, b: Column) -> Column:
     """Which numbers are the same measure: the only ones of their category (ages only of persons), else equal label sets, the context breaking ties."""
+    count = lambda facts, x: F.size(F.filter(facts, lambda z: z["category"] == x["category"]))
+    # whether a fact is alone is told once for each fact of a, not for each pair
+    alone = F.transform(a, lambda x: F.struct(x["category"].alias("category"), x["label_key"].alias("label_key"), x["words"].alias("words"), x["person"].alias("person"), ((count(a, x) == 1) & (count(b, x) == 1)).alias("only")))
 
     def alike(x: Column, y: Column) -> Column:
-        same = x["category"] == y["category"]
-        only = (F.size(F.filter(a, lambda z: z["category"] == x["category"])) == 1) & (F.size(F.filter(b, lambda z: z["category"] == x["category"])) == 1)
-        sure = only & ((x["category"] != "age") | (x["person"] & y["person"]))
-        return F.when(same & sure, F.lit(1.0)).when(same & (x["label_key"] == y["label_key"]), overlap(x["words"], y["words"]))
+        sure = x["only"] & ((x["category"] != "age") | (x["person"] & y["person"]))
+        return F.when(sure, F.lit(1.0)).when(x["label_key"] == y["label_key"], overlap(x["words"], y["words"]))
 
-    return assign(a, b, alike)
+    return assign(alone, b, lambda x, y: x["category"] == y["category"], alike)
 
 
 def polarity_pairs(a: Column, b: Column) -> Column:
@@ -53,9 +55,9 @@ def polarity_pairs(a: Column, b: Column) -> Column:
 
     def alike(x: Column, y: Column) -> Column:
         share = overlap(x["words"], y["words"])
-        return F.when((x["predicate"] == y["predicate"]) & (share >= lx.CONTEXT_SHARE), share)
+        return F.when(share >= lx.CONTEXT_SHARE, share)
 
-    return assign(a, b, alike)
+    return assign(a, b, lambda x, y: x["predicate"] == y["predicate"], alike)
 
 
 def unit_mismatches(a: Column, b: Column) -> Column:
@@ -81,36 +83,36 @@ def compare(pairs: DataFrame, source: str = "source_text", summary: str = "summa
     """
     done = with_facts(pairs, source, summary).withColumns(
         {
-            "number_pairs": numeric_pairs(F.col("numbers_a"), F.col("numbers_b")),
-            "statement_pairs": polarity_pairs(F.col("statements_a"), F.col("statements_b")),
-            "other_units": unit_mismatches(F.col("numbers_a"), F.col("numbers_b")),
-            "links_a": causal_links(F.col(source)),
-            "links_b": causal_links(F.col(summary)),
-            "claims": contradictions(F.col(summary)),
+            "_number_pairs": numeric_pairs(F.col("numbers_a"), F.col("numbers_b")),
+            "_statement_pairs": polarity_pairs(F.col("statements_a"), F.col("statements_b")),
+            "_other_units": unit_mismatches(F.col("numbers_a"), F.col("numbers_b")),
+            "_links_a": causal_links(F.col(source)),
+            "_links_b": causal_links(F.col(summary)),
+            "_claims": contradictions(F.col(summary)),
         }
     )
     side = lambda name, p, at: F.get(F.col(name), p[at])
-    wrong = F.filter("number_pairs", lambda p: F.abs(side("numbers_a", p, "i")["value"] - side("numbers_b", p, "j")["value"]) > lx.TOLERANCE)
-    flips = F.filter("statement_pairs", lambda p: side("statements_a", p, "i")["polarity"] != side("statements_b", p, "j")["polarity"])
+    wrong = F.filter("_number_pairs", lambda p: F.abs(side("numbers_a", p, "i")["value"] - side("numbers_b", p, "j")["value"]) > lx.TOLERANCE)
+    flips = F.filter("_statement_pairs", lambda p: side("statements_a", p, "i")["polarity"] != side("statements_b", p, "j")["polarity"])
     told = lambda name: lambda p: F.concat(side(f"{name}_a", p, "i")["raw"], F.lit(" → "), side(f"{name}_b", p, "j")["raw"])
-    introduced = F.greatest(F.size("links_b") - F.size("links_a"), F.lit(0))
+    introduced = F.greatest(F.size("_links_b") - F.size("_links_a"), F.lit(0))
     return done.withColumn(
         "objective",
         F.struct(
             F.struct(
                 F.size("numbers_a").alias("total_in_a"),
-                (F.size("number_pairs") - F.size(wrong)).alias("matched"),
+                (F.size("_number_pairs") - F.size(wrong)).alias("matched"),
                 F.size(wrong).alias("mismatch_count"),
-                F.size("other_units").alias("unit_mismatch_count"),
+                F.size("_other_units").alias("unit_mismatch_count"),
                 F.transform(wrong, told("numbers")).alias("mismatches"),
-                F.transform("other_units", lambda u: F.concat(u["raw_a"], F.lit(" → "), u["raw_b"])).alias("unit_mismatches"),
-                F.array_distinct(F.concat(F.transform("number_pairs", lambda p: p["i"]), F.transform("other_units", lambda u: u["i"]))).alias("covered"),
+                F.transform("_other_units", lambda u: F.concat(u["raw_a"], F.lit(" → "), u["raw_b"])).alias("unit_mismatches"),
+                F.array_distinct(F.concat(F.transform("_number_pairs", lambda p: p["i"]), F.transform("_other_units", lambda u: u["i"]))).alias("covered"),
             ).alias("numeric"),
-            F.struct(F.size("statements_a").alias("total_in_a"), (F.size("statement_pairs") - F.size(flips)).alias("matched"), F.size(flips).alias("flip_count"), F.transform(flips, told("statements")).alias("flips")).alias("polarity"),
-            F.struct(F.size("links_a").alias("in_a"), F.size("links_b").alias("in_b"), introduced.alias("introduced"), F.slice("links_b", F.lit(1), introduced).alias("introduced_markers")).alias("causality"),
-            F.struct(F.col("claims").alias("contradictions"), F.size("claims").alias("count")).alias("interpretation"),
+            F.struct(F.size("statements_a").alias("total_in_a"), (F.size("_statement_pairs") - F.size(flips)).alias("matched"), F.size(flips).alias("flip_count"), F.transform(flips, told("statements")).alias("flips")).alias("polarity"),
+            F.struct(F.size("_links_a").alias("in_a"), F.size("_links_b").alias("in_b"), introduced.alias("introduced"), F.slice("_links_b", F.lit(1), introduced).alias("introduced_markers")).alias("causality"),
+            F.struct(F.col("_claims").alias("contradictions"), F.size("_claims").alias("count")).alias("interpretation"),
         ),
-    ).drop("number_pairs", "statement_pairs", "other_units", "links_a", "links_b", "claims")
+    ).drop("_number_pairs", "_statement_pairs", "_other_units", "_links_a", "_links_b", "_claims")
 
 
 def flags(objective: Column) -> dict[str, Column]:

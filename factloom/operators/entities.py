@@ -1,62 +1,129 @@
-"""Comparison of named entities that some extractor found in a source and in a summary."""
+"""Comparison of named entities that some extractor found in a source and in a summary, grounded in the texts."""
 
 from __future__ import annotations
 
 from difflib import SequenceMatcher
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType
 
 from .. import lexicons as lx
 from ..functions.text import squeezed, words
 from .compare import assign
 
+ENTITIES = "array<struct<category:string,precision:double,recall:double,f1:double,in_a:int,in_b:int,matched:int,missing:array<string>,extra:array<string>>>"
 
-@F.pandas_udf(DoubleType())
-def ratio(a: pd.Series, b: pd.Series) -> pd.Series:
-    """Ratcliff-Obershelp similarity, which has no built-in counterpart."""
-    return pd.Series([SequenceMatcher(None, x or "", y or "", autojunk=False).ratio() for x, y in zip(a, b, strict=True)], dtype="float64")
 
+@F.arrow_udf("array<struct<a:string,b:string>>")
+def near(pairs: pa.Array) -> pa.Array:
+    """Those of each row's pairs whose Ratcliff-Obershelp similarity, which has no built-in counterpart, is great enough."""
+    kept = [[p for p in own or () if SequenceMatcher(None, p["a"], p["b"], autojunk=False).ratio() >= lx.ENTITY_RATIO] for own in pairs.to_pylist()]
+    return pa.array(kept, pa.list_(pa.struct([("a", pa.string()), ("b", pa.string())])))
 
-def _tokens(name: Column) -> Column:
-    return F.array_distinct(F.filter(words(name, lx.TOKEN), lambda t: F.length(t) >= 3))
+
+def _with_near(rows: DataFrame, asked: Column) -> DataFrame:
+    """rows with _near: the alike ones of the pairs asked.
+
+    The pairs are a column of their own and used twice, which keeps their
+    lambdas out of the Python call; a call that counts as nondeterministic is
+    not moved into lambdas or filters.
+    """
+    placed = rows.withColumn("_asked", asked)
+    return placed.withColumn("_got", near.asNondeterministic()("_asked")).withColumn("_near", F.when(F.size("_asked") > 0, F.col("_got")).otherwise(F.array().cast("array<struct<a:string,b:string>>"))).drop("_asked", "_got")
+
+
+def normal(name: Column) -> Column:
+    """In lower case, white space squeezed, without punctuation at its ends."""
+    return F.regexp_replace(squeezed(name), r"^[.,;:]+|[.,;:]+$", "")
+
+
+def _telling(tokens: Column) -> Column:
+    return F.array_distinct(F.filter(tokens, lambda t: F.length(t) >= 3))
 
 
 def plain_match(a: Column, b: Column) -> Column:
     """Equal, one inside the other (the first longer than 3), or one's telling words all among the other's."""
-    ta, tb = _tokens(a), _tokens(b)
+    ta, tb = _telling(words(a, lx.TOKEN)), _telling(words(b, lx.TOKEN))
     subset = (F.size(ta) > 0) & (F.size(tb) > 0) & ((F.size(F.array_except(ta, tb)) == 0) | (F.size(F.array_except(tb, ta)) == 0))
     inside = (F.length(a) > 3) & (b.contains(a) | a.contains(b))
     return (a != "") & (b != "") & ((a == b) | inside | subset)
 
 
+def _possible(a: Column, b: Column) -> Column:
+    """Whether the lengths allow the least similarity."""
+    return (a != "") & (b != "") & (2 * F.least(F.length(a), F.length(b)) >= lx.ENTITY_RATIO * (F.length(a) + F.length(b)))
+
+
 def matches(names: DataFrame) -> DataFrame:
     """names (a, b) with match. Only pairs that fail the plain tests, and whose lengths allow the ratio, reach Python."""
-    a, b = squeezed(F.col("a")), squeezed(F.col("b"))
-    possible = 2 * F.least(F.length(a), F.length(b)) >= lx.ENTITY_RATIO * (F.length(a) + F.length(b))
-    tested = names.withColumn("plain", F.coalesce(plain_match(a, b), F.lit(False))).withColumn("near", F.when(~F.col("plain") & possible & (a != "") & (b != ""), F.struct(a.alias("a"), b.alias("b"))))
-    fuzzy = F.coalesce(ratio(F.col("near.a"), F.col("near.b")) >= lx.ENTITY_RATIO, F.lit(False))
-    return tested.select(*names.columns, (F.col("plain") | (F.col("near").isNotNull() & fuzzy)).alias("match"))
+    a, b = normal(F.col("a")), normal(F.col("b"))
+    plain = F.coalesce(plain_match(a, b), F.lit(False))
+    none = F.array().cast("array<struct<a:string,b:string>>")
+    tested = _with_near(names.withColumn("_plain", plain), F.when(~F.col("_plain") & _possible(a, b), F.array(F.struct(a.alias("a"), b.alias("b")))).otherwise(none))
+    return tested.select(*names.columns, (F.col("_plain") | (F.size("_near") > 0)).alias("match"))
+
 
+def same_stem(a: Column, b: Column) -> Column:
+    """Whether two words share a beginning of all but two letters of the shorter one, three letters at least."""
+    n = F.greatest(F.lit(3), F.least(F.length(a), F.length(b)) - 2)
+    return (F.least(F.length(a), F.length(b)) >= n) & (F.left(a, n) == F.left(b, n))
 
-def scores(pairs: DataFrame, key: str) -> DataFrame:
-    """(key, category, in_a, in_b, matched, precision, recall, f1) from entities_a and entities_b, maps of category to names.
 
-    Names are paired first-fit in their order, each once. An empty side: recall
-    1 without names in a; precision 1 without names in b if a has none either,
-    else 0. A row's names meet only each other.
+def present(name: Column, tokens: Column) -> Column:
+    """Whether each of a name's telling words (those that frame it left out, if others are left) has a word of its stem among a text's tokens."""
+    own = words(name, lx.TOKEN)
+    long = F.filter(own, lambda t: F.length(t) >= 3)
+    core = F.filter(long, lambda t: ~t.isin(*lx.FRAMING_WORDS))
+    asked = F.when(F.size(core) > 0, core).when(F.size(long) > 0, long).otherwise(own)
+    return (F.size(asked) > 0) & F.forall(asked, lambda t: F.exists(tokens, lambda x: same_stem(t, x)))
+
+
+def compared(pairs: DataFrame, source: str | None = None, summary: str | None = None) -> DataFrame:
+    """pairs with entities (see ENTITIES), from entities_a and entities_b, maps of category to names.
+
+    With texts, names that are not in their own text are left out first, and a
+    name of one side without a partner is neither missing nor extra where the
+    other side's text has it. Names are paired first-fit in their order, each
+    once. An empty side: recall 1 without names in a; precision 1 without names
+    in b if a has none either, else 0. Every row is done in place, no shuffle;
+    null maps and texts are empty.
     """
-    names = lambda side: F.transform(F.coalesce(F.try_element_at(f"entities_{side}", "category"), F.array().cast("array<string>")), squeezed)
-    rows = pairs.select(key, "entities_a", "entities_b", F.explode(F.array(*map(F.lit, lx.ENTITY_CATEGORIES))).alias("category"))
-    rows = rows.select(key, "category", names("a").alias("na"), names("b").alias("nb"))
-    crossed = rows.select(key, "category", "nb", F.explode("na").alias("a")).select(key, "category", "a", F.explode("nb").alias("b")).distinct()
-    alike = matches(crossed).where("match").groupBy(key, "category").agg(F.collect_set(F.struct("a", "b")).alias("alike"))
-    joined = rows.join(alike, [key, "category"], "left").withColumn("alike", F.coalesce("alike", F.array().cast("array<struct<a:string,b:string>>")))
-    fit = assign(F.col("na"), F.col("nb"), lambda x, y: F.when(F.exists("alike", lambda m: (m["a"] == x) & (m["b"] == y)), F.lit(1.0)))
-    n = joined.select(key, "category", F.size("na").alias("in_a"), F.size("nb").alias("in_b"), F.size(fit).alias("matched"))
-    recall = F.when(F.col("in_a") > 0, F.col("matched") / F.col("in_a")).otherwise(1.0)
-    precision = F.when(F.col("in_b") > 0, F.col("matched") / F.col("in_b")).when(F.col("in_a") == 0, 1.0).otherwise(0.0)
-    out = n.select("*", precision.alias("precision"), recall.alias("recall"))
-    return out.withColumn("f1", F.coalesce(F.try_divide(2 * F.col("precision") * F.col("recall"), F.col("precision") + F.col("recall")), F.lit(0.0)))
+    none = F.array().cast("array<string>")
+    tokens = lambda text: F.array_distinct(words(F.coalesce(F.col(text), F.lit("")), lx.TOKEN)) if text else none
+    grounded = pairs.withColumns({"_ta": tokens(source), "_tb": tokens(summary)})
+
+    def names(side: str, category: Column) -> Column:
+        raw = F.coalesce(F.try_element_at(F.col(f"entities_{side}"), category), none)
+        own = F.transform(raw, lambda x: F.struct(x.alias("raw"), normal(x).alias("norm")))
+        text = F.col(f"_t{side}")
+        return F.filter(own, lambda e: (F.size(text) == 0) | present(e["norm"], text))
+
+    listed = grounded.withColumn("_names", F.transform(F.array(*map(F.lit, lx.ENTITY_CATEGORIES)), lambda c: F.struct(c.alias("category"), names("a", c).alias("a"), names("b", c).alias("b"))))
+    unlike = lambda x: lambda y: ~plain_match(x["norm"], y["norm"]) & _possible(x["norm"], y["norm"])
+    asked = F.flatten(F.transform("_names", lambda n: F.flatten(F.transform(n["a"], lambda x: F.transform(F.filter(n["b"], unlike(x)), lambda y: F.struct(x["norm"].alias("a"), y["norm"].alias("b")))))))
+    listed = _with_near(listed, asked)
+    fits = lambda x, y: plain_match(x["norm"], y["norm"]) | F.exists("_near", lambda m: (m["a"] == x["norm"]) & (m["b"] == y["norm"]))
+    listed = listed.withColumn("_fit", F.transform("_names", lambda n: assign(n["a"], n["b"], fits, lambda x, y: F.lit(1.0))))
+
+    def lost(n: Column, fit: Column, side: str, at: str, tokens: Column) -> Column:
+        """Names without a partner that the other text doesn't have either."""
+        numbered = F.transform(n[side], lambda e, i: F.struct(e["raw"].alias("raw"), e["norm"].alias("norm"), i.alias("i")))
+        return F.transform(F.filter(numbered, lambda e: ~F.exists(fit, lambda p: p[at] == e["i"]) & ~present(e["norm"], tokens)), lambda e: e["raw"])
+
+    told = F.transform(
+        F.arrays_zip("_names", "_fit"),
+        lambda z: F.struct(z["_names"]["category"].alias("category"), F.size(z["_names"]["a"]).alias("in_a"), F.size(z["_names"]["b"]).alias("in_b"), F.size(z["_fit"]).alias("matched"), lost(z["_names"], z["_fit"], "a", "i", F.col("_tb")).alias("missing"), lost(z["_names"], z["_fit"], "b", "j", F.col("_ta")).alias("extra")),
+    )
+    recall = lambda e: F.when(e["in_a"] > 0, (e["in_a"] - F.size(e["missing"])) / e["in_a"]).otherwise(1.0)
+    precision = lambda e: F.when(e["in_b"] > 0, (e["in_b"] - F.size(e["extra"])) / e["in_b"]).when(e["in_a"] == 0, 1.0).otherwise(0.0)
+    f1 = lambda e: F.coalesce(F.try_divide(2 * precision(e) * recall(e), precision(e) + recall(e)), F.lit(0.0))
+    done = listed.withColumn("_told", told)
+    full = F.transform("_told", lambda e: F.struct(e["category"].alias("category"), F.round(precision(e), 3).alias("precision"), F.round(recall(e), 3).alias("recall"), F.round(f1(e), 3).alias("f1"), e["in_a"].alias("in_a"), e["in_b"].alias("in_b"), e["matched"].alias("matched"), e["missing"].alias("missing"), e["extra"].alias("extra")))
+    return done.withColumn("entities", full).drop("_ta", "_tb", "_names", "_near", "_fit", "_told")
+
+
+def changed(entities: Column) -> Column:
+    """Whether a name of substance is missing or extra: one with a word of four letters or more that is not generic."""
+    word = lambda t: (F.length(t) >= 4) & ~t.isin(*lx.GENERIC_ENTITY_WORDS)
+    return F.exists(entities, lambda e: F.exists(F.concat(e["missing"], e["extra"]), lambda x: F.exists(words(x, lx.TOKEN), word)))

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import re
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BooleanType, DataType, DoubleType, StringType, StructField, StructType
@@ -32,6 +32,19 @@ def _array(**fields: DataType) -> ArrayType:
     return ArrayType(StructType([StructField(name, kind) for name, kind in fields.items()]))
 
 
+_ARROW = {StringType: pa.string(), DoubleType: pa.float64(), BooleanType: pa.bool_(), ArrayType: pa.list_(pa.string())}
+
+
+def _lists(rows: list[list[dict]], kind: ArrayType) -> pa.Array:
+    """Each row's facts as a list of structs, built column by column."""
+    ends = [0]
+    for own in rows:
+        ends.append(ends[-1] + len(own))
+    fields = kind.elementType.fields
+    columns = [pa.array([fact[f.name] for own in rows for fact in own], _ARROW[type(f.dataType)]) for f in fields]
+    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.StructArray.from_arrays(columns, [f.name for f in fields]))
+
+
 NUMBERS = _array(value=_NUMBER, unit_raw=_TEXT, unit=_TEXT, category=_TEXT, label=_TEXT, label_key=_TEXT, context=_TEXT, words=_WORDS, person=_FLAG, raw=_TEXT)
 STATEMENTS = _array(predicate=_TEXT, polarity=_FLAG, context=_TEXT, words=_WORDS, raw=_TEXT)
 CLAIMS = _array(claimed=_TEXT, value=_NUMBER, second=_NUMBER, unit=_TEXT, fragment=_TEXT)
@@ -53,8 +66,8 @@ def label_key(name: str) -> str | None:
     return " ".join(sorted(set(name.split()).difference(lx.GENERIC_LABEL_WORDS))) or None
 
 
-@F.pandas_udf(NUMBERS)
-def numeric_facts(texts: pd.Series) -> pd.Series:
+@F.arrow_udf(NUMBERS)
+def numeric_facts(texts: pa.Array) -> pa.Array:
     """Numbers with units in text order: value, unit, category, label, and the words before them. Null texts have none."""
 
     def facts(text: str | None) -> list[dict]:
@@ -77,11 +90,11 @@ def numeric_facts(texts: pd.Series) -> pd.Series:
             )
         return out
 
-    return texts.map(facts)
+    return _lists([facts(text) for text in texts.to_pylist()], NUMBERS)
 
 
-@F.pandas_udf(STATEMENTS)
-def polarity_facts(texts: pd.Series) -> pd.Series:
+@F.arrow_udf(STATEMENTS)
+def polarity_facts(texts: pa.Array) -> pa.Array:
     """Predicates with or without a negation in text order, then antonyms in text order. One phrase may give both."""
 
     def fact(predicate: str, polarity: bool, left: str, raw: str) -> dict:
@@ -93,11 +106,11 @@ def polarity_facts(texts: pd.Series) -> pd.Series:
         paired = [fact(lx.ANTONYMS[(m.lastindex - 1) // 2][0], m.lastindex % 2 == 1, left, m[0]) for m, left, _ in found(_ANTONYM, text, lx.POLARITY_WINDOW)]
         return stated + paired
 
-    return texts.map(facts)
+    return _lists([facts(text) for text in texts.to_pylist()], STATEMENTS)
 
 
-@F.pandas_udf(CLAIMS)
-def claims(texts: pd.Series) -> pd.Series:
+@F.arrow_udf(CLAIMS)
+def claims(texts: pa.Array) -> pa.Array:
     """Judging words with a value right after them."""
 
     def read(text: str | None) -> list[dict]:
@@ -108,7 +121,7 @@ def claims(texts: pd.Series) -> pd.Series:
                 out.append({"claimed": lx.CLAIMS[m.lastindex - 1][0], "value": float(v[1].replace(",", ".")), "second": float(v[2]) if v[2] else None, "unit": re.sub(r"\s+", "", (v[3] or "").lower()), "fragment": fragment})
         return out
 
-    return texts.map(read)
+    return _lists([read(text) for text in texts.to_pylist()], CLAIMS)
 
 
 def causal_links(text: Column) -> Column:

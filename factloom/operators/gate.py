@@ -19,25 +19,31 @@ def _gone(a: Column, b: Column, field: str, critical: tuple[str, ...], code: str
     return F.transform(lost, lambda x: _reason(F.concat(F.lit(code), x), "reject"))
 
 
+def counts(facts: Column, field: str) -> Column:
+    """array<struct<key, n>>: how often each value of a field occurs, in the order of first occurrence."""
+    values = F.transform(facts, lambda f: f[field])
+    return F.transform(F.array_distinct(values), lambda v: F.struct(v.alias("key"), F.size(F.filter(values, lambda x: x == v)).alias("n")))
+
+
 def gate(facts: DataFrame, scope: Column | None = None, entities: Column | None = None) -> DataFrame:
     """facts (see compare.with_facts) with gate: struct<status, reasons array<struct<code, severity>>>.
 
     Without a scope every critical kind of number or statement in the source
-    must occur in the summary. entities is an optional
-    map<category, struct<recall, in_a, ...>>: a critical category that is not
-    covered at all rejects, with a scope any category below the least recall
-    asks for rework. status: reject if any reason does, else rework if there is
-    one, else pass.
+    must occur in the summary. entities are those of entities.compared:
+    without a scope a critical category that is not covered at all rejects;
+    with one any category below the least recall asks for rework, or rejects
+    where nothing is covered. status: reject if any reason does, else rework if
+    there is one, else pass.
     """
     scope = F.lit(None).cast("string") if scope is None else scope
     none = F.array().cast("array<struct<code:string,severity:string>>")
     plain = F.concat(_gone(F.col("numbers_a"), F.col("numbers_b"), "category", lx.CRITICAL_NUMBERS, "numeric_coverage_low:"), _gone(F.col("statements_a"), F.col("statements_b"), "predicate", lx.CRITICAL_PREDICATES, "predicate_coverage_low:"))
     reasons = F.when(scope.isNull(), plain).otherwise(none)
     if entities is not None:
-        low = F.filter(F.map_entries(entities), lambda e: (e["value"]["in_a"] > 0) & (e["value"]["recall"] < lx.MIN_ENTITY_RECALL))
-        nothing = lambda e: (e["value"]["recall"] == 0) & e["key"].isin(*lx.CRITICAL_ENTITIES)
-        low = F.filter(low, lambda e: nothing(e) | scope.isNotNull())
-        own = F.transform(low, lambda e: _reason(F.concat(F.lit("entity_recall_low:"), e["key"]), F.when(e["value"]["recall"] == 0, "reject").otherwise("rework")))
-        reasons = F.concat(reasons, F.coalesce(own, none))
-    status = F.when(F.exists("reasons", lambda r: r["severity"] == "reject"), "reject").when(F.size("reasons") > 0, "rework").otherwise("pass")
-    return facts.withColumn("reasons", reasons).withColumn("gate", F.struct(status.alias("status"), F.col("reasons").alias("reasons"))).drop("reasons")
+        nothing = lambda e: e["recall"] == 0
+        of = lambda test, code, severity: F.transform(F.filter(entities, lambda e: (e["in_a"] > 0) & test(e)), lambda e: _reason(F.concat(F.lit(code), e["category"]), severity(e)))
+        whole = of(lambda e: nothing(e) & e["category"].isin(*lx.CRITICAL_ENTITIES), "entity_recall_zero:", lambda e: "reject")
+        scoped = of(lambda e: e["recall"] < lx.MIN_ENTITY_RECALL, "entity_recall_low:", lambda e: F.when(nothing(e), "reject").otherwise("rework"))
+        reasons = F.concat(reasons, F.coalesce(F.when(scope.isNull(), whole).otherwise(scoped), none))
+    status = F.when(F.exists("_reasons", lambda r: r["severity"] == "reject"), "reject").when(F.size("_reasons") > 0, "rework").otherwise("pass")
+    return facts.withColumn("_reasons", reasons).withColumn("gate", F.struct(status.alias("status"), F.col("_reasons").alias("reasons"))).drop("_reasons")

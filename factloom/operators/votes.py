@@ -15,10 +15,14 @@ PAIR = ("emr_id", "model_id")
 
 
 def final_votes(votes: DataFrame) -> DataFrame:
-    """A judge's votes on a pair: those of the second round where the judge gave any on that block, else of the first."""
-    key = [*PAIR, "role", "block"]
-    last = votes.groupBy(*key).agg(F.max("round").alias("round"))
-    return votes.join(last, [*key, "round"], "left_semi")
+    """(pair, role, block, code, pass, round): a judge's vote on each criterion, that of the last round that has one.
+
+    A later round without an answer leaves the earlier one standing; pass and
+    round are null where no round has one. The rows are dealt out by pair once,
+    and everything below groups within a pair, so nothing is shuffled again.
+    """
+    given = F.when(F.col("pass").isNotNull(), F.col("round"))
+    return votes.repartition(*PAIR).groupBy(*PAIR, "role", "block", "code").agg(F.max_by("pass", given).alias("pass"), F.max(given).alias("round"))
 
 
 def majority(passed: str = "pass") -> Column:
@@ -26,49 +30,75 @@ def majority(passed: str = "pass") -> Column:
     return F.when(F.count(passed) > 0, 2 * F.count_if(F.col(passed)) > F.count(passed))
 
 
-def criteria(votes: DataFrame) -> DataFrame:
-    """(pair, block, code, vote): the majority on each criterion. Partial sums meet in one shuffle by pair, block and code."""
-    return votes.groupBy(*PAIR, "block", "code").agg(majority().alias("vote"))
+def criteria(final: DataFrame) -> DataFrame:
+    """(pair, block, code, vote, raised): the majority on each criterion, and the judges whose vote on E1 is false, sorted."""
+    raised = F.when((F.col("code") == "E1") & ~F.col("pass"), F.col("role"))
+    return final.groupBy(*PAIR, "block", "code").agg(majority().alias("vote"), F.array_sort(F.collect_set(raised)).alias("raised"))
 
 
 def blocks(criteria: DataFrame) -> DataFrame:
-    """(pair, block, decided, passed, failed, undetermined, score, status); score is null where nothing is decided."""
+    """(pair, block, decided, passed, failed, undetermined, score, status, label, raised).
+
+    score is a rounded percentage, null where nothing is decided; label tells
+    passed criteria of all, and those without data, which never count as failed.
+    """
     vote = F.col("vote")
     codes = lambda which: F.array_sort(F.collect_list(F.when(which, F.col("code"))))
-    out = criteria.groupBy(*PAIR, "block").agg(F.count("vote").alias("decided"), F.count_if(vote).alias("passed"), codes(~vote).alias("failed"), codes(vote.isNull()).alias("undetermined"))
+    out = criteria.groupBy(*PAIR, "block").agg(
+        F.count("vote").alias("decided"), F.count_if(vote).alias("passed"), codes(~vote).alias("failed"), codes(vote.isNull()).alias("undetermined"), F.flatten(F.collect_list("raised")).alias("raised"), F.count("*").alias("n")
+    )
     ok = (F.size("failed") == 0) & (F.size("undetermined") == 0)
-    return out.withColumn("score", F.try_divide(100.0 * F.col("passed"), F.col("decided"))).withColumn("status", F.when(ok, "ok").otherwise("issues"))
+    open_ = F.size("undetermined")
+    label = F.when(F.col("decided") == 0, lx.NO_DATA).otherwise(F.concat("passed", F.lit("/"), "n", F.when(open_ > 0, F.concat(F.lit(f" ({lx.NO_DATA}:"), open_, F.lit(")"))).otherwise("")))
+    return out.withColumn("score", F.round(F.try_divide(100.0 * F.col("passed"), F.col("decided")), 1)).withColumn("status", F.when(ok, "ok").otherwise("issues")).withColumn("label", label).drop("n")
 
 
-def stop_signals(votes: DataFrame) -> DataFrame:
+def stop_signals(final: DataFrame) -> DataFrame:
     """(pair, e1_sources): the judges whose final vote on E1 is false, sorted."""
-    raised = votes.where("code = 'E1' AND pass = false")
-    return raised.groupBy(*PAIR).agg(F.array_sort(F.collect_set("role")).alias("e1_sources"))
+    return final.where("code = 'E1' AND pass = false").groupBy(*PAIR).agg(F.array_sort(F.collect_set("role")).alias("e1_sources"))
 
 
-def category(gate: Column, e1: Column, issues: Column) -> Column:
-    """The decision table, read from the top."""
+STEPS = ("gate", "stop", "rework_confirmed", "rework", "clean", "systemic", "local")
+
+
+def step(gate: Column, e1: Column, issues: Column) -> Column:
+    """Which rule of the decision table holds, read from the top."""
     return (
-        F.when(gate == "reject", lx.REJECT)
-        .when(e1, lx.REJECT)
-        .when((gate == "rework") & (issues >= 2), lx.REJECT)
-        .when(gate == "rework", lx.EDIT)
-        .when(issues == 0, lx.READY)
-        .when(issues >= 3, lx.REJECT)
-        .otherwise(lx.EDIT)
+        F.when(gate == "reject", "gate")
+        .when(e1, "stop")
+        .when((gate == "rework") & (issues >= 2), "rework_confirmed")
+        .when(gate == "rework", "rework")
+        .when(issues == 0, "clean")
+        .when(issues >= 3, "systemic")
+        .otherwise("local")
     )
 
 
-def decide(gates: DataFrame, votes: DataFrame) -> DataFrame:
-    """(pair, gate_status, issues, e1_triggered, e1_sources, category) of every row of gates (pair, gate_status).
+def category(step: Column) -> Column:
+    return F.when(step == "clean", lx.READY).when(step.isin("rework", "local"), lx.EDIT).otherwise(lx.REJECT)
+
+
+def decide(gates: DataFrame, final: DataFrame, aggregates: DataFrame | None = None) -> DataFrame:
+    """(pair, gate_status, issues, issue_blocks, e1_sources, e1_triggered, step, category, passed) of every row of gates (pair, gate_status).
 
     A block without any decided vote has an issue, so a pair without votes has
-    five. A rejecting gate counts as a stop signal without sources.
+    five. A rejecting gate counts as a stop signal without sources. aggregates
+    (pair, flagged, named, an array) are a further voice on the stop signal.
     """
-    verdicts = blocks(criteria(votes)).groupBy(*PAIR).agg(F.count_if(F.col("status") == "ok").alias("fine"))
-    out = gates.join(verdicts, list(PAIR), "left").join(stop_signals(votes), list(PAIR), "left")
-    issues = F.when(F.col("gate_status") == "reject", F.lit(0)).otherwise(F.lit(len(lx.BLOCKS)) - F.coalesce("fine", F.lit(0)))
-    sources = F.when(F.col("gate_status") == "reject", F.array().cast("array<string>")).otherwise(F.coalesce("e1_sources", F.array().cast("array<string>")))
-    out = out.select(*PAIR, "gate_status", issues.cast("long").alias("issues"), sources.alias("e1_sources"))
-    e1 = (F.col("gate_status") == "reject") | (F.size("e1_sources") > 0)
-    return out.withColumn("e1_triggered", e1).withColumn("category", category(F.col("gate_status"), F.size("e1_sources") > 0, F.col("issues")))
+    none = F.array().cast("array<string>")
+    fine = F.when(F.col("status") == "ok", F.col("block"))
+    verdicts = blocks(criteria(final)).groupBy(*PAIR).agg(F.collect_list(fine).alias("fine"), F.flatten(F.collect_list("raised")).alias("raised"), F.sum("passed").alias("passed"))
+    out = gates.join(verdicts, list(PAIR), "left")
+    out = out.join(aggregates.select(*PAIR, "flagged", "named"), list(PAIR), "left") if aggregates is not None else out.withColumns({"flagged": F.lit(False), "named": none})
+    judged = F.col("gate_status") != "reject"
+    given = lambda c: F.coalesce(F.col(c), none)
+    out = out.select(
+        *PAIR,
+        "gate_status",
+        F.when(judged, F.array_except(F.array(*map(F.lit, lx.BLOCKS)), given("fine"))).otherwise(none).alias("issue_blocks"),
+        F.when(judged, F.array_sort(F.array_distinct(F.concat(given("raised"), given("named"))))).otherwise(none).alias("e1_sources"),
+        (F.coalesce(F.size("raised") > 0, F.lit(False)) | F.coalesce("flagged", F.lit(False))).alias("_stop"),
+        F.when(judged, F.coalesce("passed", F.lit(0))).otherwise(0).alias("passed"),
+    )
+    out = out.withColumn("issues", F.size("issue_blocks").cast("long")).withColumn("step", step(F.col("gate_status"), F.col("_stop"), F.col("issues")))
+    return out.withColumn("e1_triggered", F.col("step").isin("gate", "stop")).withColumn("category", category(F.col("step"))).drop("_stop")

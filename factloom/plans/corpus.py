@@ -40,6 +40,9 @@ _FIRST = f"SELECT CAST(k AS STRING) AS emr_id, CAST(k % 6 AS STRING) AS model_id
 #: A third of the pairs have a second round, in which one judge's answers on one block fail to come.
 _SECOND = f"SELECT CAST(k AS STRING), CAST(k % 6 AS STRING), 2, role, block, code, {_PASS} FROM (SELECT k, role, block, code, k * 13 + shift + 3 AS h FROM ({KEYS}) AS keys CROSS JOIN (VALUES {_PLACES}) AS places(shift, role, block, code)) AS second_round WHERE k % 3 = 0 AND NOT (block = 'C' AND role = 'editor')"
 VOTES = f"{_FIRST} UNION ALL {_SECOND}"
+AGGREGATES = f"SELECT CAST(k AS STRING) AS emr_id, CAST(k % 6 AS STRING) AS model_id, k % 29 = 0 AS flagged, CASE WHEN k % 58 = 0 THEN 'pharmacist' END AS named, CASE k % 5 WHEN 0 THEN NULL WHEN 1 THEN '{lx.READY}' WHEN 2 THEN '{lx.REJECT}' ELSE '{lx.EDIT}' END AS llm_category FROM ({KEYS}) AS keys"
+#: Summaries of the records of one customer are the candidates of one case.
+CASES = f"SELECT CAST(k AS STRING) AS emr_id, CAST(c AS STRING) AS case_id FROM ({KEYS}) AS keys"
 GATES = "SELECT CAST(k AS STRING) AS emr_id, CAST(k % 6 AS STRING) AS model_id, CASE WHEN r IN (22, 23) THEN 'reject' WHEN k % 13 = 0 THEN 'rework' ELSE 'pass' END AS gate_status FROM (" + KEYS + ") AS keys"
 AUDIT = f"""SELECT strftime_month AS run_id, 'pilot' AS profile, emr_id, model_id, category, gate_status FROM (
 SELECT CAST(extract(YEAR FROM o_orderdate) * 100 + extract(MONTH FROM o_orderdate) AS INT) AS strftime_month, CAST(o_orderkey AS STRING) AS emr_id, CAST(o_orderkey % 6 AS STRING) AS model_id,
@@ -47,9 +50,16 @@ CASE o_orderstatus WHEN 'F' THEN '{lx.READY}' WHEN 'O' THEN '{lx.EDIT}' ELSE '{l
 CASE WHEN o_orderpriority LIKE '1%' THEN 'reject' WHEN o_orderpriority LIKE '2%' THEN 'rework' ELSE 'pass' END AS gate_status FROM orders) AS months"""
 
 
+def spread(rows: DataFrame) -> DataFrame:
+    """rows over as many tasks as the session has cores, where a small file would give fewer."""
+    wanted = rows.sparkSession.sparkContext.defaultParallelism
+    return rows if rows.rdd.getNumPartitions() >= wanted else rows.repartition(wanted)
+
+
 def frame(spark: SparkSession, sf_dir: str, sql: str) -> DataFrame:
     """The rows of one of the expressions above over the orders of sf_dir."""
-    return spark.sql(sql.replace("FROM orders", "FROM {orders}"), orders=spark.read.parquet(f"{sf_dir}/orders.parquet"))
+    orders = spark.read.parquet(f"{sf_dir}/orders.parquet").select("o_orderkey", "o_custkey", "o_orderdate", "o_orderstatus", "o_orderpriority", "o_totalprice")
+    return spark.sql(sql.replace("FROM orders", "FROM {orders}"), orders=spread(orders))
 
 
 def pairs(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -8,21 +8,29 @@ from pyspark.sql import functions as F
 from .. import lexicons as lx
 from ..operators import votes
 from ..operators.ranking import ranked
-from . import corpus
+from . import corpus, facts
 
-_FINAL = f"SELECT * FROM ({corpus.VOTES}) QUALIFY round = max(round) OVER (PARTITION BY emr_id, model_id, role, block)"
+_KEY = "emr_id, model_id, role, block, code"
+#: A judge's answer on a criterion in the second round, where it is one, else that of the first.
+_FINAL = f"""SELECT {_KEY}, coalesce(s.pass, f.pass) AS pass, CASE WHEN s.pass IS NOT NULL THEN 2 WHEN f.pass IS NOT NULL THEN 1 END AS round
+FROM (SELECT * FROM ({corpus.VOTES}) WHERE round = 1) f FULL JOIN (SELECT * FROM ({corpus.VOTES}) WHERE round = 2) s USING ({_KEY})"""
 _CRITERIA = f"SELECT emr_id, model_id, block, code, CASE WHEN count(pass) > 0 THEN 2 * count_if(pass) > count(pass) END AS vote FROM ({_FINAL}) GROUP BY ALL"
 _BLOCKS = f"""SELECT emr_id, model_id, block, count(vote) AS decided, count_if(vote) AS passed, coalesce(string_agg(code, ',' ORDER BY code) FILTER (NOT vote), '') AS failed,
-coalesce(string_agg(code, ',' ORDER BY code) FILTER (vote IS NULL), '') AS undetermined, CASE WHEN count(vote) > 0 THEN 100.0::DOUBLE * count_if(vote) / count(vote) END AS score,
-CASE WHEN count_if(vote) = count(*) THEN 'ok' ELSE 'issues' END AS status FROM ({_CRITERIA}) GROUP BY emr_id, model_id, block"""
+coalesce(string_agg(code, ',' ORDER BY code) FILTER (vote IS NULL), '') AS undetermined, CASE WHEN count(vote) > 0 THEN round(100.0::DOUBLE * count_if(vote) / count(vote), 1) END AS score,
+CASE WHEN count_if(vote) = count(*) THEN 'ok' ELSE 'issues' END AS status,
+CASE WHEN count(vote) = 0 THEN '{lx.NO_DATA}' ELSE count_if(vote) || '/' || count(*) || CASE WHEN count(vote) < count(*) THEN ' ({lx.NO_DATA}:' || (count(*) - count(vote)) || ')' ELSE '' END END AS label FROM ({_CRITERIA}) GROUP BY emr_id, model_id, block"""
 _E1 = f"SELECT emr_id, model_id, string_agg(DISTINCT role, ',' ORDER BY role) AS e1_sources FROM ({_FINAL}) WHERE code = 'E1' AND pass = false GROUP BY ALL"
-_DECIDED = f"""SELECT emr_id, model_id, gate_status, issues, e1_sources, gate_status = 'reject' OR e1_sources <> '' AS e1_triggered,
-CASE WHEN gate_status = 'reject' OR e1_sources <> '' THEN '{lx.REJECT}' WHEN gate_status = 'rework' THEN CASE WHEN issues >= 2 THEN '{lx.REJECT}' ELSE '{lx.EDIT}' END
-  WHEN issues = 0 THEN '{lx.READY}' WHEN issues >= 3 THEN '{lx.REJECT}' ELSE '{lx.EDIT}' END AS category FROM (
-SELECT g.emr_id, g.model_id, gate_status, CASE WHEN gate_status = 'reject' THEN 0 ELSE 5 - coalesce(fine, 0) END AS issues, CASE WHEN gate_status = 'reject' THEN '' ELSE coalesce(e1_sources, '') END AS e1_sources
-FROM ({corpus.GATES}) g LEFT JOIN (SELECT emr_id, model_id, count_if(status = 'ok') AS fine FROM ({_BLOCKS}) GROUP BY ALL) b USING (emr_id, model_id) LEFT JOIN ({_E1}) e USING (emr_id, model_id))"""
-_RANKED = f"""SELECT *, row_number() OVER (PARTITION BY model_id ORDER BY rank DESC, passed DESC, CAST(emr_id AS BIGINT)) AS place FROM (
-SELECT emr_id, model_id, CASE category WHEN '{lx.READY}' THEN 3 WHEN '{lx.EDIT}' THEN 2 ELSE 1 END AS rank, coalesce(passed, 0) AS passed FROM ({_DECIDED}) LEFT JOIN (SELECT emr_id, model_id, sum(passed) AS passed FROM ({_BLOCKS}) GROUP BY ALL) USING (emr_id, model_id))"""
+_VOICES = f"""SELECT emr_id, model_id, string_agg(DISTINCT who, ',' ORDER BY who) AS e1_sources, bool_or(stop) AS stop FROM (
+SELECT emr_id, model_id, role AS who, true AS stop FROM ({_FINAL}) WHERE code = 'E1' AND pass = false UNION ALL SELECT emr_id, model_id, named, flagged FROM ({corpus.AGGREGATES})) GROUP BY ALL"""
+_DECIDED = f"""SELECT emr_id, model_id, gate_status, issues, issue_blocks, e1_sources, passed, step, step IN ('gate', 'stop') AS e1_triggered,
+CASE WHEN step = 'clean' THEN '{lx.READY}' WHEN step IN ('rework', 'local') THEN '{lx.EDIT}' ELSE '{lx.REJECT}' END AS category FROM (
+SELECT *, CASE WHEN gate_status = 'reject' THEN 'gate' WHEN stop THEN 'stop' WHEN gate_status = 'rework' AND issues >= 2 THEN 'rework_confirmed' WHEN gate_status = 'rework' THEN 'rework' WHEN issues = 0 THEN 'clean' WHEN issues >= 3 THEN 'systemic' ELSE 'local' END AS step FROM (
+SELECT g.emr_id, g.model_id, gate_status, CASE WHEN gate_status = 'reject' THEN 0 ELSE 5 - coalesce(fine, 0) END AS issues, CASE WHEN gate_status = 'reject' THEN '' ELSE coalesce(bad, '') END AS issue_blocks,
+CASE WHEN gate_status = 'reject' THEN '' ELSE coalesce(e1_sources, '') END AS e1_sources, coalesce(stop, false) AS stop, CASE WHEN gate_status = 'reject' THEN 0 ELSE coalesce(b.passed, 0) END AS passed
+FROM ({corpus.GATES}) g LEFT JOIN (SELECT emr_id, model_id, count_if(status = 'ok') AS fine, string_agg(block, ',' ORDER BY block) FILTER (status <> 'ok') AS bad, CAST(sum(passed) AS BIGINT) AS passed FROM ({_BLOCKS}) GROUP BY ALL) b USING (emr_id, model_id) LEFT JOIN ({_VOICES}) e USING (emr_id, model_id)))"""
+_RANKED = f"""SELECT *, row_number() OVER (PARTITION BY case_id ORDER BY rank DESC, e1_triggered, real_errors, passed DESC, CAST(emr_id AS BIGINT)) AS place FROM (
+SELECT case_id, emr_id, d.model_id, CASE category WHEN '{lx.READY}' THEN 3 WHEN '{lx.EDIT}' THEN 2 ELSE 1 END AS rank, e1_triggered, numeric_mismatches + unit_mismatches + flips + CAST(causal > 0 AS INT) + claims AS real_errors, passed
+FROM ({_DECIDED}) d JOIN ({corpus.CASES}) c USING (emr_id) JOIN ({facts._FOUND}) f USING (emr_id))"""
 
 
 def _votes(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -38,7 +46,8 @@ def _blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _decided(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return votes.decide(corpus.frame(spark, sf_dir, corpus.GATES), _final(spark, sf_dir))
+    voices = corpus.frame(spark, sf_dir, corpus.AGGREGATES).withColumn("named", F.array_compact(F.array("named")))
+    return votes.decide(corpus.frame(spark, sf_dir, corpus.GATES), _final(spark, sf_dir), voices)
 
 
 def final_votes(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -46,11 +55,11 @@ def final_votes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def subcriterion_majority(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return votes.criteria(_final(spark, sf_dir))
+    return votes.criteria(_final(spark, sf_dir)).drop("raised")
 
 
 def block_verdict(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _blocks(spark, sf_dir).withColumns({c: F.array_join(c, ",") for c in ("failed", "undetermined")})
+    return _blocks(spark, sf_dir).withColumns({c: F.array_join(c, ",") for c in ("failed", "undetermined")}).drop("raised")
 
 
 def e1_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -58,7 +67,7 @@ def e1_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def final_decision(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _decided(spark, sf_dir).withColumn("e1_sources", F.array_join("e1_sources", ","))
+    return _decided(spark, sf_dir).withColumns({c: F.array_join(c, ",") for c in ("e1_sources", "issue_blocks")})
 
 
 def decision_by_model(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -78,18 +87,34 @@ def block_pivot(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def candidate_ranking(spark: SparkSession, sf_dir: str) -> DataFrame:
-    passed = _blocks(spark, sf_dir).groupBy("emr_id", "model_id").agg(F.sum("passed").alias("passed"))
-    return ranked(_decided(spark, sf_dir).join(passed, ["emr_id", "model_id"], "left"), "model_id")
+    errors = facts._found(spark, sf_dir).select("emr_id", (F.col("numeric_mismatches") + F.col("unit_mismatches") + F.col("flips") + (F.col("causal") > 0).cast("int") + F.col("claims")).alias("real_errors"))
+    rows = _decided(spark, sf_dir).join(errors, "emr_id").join(corpus.frame(spark, sf_dir, corpus.CASES), "emr_id")
+    return ranked(rows, "case_id")
+
+
+def statistics_by_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The report's table: decisions, gate, agreement with the aggregator's own category, and shares of summaries with findings among those compared."""
+    found = facts._found(spark, sf_dir).select("emr_id", (F.col("numeric_mismatches") + F.col("unit_mismatches") > 0).alias("numeric"), (F.col("flips") > 0).alias("polarity"))
+    told = corpus.frame(spark, sf_dir, corpus.AGGREGATES).select("emr_id", "llm_category")
+    rows = _decided(spark, sf_dir).join(found, "emr_id").join(told, "emr_id")
+    judged = F.col("gate_status") != "reject"
+    has = lambda c, v: F.count_if(F.col(c) == v)
+    share = lambda c: F.round(100 * F.avg(c.cast("double")), 1)
+    return rows.groupBy("model_id").agg(
+        F.count("*").alias("n"), has("category", lx.READY).alias("n_ready"), has("category", lx.EDIT).alias("n_edit"), has("category", lx.REJECT).alias("n_reject"), share(F.col("e1_triggered")).alias("e1_pct"),
+        has("gate_status", "reject").alias("gate_reject"), has("gate_status", "rework").alias("gate_rework"), share(F.when(judged, F.col("category") == F.col("llm_category"))).alias("agree_pct"),
+        share(F.when(judged, F.col("numeric"))).alias("numeric_pct"), share(F.when(judged, F.col("polarity"))).alias("polarity_pct"),
+    )
 
 
 def cube_status(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _decided(spark, sf_dir).cube("model_id", "gate_status", "category").agg(F.count("*").alias("n"))
 
 
-QUERIES = {f.__name__: f for f in (final_votes, subcriterion_majority, block_verdict, e1_sources, final_decision, decision_by_model, critical_rows, block_pivot, candidate_ranking, cube_status)}
+QUERIES = {f.__name__: f for f in (final_votes, subcriterion_majority, block_verdict, e1_sources, final_decision, decision_by_model, critical_rows, block_pivot, candidate_ranking, statistics_by_model, cube_status)}
 
 ORACLE_SQL = {
-    "final_votes": f"SELECT model_id, role, block, round, count(*) AS n, count_if(pass) AS n_pass, count(pass) AS n_decided FROM ({_FINAL}) GROUP BY ALL",
+    "final_votes": f"SELECT model_id, role, block, round, count(*) AS n, coalesce(count_if(pass), 0) AS n_pass, count(pass) AS n_decided FROM ({_FINAL}) GROUP BY ALL",
     "subcriterion_majority": _CRITERIA,
     "block_verdict": _BLOCKS,
     "e1_sources": _E1,
@@ -98,6 +123,10 @@ ORACLE_SQL = {
         count_if(e1_triggered) AS n_e1, count_if(e1_triggered) / count(*) AS e1_rate FROM ({_DECIDED}) GROUP BY model_id""",
     "critical_rows": f"SELECT emr_id, model_id, 'E1' AS what, unnest(string_split(e1_sources, ',')) AS detail FROM ({_DECIDED}) WHERE e1_sources <> '' UNION ALL SELECT emr_id, model_id, block, unnest(string_split(failed, ',')) FROM ({_BLOCKS}) WHERE failed <> ''",
     "block_pivot": "SELECT emr_id, model_id, " + ", ".join(f"max(status) FILTER (block = '{b}') AS block_{b.lower()}" for b in lx.BLOCKS) + f" FROM ({_BLOCKS}) GROUP BY ALL",
-    "candidate_ranking": f"SELECT emr_id, model_id, rank, passed, place FROM ({_RANKED})",
+    "candidate_ranking": f"SELECT case_id, emr_id, model_id, rank, real_errors, passed, place FROM ({_RANKED})",
+    "statistics_by_model": f"""SELECT d.model_id, count(*) AS n, count_if(category = '{lx.READY}') AS n_ready, count_if(category = '{lx.EDIT}') AS n_edit, count_if(category = '{lx.REJECT}') AS n_reject, round(100 * avg(CAST(e1_triggered AS INT)), 1) AS e1_pct,
+        count_if(d.gate_status = 'reject') AS gate_reject, count_if(d.gate_status = 'rework') AS gate_rework, round(100 * avg(CAST(category = llm_category AS INT)) FILTER (d.gate_status <> 'reject'), 1) AS agree_pct,
+        round(100 * avg(CAST(numeric_mismatches + unit_mismatches > 0 AS INT)) FILTER (d.gate_status <> 'reject'), 1) AS numeric_pct, round(100 * avg(CAST(flips > 0 AS INT)) FILTER (d.gate_status <> 'reject'), 1) AS polarity_pct
+        FROM ({_DECIDED}) d JOIN ({facts._FOUND}) f USING (emr_id) JOIN ({corpus.AGGREGATES}) a USING (emr_id) GROUP BY d.model_id""",
     "cube_status": f"SELECT model_id, gate_status, category, count(*) AS n FROM ({_DECIDED}) GROUP BY CUBE (model_id, gate_status, category)",
 }
