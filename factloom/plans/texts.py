@@ -27,19 +27,49 @@ map('diagnoses', array('инфаркт миокарда.'), 'medications', array
 map('diagnoses', CASE WHEN k % 11 = 0 THEN array('инфаркт миокарда', 'пневмония') WHEN k % 7 = 0 THEN array('инфаркт миакарда') ELSE array('инфаркт миокарда') END,
   'medications', CASE WHEN k % 4 = 0 OR k % 3 = 0 THEN array() ELSE array('морфин') END) AS entities_b FROM (SELECT o_orderkey AS k FROM orders) AS keys"""
 
+#: Summaries in five styles of heading, and records in one paragraph.
+_SUMMARY = """SELECT CAST(k AS STRING) AS emr_id, CASE k % 5
+WHEN 0 THEN '## Жалобы' || chr(10) || 'боль ' || k || chr(10) || '### Анамнез заболевания ##' || chr(10) || 'давно' || chr(10) || '# Прочее' || chr(10) || 'разное'
+WHEN 1 THEN 'Вступление' || chr(10) || '**Жалобы:** боль ' || k || chr(10) || '* **Диагноз:** инфаркт' || chr(10) || 'Боль: тупая'
+WHEN 2 THEN '1. Жалобы' || chr(10) || 'боль ' || k || chr(10) || '2) Анамнез жизни:' || chr(10) || 'курит' || chr(10) || '3. Лабораторные данные' || chr(10) || 'Hb 120'
+WHEN 3 THEN 'Жалобы пациента:' || chr(10) || 'боль ' || k || chr(10) || 'Лечение: морфин' || chr(10) || 'Возраст: 60'
+ELSE '**Лабораторные данные**' || chr(10) || 'Hb ' || k || chr(10) || '**Жалобы.**' || chr(10) || 'нет' END AS text FROM (SELECT o_orderkey AS k FROM orders) AS keys"""
+_NARRATIVE = """SELECT CAST(k AS STRING) AS emr_id, 'Пациент ' || k || ' поступил. Жалобы: боли в сердце, одышка. Цвет – обычный. Вредные привычки – курит ' || (k % 40) || ' лет. Общий анализ крови: гемоглобин 115 г/л.' AS text FROM (SELECT o_orderkey AS k FROM orders) AS keys"""
+
 
 def _records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return segment.sections(corpus.frame(spark, sf_dir, _RECORD), "emr_id")
 
 
 def segment_source(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _records(spark, sf_dir).where("ord > 0").select("emr_id", F.col("ord").cast("int").alias("ord"), "category", "title", "body", "visit_date")
+    return _records(spark, sf_dir).select("emr_id", F.col("ord").cast("int").alias("ord"), "category", "title", "body", "visit_date")
 
 
 def schema_compliance(spark: SparkSession, sf_dir: str) -> DataFrame:
     return segment.compliance(_records(spark, sf_dir), "emr_id").select("emr_id", F.array_join("present", ",").alias("present"), F.array_join("missing", ",").alias("missing"), "in_order", "complete")
 
 
+def _summaries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return segment.summary_sections(corpus.frame(spark, sf_dir, _SUMMARY), "emr_id")
+
+
+def segment_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _summaries(spark, sf_dir)
+
+
+def summary_compliance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return segment.compliance(_summaries(spark, sf_dir), "emr_id").select("emr_id", F.array_join("present", ",").alias("present"), F.array_join("missing", ",").alias("missing"), "in_order", "complete")
+
+
+def inline_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sections of records that are one paragraph with labels in it."""
+    return segment.sections(corpus.frame(spark, sf_dir, _NARRATIVE), "emr_id").drop("visit_date")
+
+
+def text_by_category(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return segment.text_for(_records(spark, sf_dir), "emr_id")
+
+
 def section_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = _records(spark, sf_dir).where("ord > 0").groupBy("category").agg(F.count("*").alias("n"), F.sum(F.length("body")).alias("n_chars"))
     schema = spark.createDataFrame([(c, k) for k, c in enumerate(lx.SCHEMA_SECTIONS)], "category string, schema_ord int")
@@ -96,13 +126,19 @@ def json_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return answers.parsed(rows, "answer", "k long").select("event_id", F.col("parsed.k").alias("k"))
 
 
-QUERIES = {f.__name__: f for f in (segment_source, schema_compliance, section_coverage, entity_prf, entity_grounding, entity_present, gate_with_entities, entity_changed, rouge_l, json_repair)}
+QUERIES = {f.__name__: f for f in (segment_source, schema_compliance, segment_summary, summary_compliance, inline_labels, text_by_category, section_coverage, entity_prf, entity_grounding, entity_present, gate_with_entities, entity_changed, rouge_l, json_repair)}
 
 _LINES = f"SELECT emr_id, unnest(string_split(text, chr(10))) AS line, unnest(range(len(string_split(text, chr(10))))) AS pos FROM ({_RECORD})"
 _HEAD = "CASE WHEN line = 'Жалобы:' THEN 'complaints' WHEN line = 'Общий анализ крови' THEN 'labs' WHEN line = 'Анамнез жизни' THEN 'history_life' WHEN line = 'Заключение' THEN 'conclusion' END"
 _PLACED = f"SELECT *, count(head) OVER (PARTITION BY emr_id ORDER BY pos) AS ord FROM (SELECT *, {_HEAD} AS head FROM ({_LINES}))"
 _SECTIONS = f"""SELECT emr_id, CAST(ord AS INT) AS ord, max(head) AS category, max(line) FILTER (head IS NOT NULL) AS title, coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (head IS NULL AND line <> 'Осмотр кардиолога'), '') AS body,
-any_value('10 апр ' || (2000 + CAST(emr_id AS BIGINT) % 25)) AS visit_date FROM ({_PLACED}) WHERE ord > 0 GROUP BY emr_id, ord"""
+any_value('10 апр ' || (2000 + CAST(emr_id AS BIGINT) % 25)) AS visit_date FROM ({_PLACED}) WHERE NOT regexp_matches(line, '^10 апр') GROUP BY emr_id, ord"""
+_STYLES = """SELECT k, unnest(CASE k % 5
+WHEN 0 THEN [(1, 'complaints', 'Жалобы', 'боль ' || k), (2, 'history_illness', 'Анамнез заболевания', 'давно'), (3, 'other', 'Прочее', 'разное')]
+WHEN 1 THEN [(0, NULL, NULL, 'Вступление'), (1, 'complaints', 'Жалобы:', 'боль ' || k), (2, 'diagnosis', 'Диагноз:', 'инфаркт' || chr(10) || 'Боль: тупая')]
+WHEN 2 THEN [(1, 'complaints', '1. Жалобы', 'боль ' || k), (2, 'history_life', '2) Анамнез жизни', 'курит'), (3, 'labs', '3. Лабораторные данные', 'Hb 120')]
+WHEN 3 THEN [(1, 'complaints', 'Жалобы пациента', 'боль ' || k), (2, 'recommendations', 'Лечение', 'морфин' || chr(10) || 'Возраст: 60')]
+ELSE [(1, 'labs', 'Лабораторные данные', 'Hb ' || k), (2, 'complaints', 'Жалобы.', 'нет')] END) AS s FROM (SELECT o_orderkey AS k FROM orders)"""
 #: Which names the texts bear out, told from how the texts are made.
 _BY_NAME = """SELECT *, CASE WHEN in_b > 0 THEN round((in_b - CAST(extra <> '' AS INT)) / in_b, 3) WHEN in_a = 0 THEN 1 ELSE 0 END::DOUBLE AS precision, round((in_a - n_missing) / in_a, 3)::DOUBLE AS recall,
 round(CASE WHEN precision_ + (in_a - n_missing) / in_a > 0 THEN 2 * precision_ * ((in_a - n_missing) / in_a) / (precision_ + (in_a - n_missing) / in_a) ELSE 0 END::DOUBLE, 3) AS f1 FROM (SELECT *, CASE WHEN in_b > 0 THEN (in_b - CAST(extra <> '' AS INT)) / in_b ELSE 0 END AS precision_ FROM (
@@ -114,6 +150,13 @@ ORACLE_SQL = {
     "schema_compliance": f"""SELECT emr_id, CASE WHEN k % 3 = 2 THEN 'complaints' ELSE 'complaints,history_life,labs' END AS present, CASE WHEN k % 3 = 2 THEN 'history_illness,history_life,labs,instrumental' ELSE 'history_illness,instrumental' END AS missing,
         k % 3 > 0 AS in_order, k % 3 < 2 AS complete FROM (SELECT emr_id, CAST(emr_id AS BIGINT) AS k FROM ({_RECORD}))""",
     "section_coverage": f"SELECT s.category, CAST(s.ord AS INT) AS schema_ord, count(t.category) AS n, coalesce(CAST(sum(length(body)) AS BIGINT), 0) AS n_chars FROM (VALUES " + ", ".join(f"('{c}', {k})" for k, c in enumerate(lx.SCHEMA_SECTIONS)) + f") s(category, ord) LEFT JOIN ({_SECTIONS}) t ON s.category = t.category GROUP BY ALL",
+    "segment_summary": f"SELECT CAST(k AS STRING) AS emr_id, s[1] AS ord, s[2] AS category, s[3] AS title, s[4] AS body FROM ({_STYLES})",
+    "summary_compliance": """SELECT CAST(k AS STRING) AS emr_id, CASE k % 5 WHEN 0 THEN 'complaints,history_illness' WHEN 2 THEN 'complaints,history_life,labs' WHEN 4 THEN 'complaints,labs' ELSE 'complaints' END AS present,
+        CASE k % 5 WHEN 0 THEN 'history_life,labs,instrumental' WHEN 2 THEN 'history_illness,instrumental' WHEN 4 THEN 'history_illness,history_life,instrumental' ELSE 'history_illness,history_life,labs,instrumental' END AS missing,
+        k % 5 < 4 AS in_order, k % 5 = 2 AS complete FROM (SELECT o_orderkey AS k FROM orders)""",
+    "inline_labels": """SELECT CAST(k AS STRING) AS emr_id, s[1] AS ord, s[2] AS category, s[3] AS title, s[4] AS body FROM (SELECT k, unnest([(0, NULL, NULL, 'Пациент ' || k || ' поступил.'), (1, 'complaints', 'Жалобы', 'боли в сердце, одышка. Цвет – обычный.'),
+        (2, 'history_life', 'Вредные привычки', 'курит ' || (k % 40) || ' лет.'), (3, 'labs', 'Общий анализ крови', 'гемоглобин 115 г/л.')]) AS s FROM (SELECT o_orderkey AS k FROM orders))""",
+    "text_by_category": f"SELECT emr_id, category, string_agg(body, chr(10) || chr(10) ORDER BY ord) AS text FROM ({_SECTIONS}) WHERE ord > 0 AND body <> '' GROUP BY ALL",
     "entity_prf": """SELECT emr_id, category, in_a, in_b, matched, round(p, 3) AS precision, round(r, 3) AS recall, round(CASE WHEN p + r > 0 THEN 2 * p * r / (p + r) ELSE 0 END::DOUBLE, 3) AS f1 FROM (
         SELECT *, CASE WHEN in_b > 0 THEN matched / in_b WHEN in_a = 0 THEN 1 ELSE 0 END::DOUBLE AS p, CASE WHEN in_a > 0 THEN matched / in_a ELSE 1 END::DOUBLE AS r FROM (
         SELECT CAST(o_orderkey AS STRING) AS emr_id, 'diagnoses' AS category, 2 AS in_a, CASE WHEN o_orderkey % 4 = 1 THEN 2 ELSE 1 END AS in_b, CASE o_orderkey % 4 WHEN 0 THEN 1 WHEN 1 THEN 2 ELSE 0 END AS matched FROM orders UNION ALL
