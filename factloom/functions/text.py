@@ -6,7 +6,7 @@ import re
 from collections.abc import Iterator, Sequence
 
 import pandas as pd
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType
 
@@ -17,6 +17,15 @@ def found(pattern: re.Pattern, text: str | None, window: int) -> Iterator[tuple[
         yield m, text[max(0, m.start() - window) : m.start()], text[m.end() : m.end() + window]
 
 
+def unnested(rows: DataFrame, array: Column | str, name: str, *keep: Column | str) -> DataFrame:
+    """keep and one row for each element of a computed array that is not null.
+
+    A plain explode has the optimizer test the array's size first, for which it
+    computes the array a second time.
+    """
+    return rows.select(*keep, F.explode_outer(array).alias(name)).where(F.col(name).isNotNull())
+
+
 def squeeze(text: str) -> str:
     """Runs of white space as one space, trimmed, in lower case."""
     return re.sub(r"\s+", " ", text).strip().lower()

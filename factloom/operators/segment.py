@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import lexicons as lx
+from ..functions.text import unnested
 
 SECTIONS = "array<struct<ord:int,category:string,title:string,body:string,visit_date:string>>"
 OTHER = "other"
@@ -140,13 +141,13 @@ def sections(documents: DataFrame, key: str, text: str = "text") -> DataFrame:
     size = lambda c: F.aggregate(F.filter(c, lambda s: s["ord"] > 0), F.lit(0), lambda n, s: n + F.length(s["body"]))
     rows = rows.withColumn("_covered", size(F.col("_cut"))).withColumn("_inline", F.when(F.col("_covered") < 0.3 * F.greatest(F.length(text), F.lit(1)), inline_sections(F.col(text))))
     chosen = F.when(size(F.col("_inline")) > F.col("_covered"), F.col("_inline")).otherwise(F.col("_cut"))
-    return rows.select(key, F.explode(chosen).alias("s")).select(key, "s.*")
+    return unnested(rows, chosen, "s", key).select(key, "s.*")
 
 
 def summary_sections(documents: DataFrame, key: str, text: str = "text") -> DataFrame:
     """(key, ord, category, title, body) of summaries, whose headings are told by their form and placed by key words; ord 0 is what stands before the first."""
     rows = _sectioned(documents.select(key, text), text, _summary_lines(text))
-    return rows.select(key, F.explode("_cut").alias("s")).select(key, "s.ord", "s.category", "s.title", "s.body")
+    return unnested(rows, "_cut", "s", key).select(key, "s.ord", "s.category", "s.title", "s.body")
 
 
 def text_for(sections: DataFrame, key: str) -> DataFrame:

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import lexicons as lx
+from ..functions.text import unnested
 from ..operators import agreement, similarity
 from ..operators.compare import compare, flags, with_facts
 from ..operators.facts import numeric_facts, polarity_facts
@@ -35,7 +36,7 @@ _DETECTED = f"SELECT d.*, l.dtype, l.severity, numeric_mismatches + unit_mismatc
 def _facts(spark: SparkSession, sf_dir: str) -> DataFrame:
     pairs = corpus.pairs(spark, sf_dir)
     sides = F.array(F.struct(F.lit("A").alias("side"), F.col("source_text").alias("text")), F.struct(F.lit("B").alias("side"), F.col("summary_text").alias("text")))
-    return pairs.select("emr_id", F.explode(sides).alias("t")).select("emr_id", "t.side", F.explode(numeric_facts(F.col("t.text"))).alias("f")).select("emr_id", "side", "f.*")
+    return unnested(pairs.select("emr_id", F.explode(sides).alias("t")), numeric_facts(F.col("t.text")), "f", "emr_id", "t.side").select("emr_id", "side", "f.*")
 
 
 def _found(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -81,12 +82,12 @@ def objective_findings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def numeric_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
     done = compare(corpus.pairs(spark, sf_dir))
-    one = F.explode(F.transform("numbers_a", lambda f, i: F.struct(f["category"].alias("category"), F.array_contains(F.col("objective.numeric.covered"), i).alias("covered"))))
-    return done.select(one.alias("f")).groupBy("f.category").agg(F.count("*").alias("total"), F.count_if("f.covered").alias("covered")).withColumn("coverage", F.col("covered") / F.col("total"))
+    one = F.transform("numbers_a", lambda f, i: F.struct(f["category"].alias("category"), F.array_contains(F.col("objective.numeric.covered"), i).alias("covered")))
+    return unnested(done, one, "f").groupBy("f.category").agg(F.count("*").alias("total"), F.count_if("f.covered").alias("covered")).withColumn("coverage", F.col("covered") / F.col("total"))
 
 
 def polarity_facts_count(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = corpus.pairs(spark, sf_dir).select(F.explode(polarity_facts(F.col("summary_text"))).alias("f"))
+    rows = unnested(corpus.pairs(spark, sf_dir), polarity_facts(F.col("summary_text")), "f")
     return rows.groupBy("f.predicate", "f.polarity").agg(F.count("*").alias("n"))
 
 
@@ -95,7 +96,7 @@ def causality_introduced(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def interpretation_contradictions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    done = compare(corpus.pairs(spark, sf_dir)).select("emr_id", F.explode("objective.interpretation.contradictions").alias("c"))
+    done = unnested(compare(corpus.pairs(spark, sf_dir)), "objective.interpretation.contradictions", "c", "emr_id")
     return done.select("emr_id", "c.claimed", "c.actual")
 
 
@@ -105,7 +106,7 @@ def gate_status(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def gate_reasons(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = gate(with_facts(corpus.pairs(spark, sf_dir))).select(F.explode("gate.reasons").alias("r"))
+    rows = unnested(gate(with_facts(corpus.pairs(spark, sf_dir))), "gate.reasons", "r")
     return rows.groupBy("r.code").agg(F.count("*").alias("n"))
 
 

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import lexicons as lx
+from ..functions.text import unnested
 from ..operators import answers, entities, segment, similarity
 from ..operators.gate import gate
 from ..sources import tables
@@ -77,7 +78,7 @@ def section_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def entity_prf(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = entities.compared(corpus.frame(spark, sf_dir, _ENTITIES)).select("emr_id", F.explode("entities").alias("e"))
+    rows = unnested(entities.compared(corpus.frame(spark, sf_dir, _ENTITIES)), "entities", "e", "emr_id")
     return rows.select("emr_id", *(f"e.{c}" for c in ("category", "in_a", "in_b", "matched", "precision", "recall", "f1")))
 
 
@@ -87,7 +88,7 @@ def _grounded(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def entity_grounding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Names that an extractor made up, overlooked, or rightly found, against the texts."""
-    rows = _grounded(spark, sf_dir).select("emr_id", F.explode("entities").alias("e")).where("e.in_a + e.in_b > 0")
+    rows = unnested(_grounded(spark, sf_dir), "entities", "e", "emr_id").where("e.in_a + e.in_b > 0")
     return rows.select("emr_id", "e.category", "e.in_a", "e.in_b", "e.matched", F.array_join("e.missing", ",").alias("missing"), F.array_join("e.extra", ",").alias("extra"), "e.precision", "e.recall", "e.f1")
 
 
