@@ -77,6 +77,19 @@ def broadcast_ids(ids: DataFrame) -> DataFrame:
     return F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
 
 
+#: Rows of an Arrow batch of texts; Spark's default of 10,000 would take several hundred MB of an executor for long ones.
+BATCH_ROWS = 2_000
+
+
+def text_batches(df: DataFrame) -> DataFrame:
+    """df, whose session from now on sends BATCH_ROWS rows at a time to Python at most."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    rows = int(df.sparkSession.conf.get(name))
+    if rows <= 0 or rows > BATCH_ROWS:
+        df.sparkSession.conf.set(name, str(BATCH_ROWS))
+    return df
+
+
 def slices(batches: Iterable[pa.RecordBatch], column: str, limit: int = 4_000_000) -> Iterator[tuple[pa.RecordBatch, pa.StringArray]]:
     """Parts of the batches with about limit bytes of text each, and their texts (null: empty).
 
@@ -91,6 +104,7 @@ def slices(batches: Iterable[pa.RecordBatch], column: str, limit: int = 4_000_00
             end = max(start + 1, int(np.searchsorted(sizes, base + limit, side="right")))
             yield batch.slice(start, end - start), texts.slice(start, end - start)
             start = end
+    pa.default_memory_pool().release_unused()  # the worker may live on for other work
 
 
 def words_of(texts: pa.StringArray) -> tuple[np.ndarray, np.ndarray, pa.StringArray]:

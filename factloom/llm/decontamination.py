@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import BROADCAST_IDS, materialise, mix, slices, token_hashes
+from .common import BROADCAST_IDS, materialise, mix, slices, text_batches, token_hashes
 
 #: Token positions that count (1) or are ignored (0). Five or more ones each, of different shapes.
 MASKS = ("111111", "1111011", "11011011", "1110010111", "111101111", "1011101101")
@@ -168,7 +168,7 @@ def _carriers(documents: DataFrame, masks: list[Mask], known: Filter) -> DataFra
             at = pa.array(have)
             yield pa.RecordBatch.from_arrays([batch.column(0).take(at), batch.column(1).take(at), texts, hits], names=["doc_id", "text_key", "tokens", "hits"])
 
-    texts = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(F.col("text").cast("string")).alias("text_key"), F.col("text").cast("string").alias("text"))
+    texts = text_batches(documents).select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(F.col("text").cast("string")).alias("text_key"), F.col("text").cast("string").alias("text"))
     return materialise(texts.mapInArrow(run, "doc_id long, text_key long, tokens array<long>, hits array<long>").withColumn("row", F.monotonically_increasing_id()))
 
 

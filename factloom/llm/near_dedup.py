@@ -11,7 +11,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import broadcast_ids, components, forget, materialise, mix, shingles, slices, token_hashes
+from .common import broadcast_ids, components, forget, materialise, mix, shingles, slices, text_batches, token_hashes
 
 SHINGLE = 5
 SIMILARITY = 0.8
@@ -299,7 +299,7 @@ def classes(documents: DataFrame, least: float = SIMILARITY, common: float = COM
     rows without a doc_id are left out. An empty table gives no rows; further
     columns are ignored.
     """
-    texts = documents.where("doc_id IS NOT NULL").select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
+    texts = text_batches(documents).where("doc_id IS NOT NULL").select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     of = frequencies(texts, common)
     signed = materialise(signatures(texts, of))
     firsts = materialise(signed.groupBy("copy").agg(F.min("doc_id").alias("node")))

@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import slices
+from .common import slices, text_batches
 
 # The base patterns and their least lengths.
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.ASCII | re.IGNORECASE)
@@ -125,7 +125,7 @@ def redacted(text: str, spans: list[Span], mark: str = "[SECRET]") -> str:
 
 
 def _texts(documents: DataFrame) -> DataFrame:
-    return documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    return text_batches(documents).select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
 
 
 def scan(documents: DataFrame) -> DataFrame:
@@ -174,5 +174,5 @@ def redact(documents: DataFrame) -> DataFrame:
             columns = [pa.array(new, type=batch.schema.field(at).type) if i == at else c for i, c in enumerate(batch.columns)]
             yield pa.RecordBatch.from_arrays(columns, schema=batch.schema)
 
-    out = documents.mapInArrow(run, fields)
+    out = text_batches(documents).mapInArrow(run, fields)
     return out.withColumn("n_chars", F.length("text").cast(fields["n_chars"].dataType)) if "n_chars" in fields.names else out

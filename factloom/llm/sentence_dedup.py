@@ -11,7 +11,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialise, slices
+from .common import materialise, slices, text_batches
 
 #: A span is the shortest run of consecutive sentences, from its first on or back from its last, with so many sentences and words.
 SPAN_SENTENCES, SPAN_WORDS = 2, 20
@@ -39,7 +39,7 @@ def spans(text: str, at: list[tuple[int, int]], least: int = SPAN_WORDS) -> list
 
 
 def _texts(documents: DataFrame) -> DataFrame:
-    return documents.where("doc_id IS NOT NULL").select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    return text_batches(documents).where("doc_id IS NOT NULL").select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
 
 
 def repeated_spans(documents: DataFrame, least: int = SPAN_WORDS) -> DataFrame:

@@ -14,7 +14,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import slices
+from .common import slices, text_batches
 
 #: Every so many-th document by checksum is held out of training.
 FOLDS = 5
@@ -236,7 +236,7 @@ def score(documents: DataFrame, model: Model) -> DataFrame:
             p, n, best = of(texts.to_pylist())
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(p), pa.array((p >= THRESHOLD).astype(np.int32)), pa.array(n), pa.array(best)], names=[c.split()[0] for c in SCORED.split(", ")])
 
-    only = documents.select(F.col("doc_id").cast("long").alias("doc_id"), held_out(F.col("doc_id")).alias("held_out"), F.col("text").cast("string").alias("text"))
+    only = text_batches(documents).select(F.col("doc_id").cast("long").alias("doc_id"), held_out(F.col("doc_id")).alias("held_out"), F.col("text").cast("string").alias("text"))
     return only.mapInArrow(run, SCORED)
 
 
@@ -248,4 +248,4 @@ def drop_toxic(documents: DataFrame, model: Model) -> DataFrame:
         for batch, texts in slices(batches, "text"):
             yield batch.filter(pa.array(of(texts.to_pylist())[0] < THRESHOLD))
 
-    return documents.mapInArrow(run, documents.schema)
+    return text_batches(documents).mapInArrow(run, documents.schema)
