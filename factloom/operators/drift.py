@@ -9,8 +9,8 @@ from .. import lexicons as lx
 
 
 def audit_rows(pairs: DataFrame, run_id: Column) -> DataFrame:
-    """(run_id, emr_id, model_id, source_hash, summary_hash): hashes stand for the texts, which an audit never holds; null texts are empty."""
-    digest = lambda c: F.sha2(F.coalesce(F.col(c), F.lit("")), 256)
+    """(run_id, emr_id, model_id, source_hash, summary_hash): hashes stand for the texts, which an audit never holds; a null text has none."""
+    digest = lambda c: F.sha2(F.col(c), 256)
     return pairs.select(run_id.alias("run_id"), "emr_id", "model_id", digest("source_text").alias("source_hash"), digest("summary_text").alias("summary_hash"))
 
 

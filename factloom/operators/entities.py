@@ -7,6 +7,7 @@ from difflib import SequenceMatcher
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, StringType, StructField, StructType
 
 from .. import lexicons as lx
 from ..functions.text import squeezed, words
@@ -15,7 +16,7 @@ from .compare import assign
 ENTITIES = "array<struct<category:string,precision:double,recall:double,f1:double,in_a:int,in_b:int,matched:int,missing:array<string>,extra:array<string>>>"
 
 
-@F.arrow_udf("array<struct<a:string,b:string>>")
+@F.arrow_udf(ArrayType(StructType([StructField("a", StringType()), StructField("b", StringType())])))
 def near(pairs: pa.Array) -> pa.Array:
     """Those of each row's pairs whose Ratcliff-Obershelp similarity, which has no built-in counterpart, is great enough."""
     kept = [[p for p in own or () if SequenceMatcher(None, p["a"], p["b"], autojunk=False).ratio() >= lx.ENTITY_RATIO] for own in pairs.to_pylist()]

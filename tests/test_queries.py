@@ -9,7 +9,7 @@ import pytest
 from factloom import catalogue
 
 SF_DIR = "/root/testdata/sf0.001"
-CHECKED = ("pairs_by_model", "numeric_facts_by_category", "objective_findings", "polarity_facts_count", "gate_reasons", "final_decision", "block_verdict", "drift_alerts", "spearman", "segment_source", "entity_prf", "json_repair")
+CHECKED = tuple(catalogue.ORACLE_SQL)
 
 
 def plain(value):
