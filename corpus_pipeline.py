@@ -46,7 +46,7 @@ STAGES = [
     ("packing", pack),
 ]
 
-#: Tokenizing, sampling and compression have no SQL; tests hold the stages against brute force instead.
+#: Tokenizing, sampling and compression have no SQL; the operators' tests hold them against brute force.
 ORACLE_SQL = None
 
 
