@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import chat, decontamination, html_text, near_dedup, packing, quality, secrets, sentence_dedup, toxicity, url_filters
+from . import chat, decontamination, hard_negatives, html_text, near_dedup, packing, quality, secrets, sentence_dedup, toxicity, url_filters
 from .common import read_table
 
 
@@ -58,6 +59,11 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(read_table(spark, sf_dir, "documents"))
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.expr("CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END")
+    return hard_negatives.mine(read_table(spark, sf_dir, "embeddings").withColumn("label", label), F.expr("vec_id % 100 = 0"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": op1_packing,
     "op2_benchmark_decontamination": op2_benchmark_decontamination,
@@ -69,6 +75,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_html_extraction": op8_html_extraction,
     "op9_secret_scans": op9_secret_scans,
     "op10_quality_rules": op10_quality_rules,
+    "op11_hard_negatives": op11_hard_negatives,
 }
 
-ORACLE_SQL: dict[str, str] = {"op6_url_filters": url_filters.ORACLE}
+ORACLE_SQL: dict[str, str] = {"op6_url_filters": url_filters.ORACLE, "op11_hard_negatives": hard_negatives.ORACLE}
