@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontamination, hard_negatives, html_text, near_dedup, packing, quality, resampling, secrets, sentence_dedup, toxicity, url_filters
+from . import chat, decontamination, hard_negatives, html_text, near_dedup, packing, personal_data, quality, resampling, secrets, sentence_dedup, toxicity, url_filters
 from .common import read_table
 
 
@@ -68,6 +68,10 @@ def op12_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return resampling.resample(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
 
 
+def op13_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return personal_data.scan(read_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": op1_packing,
     "op2_benchmark_decontamination": op2_benchmark_decontamination,
@@ -81,6 +85,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_quality_rules": op10_quality_rules,
     "op11_hard_negatives": op11_hard_negatives,
     "op12_importance_resampling": op12_importance_resampling,
+    "op13_personal_data": op13_personal_data,
 }
 
 ORACLE_SQL: dict[str, str] = {"op6_url_filters": url_filters.ORACLE, "op11_hard_negatives": hard_negatives.ORACLE}
