@@ -102,26 +102,30 @@ def revealing_terms(documents: DataFrame, found: DataFrame, spans: DataFrame) ->
     with shares of different texts: p(e) of those with e, p(e|t) of those with
     e near t among those with t. Terms count only if they stand near the value
     in SUPPORT different surroundings, so that copies of a text show nothing.
-    Only pairs near a value are rows; of all texts only those candidates are
-    counted.
+    Only pairs near a value are rows. A term stands in no fewer texts than near
+    any value, so that most are ruled out before texts are read: of all texts
+    only what may still reveal is counted.
     """
-    near = spans.select("key", F.concat_ws(":", "kind", "value").alias("value"), F.xxhash64("before", "after").alias("around"), F.explode(F.array_union(_terms(F.col("before")), _terms(F.col("after")))).alias("term"))
+    value = F.concat_ws(":", "kind", "value").alias("value")
+    near = materialise(spans.select("key", value, F.xxhash64("before", "after").alias("around"), F.explode(F.array_union(_terms(F.col("before")), _terms(F.col("after")))).alias("term")))
     # first the surroundings, then the texts: no group is ever collected
-    around = near.groupBy("value", "term", "around").agg(F.lit(1).alias("one")).groupBy("value", "term").agg(F.count("*").alias("places")).where(F.col("places") >= SUPPORT).select("value", "term")
-    pairs = materialise(around)
+    around = near.groupBy("value", "term", "around").agg(F.lit(1).alias("one")).groupBy("value", "term").agg(F.count("*").alias("places"))
+    pairs = materialise(around.where(F.col("places") >= SUPPORT).select("value", "term"))
     if pairs.isEmpty():
         return pairs.select("term", F.lit(0.0).alias("reveals"))
-    together = near.select("value", "term", "key").join(pairs, ["value", "term"], "left_semi").distinct().groupBy("value", "term").agg(F.count("*").alias("both"))
-    values = spans.select("key", F.concat_ws(":", "kind", "value").alias("value")).distinct().groupBy("value").agg(F.count("*").alias("with_value"))
-    candidates = materialise(pairs.select("term").distinct())
+    together = near.join(pairs, ["value", "term"], "left_semi").groupBy("value", "term", "key").agg(F.lit(1).alias("one")).groupBy("value", "term").agg(F.count("*").alias("both"))
+    values = spans.select("key", value).distinct().groupBy("value").agg(F.count("*").alias("with_value"))
+    beside = near.join(broadcast_ids(pairs.select("term").distinct()), "term", "left_semi").select("term", "key").distinct().groupBy("term").agg(F.count("*").alias("with_term"))
+    own = F.col("with_value") / F.lit(float(found.select("key").distinct().count()))
+    reveals = F.when(own < 1, 1 - F.ln(F.least(F.col("both") / F.col("with_term"), F.lit(1.0))) / F.ln(own))
+    likely = materialise(together.join(values, "value").join(beside, "term").where(reveals >= REVEAL).drop("with_term"))
+    candidates = materialise(likely.select("term").distinct())
+    if candidates.isEmpty():
+        return candidates.select("term", F.lit(0.0).alias("reveals"))
     text = _text(documents)
     seen = documents.select(_key(text).alias("key"), F.explode(_terms(text)).alias("term")).join(broadcast_ids(candidates), "term", "left_semi")
     counted = seen.distinct().groupBy("term").agg(F.count("*").alias("with_term"))
-    total = found.select("key").distinct().count()
-    joined = together.join(values, "value").join(counted, "term")
-    share, own = F.col("both") / F.col("with_term"), F.col("with_value") / F.lit(float(total))
-    reveals = F.when(own < 1, 1 - F.ln(F.least(share, F.lit(1.0))) / F.ln(own))
-    return materialise(joined.groupBy("term").agg(F.max(reveals).alias("reveals")).where(F.col("reveals") >= REVEAL))
+    return materialise(likely.join(counted, "term").withColumn("reveals", reveals).groupBy("term").agg(F.max("reveals").alias("reveals")).where(F.col("reveals") >= REVEAL))
 
 
 def _term_spans(documents: DataFrame, terms: DataFrame) -> DataFrame:
