@@ -1,15 +1,20 @@
-"""Comparison of two texts' facts, row by row: no shuffle, each pair's small arrays are folded in place."""
+"""Comparison of two texts' facts, row by row and without a shuffle: facts are matched by dictionaries in Arrow batches."""
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from bisect import bisect_left, bisect_right
+from collections import Counter
+from collections.abc import Callable, Iterator, Sequence
+from itertools import accumulate
 
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, IntegerType, StringType
 
 from .. import lexicons as lx
-from ..functions.text import overlap
-from .facts import causal_links, contradictions, numeric_facts, polarity_facts
+from .facts import array_of, causal_links, contradictions, numeric_facts, polarity_facts
 
 
 def assign(a: Column, b: Column, fits: Callable[[Column, Column], Column], similarity: Callable[[Column, Column], Column]) -> Column:
@@ -37,42 +42,110 @@ def with_facts(pairs: DataFrame, source: str = "source_text", summary: str = "su
     return pairs.withColumns({"numbers_a": numeric_facts(F.col(source)), "numbers_b": numeric_facts(F.col(summary)), "statements_a": polarity_facts(F.col(source)), "statements_b": polarity_facts(F.col(summary))})
 
 
-def numeric_pairs(a: Column, b: Column) -> Column:
-    """Which numbers are the same measure: the only ones of their category (ages only of persons), else equal label sets, the context breaking ties."""
-    count = lambda facts, x: F.size(F.filter(facts, lambda z: z["category"] == x["category"]))
-    # whether a fact is alone is told once for each fact of a, not for each pair
-    alone = F.transform(a, lambda x: F.struct(x["category"].alias("category"), x["label_key"].alias("label_key"), x["words"].alias("words"), x["person"].alias("person"), ((count(a, x) == 1) & (count(b, x) == 1)).alias("only")))
+_PAIRS = array_of(i=IntegerType(), j=IntegerType(), similarity=DoubleType())
+_UNITS = array_of(raw_a=StringType(), raw_b=StringType(), i=IntegerType())
+_ARROW_PAIR = [("i", pa.int32()), ("j", pa.int32()), ("similarity", pa.float64())]
+_ARROW_UNIT = [("raw_a", pa.string()), ("raw_b", pa.string()), ("i", pa.int32())]
 
-    def alike(x: Column, y: Column) -> Column:
-        sure = x["only"] & ((x["category"] != "age") | (x["person"] & y["person"]))
-        return F.when(sure, F.lit(1.0)).when(x["label_key"] == y["label_key"], overlap(x["words"], y["words"]))
 
-    return assign(alone, b, lambda x, y: x["category"] == y["category"], alike)
+def _each(a: pa.Array, b: pa.Array, fields: Sequence[str]) -> Iterator[tuple[list, list]]:
+    """Every row's facts of both sides as tuples of the fields."""
 
+    def rows(column: pa.Array) -> Iterator[list]:
+        flat = column.flatten()
+        values = list(zip(*(flat.field(f).to_pylist() for f in fields), strict=True))
+        at = 0
+        for n in pc.fill_null(pc.list_value_length(column), 0).to_pylist():
+            yield values[at : at + n]
+            at += n
 
-def polarity_pairs(a: Column, b: Column) -> Column:
-    """Statements of the same predicate whose contexts share enough words."""
+    yield from zip(rows(a), rows(b), strict=True)
+
+
+def _structs(rows: list[list[tuple]], fields: list[tuple[str, pa.DataType]]) -> pa.Array:
+    ends = [0, *accumulate(map(len, rows))]
+    columns = [pa.array([x[k] for own in rows for x in own], kind) for k, (_, kind) in enumerate(fields)]
+    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.StructArray.from_arrays(columns, [name for name, _ in fields]))
 
-    def alike(x: Column, y: Column) -> Column:
-        share = overlap(x["words"], y["words"])
-        return F.when(share >= lx.CONTEXT_SHARE, share)
 
-    return assign(a, b, lambda x, y: x["predicate"] == y["predicate"], alike)
+def _share(x: frozenset, y: frozenset) -> float:
+    """Words in common over the lesser number of words."""
+    return len(x & y) / min(len(x), len(y)) if x and y else 0.0
 
 
-def unit_mismatches(a: Column, b: Column) -> Column:
-    """array<struct<raw_a, raw_b, i>>: equal values of one category with other units, told once for each pair of phrases."""
+def best_free(asked: list[tuple], offered: list[tuple], least: float = 0.0) -> list[tuple[int, int, float]]:
+    """Greedy assignment in the order of asked: (i, j, similarity), each taking the free one of its key most alike, the first of equals.
 
-    def against(x: Column, i: Column) -> Column:
-        other = F.filter(b, lambda y: (y["category"] == x["category"]) & (F.abs(y["value"] - x["value"]) <= lx.TOLERANCE) & (y["unit"] != x["unit"]))
-        return F.transform(other, lambda y: F.struct(x["raw"].alias("raw_a"), y["raw"].alias("raw_b"), i.alias("i")))
+    Both are (key, words) in text order; a null key has no partner. What is
+    offered lies by key and by set of words, so that equal surroundings, which
+    a long table of measures repeats, are compared once.
+    """
+    free: dict[str, dict[frozenset, list[int]]] = {}
+    for j in range(len(offered) - 1, -1, -1):
+        key, words = offered[j]
+        if key is not None:
+            free.setdefault(key, {}).setdefault(words, []).append(j)
+    out = []
+    for i, (key, words) in enumerate(asked):
+        own = free.get(key)
+        if not own:
+            continue
+        share, j, taken = max(((_share(words, y), -js[-1], y) for y, js in own.items()), key=lambda c: c[:2])
+        if share >= least:
+            own[taken].pop()
+            if not own[taken]:
+                del own[taken]
+            out.append((i, -j, share))
+    return out
+
+
+@F.arrow_udf(_PAIRS)
+def numeric_pairs(a: pa.Array, b: pa.Array) -> pa.Array:
+    """Which numbers are the same measure: the only ones of their category (ages only of persons), else equal label sets, the context breaking ties."""
 
-    every = F.flatten(F.transform(a, against))
+    def match(x: list, y: list) -> list[tuple[int, int, float]]:
+        first, second = Counter(f[0] for f in x), Counter(f[0] for f in y)
+        place = {f[0]: j for j, f in enumerate(y)}
+        sure = {i: place[f[0]] for i, f in enumerate(x) if first[f[0]] == 1 == second[f[0]] and (f[0] != "age" or f[3] and y[place[f[0]]][3])}
+        named = lambda facts: [((f[0], f[1]) if f[1] is not None else None, frozenset(f[2])) for f in facts]
+        # a sure partner is the only one of its category, so it is in nobody's way
+        rest = [p for p in best_free(named(x), named(y)) if p[0] not in sure]
+        return sorted([*rest, *((i, j, 1.0) for i, j in sure.items())])
 
-    def once(found: Column, c: Column) -> Column:
-        return F.when(F.exists(found, lambda d: (d["raw_a"] == c["raw_a"]) & (d["raw_b"] == c["raw_b"])), found).otherwise(F.concat(found, F.array(c)))
+    return _structs([match(x, y) for x, y in _each(a, b, ("category", "label_key", "words", "person"))], _ARROW_PAIR)
 
-    return F.aggregate(every, F.array().cast("array<struct<raw_a:string,raw_b:string,i:int>>"), once)
+
+@F.arrow_udf(_PAIRS)
+def polarity_pairs(a: pa.Array, b: pa.Array) -> pa.Array:
+    """Statements of the same predicate whose contexts share enough words."""
+    keyed = lambda facts: [(f[0], frozenset(f[1])) for f in facts]
+    return _structs([best_free(keyed(x), keyed(y), lx.CONTEXT_SHARE) for x, y in _each(a, b, ("predicate", "words"))], _ARROW_PAIR)
+
+
+@F.arrow_udf(_UNITS)
+def unit_mismatches(a: pa.Array, b: pa.Array) -> pa.Array:
+    """Equal values of one category with other units, told once for each pair of phrases; i is the first fact that says so."""
+
+    def once(facts: list) -> dict[str, tuple]:
+        out: dict[str, tuple] = {}
+        for k, f in enumerate(facts):
+            out.setdefault(f[3], (k, *f))
+        return out
+
+    def found(x: list, y: list) -> list[tuple[str, str, int]]:
+        by_value: dict[str, list[tuple]] = {}
+        for j, category, value, unit, raw in once(y).values():
+            by_value.setdefault(category, []).append((value, j, unit, raw))
+        for facts in by_value.values():
+            facts.sort()
+        out = []
+        for i, category, value, unit, raw in once(x).values():
+            near = by_value.get(category, [])
+            low, high = bisect_left(near, (value - lx.TOLERANCE,)), bisect_right(near, (value + lx.TOLERANCE, len(y)))
+            out += [(raw, other, i) for _, other, theirs in sorted((j, r, u) for _, j, u, r in near[low:high]) if theirs != unit]
+        return out
+
+    return _structs([found(x, y) for x, y in _each(a, b, ("category", "value", "unit", "raw"))], _ARROW_UNIT)
 
 
 def compare(pairs: DataFrame, source: str = "source_text", summary: str = "summary_text") -> DataFrame:

@@ -28,7 +28,7 @@ _PERSON = re.compile(lx.PERSON, re.IGNORECASE)
 _TEXT, _NUMBER, _FLAG, _WORDS = StringType(), DoubleType(), BooleanType(), ArrayType(StringType())
 
 
-def _array(**fields: DataType) -> ArrayType:
+def array_of(**fields: DataType) -> ArrayType:
     return ArrayType(StructType([StructField(name, kind) for name, kind in fields.items()]))
 
 
@@ -45,9 +45,9 @@ def _lists(rows: list[list[dict]], kind: ArrayType) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.StructArray.from_arrays(columns, [f.name for f in fields]))
 
 
-NUMBERS = _array(value=_NUMBER, unit_raw=_TEXT, unit=_TEXT, category=_TEXT, label=_TEXT, label_key=_TEXT, context=_TEXT, words=_WORDS, person=_FLAG, raw=_TEXT)
-STATEMENTS = _array(predicate=_TEXT, polarity=_FLAG, context=_TEXT, words=_WORDS, raw=_TEXT)
-CLAIMS = _array(claimed=_TEXT, value=_NUMBER, second=_NUMBER, unit=_TEXT, fragment=_TEXT)
+NUMBERS = array_of(value=_NUMBER, unit_raw=_TEXT, unit=_TEXT, category=_TEXT, label=_TEXT, label_key=_TEXT, context=_TEXT, words=_WORDS, person=_FLAG, raw=_TEXT)
+STATEMENTS = array_of(predicate=_TEXT, polarity=_FLAG, context=_TEXT, words=_WORDS, raw=_TEXT)
+CLAIMS = array_of(claimed=_TEXT, value=_NUMBER, second=_NUMBER, unit=_TEXT, fragment=_TEXT)
 
 
 def unit_category(unit: str) -> str:
