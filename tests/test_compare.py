@@ -49,7 +49,8 @@ def facts(rng, n):
     out = []
     for _ in range(n):
         value, unit = rng.choice([1.0, 2.0, 2.0 + lx.TOLERANCE / 2]), rng.choice(["mg", "g"])
-        out.append({"category": rng.choice(["age", "dose", "dose", "lab"]), "label_key": rng.choice([None, "", "x", "y"]), "words": rng.sample("abcde", rng.randrange(4)), "person": rng.random() < 0.5, "value": value, "unit": unit, "raw": f"{value} {unit}"})
+        category = rng.choice(["age", "dose", "dose", "lab"])
+        out.append({"category": category, "label_key": rng.choice([None, "", "x", "y"]), "words": rng.sample("abcde", rng.randrange(4)), "person": rng.random() < 0.5, "value": value, "unit": unit, "raw": f"{value} {unit} {category}"})
     return out
 
 
