@@ -19,14 +19,20 @@ from .url_filters import host, path
 _RAW = ("script", "style", "noscript", "template", "textarea", "title", "svg", "iframe", "object", "select", "math", "head")
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 _BLOCKS = frozenset("address article aside blockquote body center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol p pre section summary table tbody td tfoot th thead tr ul br caption".split())
-_PLATE = frozenset("nav footer aside form menu dialog button header fieldset".split())
+_PLATE = frozenset("nav footer aside form menu dialog header fieldset".split())
 _ENDS_P = frozenset("address article aside blockquote div dl fieldset footer form h1 h2 h3 h4 h5 h6 header hr main nav ol p pre section table ul".split())
 _ROLES = frozenset("navigation banner contentinfo complementary search dialog alert alertdialog menu menubar form".split())
 _WORDS = frozenset("ad ads advert adverts advertisement advertising adsense adbox sponsor sponsored promo promotion cookie cookies consent gdpr notice notices sidebar sidebars nav navbar navigation menu menus breadcrumb breadcrumbs footer footers comment comments respond reply replies disqus share sharing social related recommended newsletter subscribe subscription signup popup modal overlay banner masthead topbar toolbar skip pagination pager widget widgets login search".split())
 
-_TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^<>\"']|\"[^\"]*\"|'[^']*')*)(/?>|(?=<)|\Z)|[^<]+|<", re.DOTALL)
-_ATTRIBUTE = re.compile(r"""\b(class|id|role|hidden|aria-hidden)\b(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""", re.IGNORECASE)
-_SPLIT = re.compile(r"[^a-zA-Z]+|(?<=[a-z])(?=[A-Z])")
+_COMMENTS = frozenset("comment comments reply replies respond disqus".split())
+_ADVERTS = frozenset("ad ads advert adverts advertisement advertising adsense sponsored promo promotion".split())
+_HEADERS = frozenset(["header"])
+_MODIFIERS = frozenset("has with no without is not show hide enable js".split())
+_BOXES = frozenset("area bar block body bottom box button buttons container content div field frame group holder icon inner item items left link links list module panel posts region right row section slot text title top unit wrap wrapper".split())
+
+_TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][a-zA-Z0-9:-]*+)((?:=\s*+(?:\"[^\"]*+\"|'[^']*+')?+|[^<>=])*+)(>|(?=<)|\Z)|[^<]+|<", re.DOTALL)
+_ATTRIBUTE = re.compile(r"""([^\s"'>/=]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+)))?""")
+_PARTS = re.compile(r"[^a-zA-Z]+|(?<=[a-z])(?=[A-Z])")
 _END_RAW = {n: re.compile(rf"</{n}\s*>", re.IGNORECASE) for n in _RAW}
 _START_BODY = re.compile(r"</head\s*>|<body\b", re.IGNORECASE)
 
@@ -36,28 +42,69 @@ PLATE, OPEN, ARTICLE = 0, 1, 2
 BROADCAST_BYTES = 16_000_000
 
 
-def _is_plate(name: str, attributes: str, in_article: bool) -> bool:
+def _says(token: str, words: frozenset[str]) -> bool:
+    """Whether a class or id is a template word: as a whole, as the head of a compound, or beside words for boxes alone.
+
+    So cookie-banner and comment-list are, while social-history and has-sidebar
+    tell about something else.
+    """
+    if token.lower() in words:
+        return True
+    parts = [p.lower() for p in _PARTS.split(token) if p]
+    if len(parts) < 2 or parts[0] in _MODIFIERS:
+        return False
+    return parts[-1] in words or parts[0] in words and _BOXES.issuperset(p for p in parts[1:] if p not in words)
+
+
+def _attributes(text: str) -> dict[str, str]:
+    out: dict[str, str] = {}
+    for m in _ATTRIBUTE.finditer(text):
+        out.setdefault(m[1].lower(), m[2] or m[3] or m[4] or "")
+    return out
+
+
+def _plate(name: str, attributes: str, in_article: bool) -> str | None:
+    """Why an element is template: "tag" (element, role or hidden), "comment" or "word" (its class or id); None if it isn't.
+
+    Classes of html, body, main and article tell about the page, so there only
+    those of comments count; within an article only whole words do.
+    """
     if name in _PLATE and not (name == "header" and in_article):
+        return "tag"
+    if "=" not in attributes and "hidden" not in attributes.lower():
+        return None
+    found = _attributes(attributes)
+    if "hidden" in found or found.get("aria-hidden", "").lower() == "true" or found.get("role", "").lower() in _ROLES:
+        return "tag"
+    tokens = [*found.get("class", "").split(), *found.get("id", "").split()]
+    if name in ("html", "body", "main"):
+        return None
+    says = (lambda t, words: t.lower() in words) if in_article or name == "article" else _says
+    if any(says(t, _COMMENTS) for t in tokens):
+        return "comment"
+    if name != "article" and any(says(t, _WORDS) for t in tokens):
+        return "word"
+    return "word" if not in_article and name not in ("article", "h1", "h2", "h3") and any(_says(t, _HEADERS) for t in tokens) else None
+
+
+def _quiet(name: str, attributes: str) -> bool:
+    """Whether an element within a line isn't part of its text: buttons, what is hidden, adverts."""
+    if name == "button":
         return True
-    if "=" not in attributes and "hidden" not in attributes:
+    if "=" not in attributes and "hidden" not in attributes.lower():
         return False
-    for m in _ATTRIBUTE.finditer(attributes):
-        what, value = m[1].lower(), m[2] or m[3] or m[4] or ""
-        if what == "hidden" or what == "aria-hidden" and value.lower() == "true":
-            return True
-        if what == "role" and value.lower() in _ROLES:
-            return True
-        if what in ("class", "id"):
-            words = [w.lower() for w in _SPLIT.split(value)]
-            if _WORDS.intersection(words) or "header" in words and not in_article and name not in ("h1", "h2", "h3"):
-                return True
-    return False
+    found = _attributes(attributes)
+    return "hidden" in found or found.get("aria-hidden", "").lower() == "true" or any(t.lower() in _ADVERTS for t in found.get("class", "").split())
 
 
 def blocks(page: str) -> list[tuple[int, str]]:
     """(place, text) of every block with text, in page order; white space is one space, references are decoded."""
     out: list[tuple[int, str]] = []
-    stack: list[tuple[str, int]] = []
+    # open blocks: name, the place outside, and why it is template
+    stack: list[tuple[str, int, str | None]] = []
+    # the element within a line whose text is left out, how often it is open, and the blocks around it
+    quiet: tuple[str, int, int] | None = None
+    endless: set[str] = set()
     place, buffer, at, size = OPEN, [], 0, len(page)
 
     def flush() -> None:
@@ -72,6 +119,8 @@ def blocks(page: str) -> list[tuple[int, str]]:
         at = m.end()
         name = m[2]
         if name is None:
+            if quiet:
+                continue
             if page[m.start()] != "<" or m.end() == m.start() + 1:
                 buffer.append(m[0])
             elif page.startswith("<![CDATA[", m.start()):
@@ -89,6 +138,14 @@ def blocks(page: str) -> list[tuple[int, str]]:
                 at = size
             continue
         if name not in _BLOCKS:
+            if quiet and quiet[0] == name:
+                depth = quiet[1] + (-1 if m[1] else 1)
+                quiet = (name, depth, quiet[2]) if depth else None
+            elif not quiet and not m[1] and name not in _VOID and name not in endless and _quiet(name, m[3]):
+                if re.compile(rf"</{name}\b", re.IGNORECASE).search(page, at):
+                    quiet = (name, 1, len(stack))
+                else:  # nothing ends it here or further on
+                    endless.add(name)
             continue
         flush()
         if m[1]:
@@ -97,13 +154,20 @@ def blocks(page: str) -> list[tuple[int, str]]:
                     place = stack[k][1]
                     del stack[k:]
                     break
+            if quiet and len(stack) < quiet[2]:  # its block has ended
+                quiet = None
             continue
         if name in _ENDS_P and stack and stack[-1][0] == "p" or name == "li" and stack and stack[-1][0] == "li":
             place = stack.pop()[1]
-        if name in _VOID or m[4] == "/>" and name not in ("p", "div", "article", "section"):
+        if name in _VOID or m[3].endswith("/") and name not in ("p", "div", "article", "section"):
             continue
-        stack.append((name, place))
-        if place != PLATE and _is_plate(name, m[3], place == ARTICLE):
+        why = _plate(name, m[3], place == ARTICLE)
+        if name in ("article", "main") and not why and place == PLATE and all(w in (None, "word") for _, _, w in stack):
+            stack.append((name, place, None))
+            place = ARTICLE  # a word on a wrapper says nothing about the article within
+            continue
+        stack.append((name, place, why))
+        if place != PLATE and why:
             place = PLATE
         elif place == OPEN and name in ("article", "main"):
             place = ARTICLE
@@ -177,6 +241,10 @@ def extract(pages: DataFrame) -> DataFrame:
     The order is a range partition of line hashes, so a host of any size is
     spread over tasks; each part lends its first and last page to its
     neighbours.
+
+    A class or id marks an element only as a template word, not by having one
+    in it (has-sidebar, social-history), and never html, body, main or an
+    article; an article within a marked wrapper is content.
     """
     schema = "page_id long, url string, host string, path string, row long, lines array<string>, places array<int>, hashes array<long>, same long"
 

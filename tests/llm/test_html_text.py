@@ -75,3 +75,42 @@ def test_odd_rows(spark):
     frame = spark.createDataFrame(rows, "page_id long, url string, html string, text string")
     assert sorted(((r.page_id or 0, r.text, r.n_chars) for r in html_text.extract(frame).collect())) == [(0, "A & B C", 7), (1, "", 0), (2, "", 0), (3, "A & B C", 7), (3, "A & B C", 7)]
     assert html_text.extract(frame.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize(
+    "page,text",
+    [
+        ('<body class="home has-sidebar page-with-comments"><p>text</p></body>', "text"),
+        ('<div class="content has-comments"><article><p>text</p></article></div>', "text"),
+        ('<article class="post related"><p>text</p></article>', "text"),
+        ('<section id="social-history"><p>text</p></section>', "text"),
+        ('<div class="widget"><article><p>text</p></article><p>other</p></div>', "text"),
+        ('<main class="sidebar"><p>text</p></main>', "text"),
+        ("<article><p>text<button>Buy now</button><span class='advert'>AD</span><span hidden>x</span> goes on</p></article>", "text goes on"),
+        ("<p title=it's>text</p><p>it's</p>", "text\nit's"),
+        ('<p title="a > b" data-x=\'"\'>text</p>', "text"),
+        ('<p>text</p><div id="comments"><article class="comment"><p>no</p></article></div>', "text"),
+        ('<p>text</p><div class="comment-list">no</div><div class="sidebar-left">no</div><div class="cookie-banner">no</div>', "text"),
+        ('<article><p>text</p><aside>no</aside><div class="share">no</div><section class="reply">no</section></article>', "text"),
+        ('<p>text <a class="related">more</a></p>', "text more"),
+        ('<span class="ad">unclosed <p>text</p>', "unclosed\ntext"),
+        ('<span class="ad">no <span>no</span></span><p>text</p>', "text"),
+        ('<div><span class="ad">no</div><p>text</p><span>more</span>', "text\nmore"),
+        ("<img alt=a/><br/><p>text</p>", "text"),
+    ],
+)
+def test_known_pages(spark, page, text):
+    frame = spark.createDataFrame([(1, "https://a.example/1", f"<html>{page}</html>")], "page_id long, url string, html string")
+    assert html_text.extract(frame).first().text == text
+
+
+def test_a_site_where_differencing_alone_decides(spark):
+    """No element or class tells the template: lines before, between and after the text, two of which differ by section."""
+    rows = []
+    for k in range(30):
+        section = k % 3
+        lines = ["Site of things", f"Section {section}", f"Story {k} begins", "Read this too", f"Story {k} goes on", f"Story {k} ends", "Contact us", "All rights"]
+        rows.append((k, f"https://a.example/s{section}/p{k:02d}", "<body>" + "".join(f"<div>{t}</div>" for t in lines) + "</body>"))
+    found = html_text.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()
+    assert {r.page_id: r.text for r in found} == {k: f"Story {k} begins\nStory {k} goes on\nStory {k} ends" for k in range(30)}
+    assert {(r.n_lines, r.n_shared) for r in found} == {(8, 5)}
