@@ -24,14 +24,17 @@ KINDS = ("assign", "access", "hex", "weak")
 
 #: Code points on either side of a weak candidate in which a complementary part counts.
 SCOPE = 200
-#: Least bits a character of a weak candidate.
-MIN_ENTROPY = 3.0
+#: Least bits a character of a weak candidate, and the least share of the most that a short one could have.
+MIN_ENTROPY, ENTROPY_SHARE = 3.0, 0.75
 _KEYWORDS = ("passw", "secret", "token", "apikey", "api_key")
 _IDENTIFIER = re.compile(r"""\b(?:user_?name|user_?id|login|client_?id|account_?id|access_?key(?:_?id)?|tenant_?id)["']?\x20*[:=]\x20*["']?[A-Za-z0-9@+/_.=-]{3,}""", re.ASCII | re.IGNORECASE)
-_ENDPOINT = re.compile(r"""\b(?:[a-z][a-z0-9+]{1,15}://[^\s"'<>]+|(?:host|hostname|server|endpoint)["']?\x20*[:=]\x20*["']?[A-Za-z0-9._:-]{3,})""", re.ASCII | re.IGNORECASE)
+#: URLs count with credentials or a service's scheme, or as a setting's value; a link in prose says nothing about secrets.
+_ENDPOINT = re.compile(r"""\b(?:[a-z][a-z0-9+]{1,15}://[^\s"'<>/@:]+(?::[^\s"'<>/@]*)?@[^\s"'<>]+|(?!https?:)[a-z][a-z0-9+]{1,15}://[^\s"'<>]+|(?:host|hostname|server|endpoint|base_?url|api_?url)["']?\x20*[:=]\x20*["']?(?:https?://)?[A-Za-z0-9._:-]{3,}[^\s"'<>]*)""", re.ASCII | re.IGNORECASE)
 _WEAK_ASSIGN = re.compile(r"""\b(?:pwd|pass|passphrase|key|private_?key|credential|auth|sig|signature)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=!@#$%^&*-]{6,})""", re.ASCII | re.IGNORECASE)
 _WEAK_RUN = re.compile(r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{20,}(?![A-Za-z0-9+/_=-])", re.ASCII)
 
+_SEPARATORS = re.compile(r"[-_/.=+]+")
+
 Span = tuple[int, int, int]
 
 
@@ -53,16 +56,22 @@ def entropy(value: str) -> float:
 
 
 def _looks_random(value: str) -> bool:
-    return bool(re.search(r"\d", value) and re.search(r"[A-Za-z]", value)) and entropy(value) >= MIN_ENTROPY
+    """Whether a value is no word or name: half of it in parts that mix letters and digits, and its characters differ enough for its length.
+
+    Numbers and words that separators join (ISBNs, versions, slugs) mix nothing
+    within a part.
+    """
+    mixed = sum(len(p) for p in _SEPARATORS.split(value) if re.search(r"\d", p) and re.search(r"[A-Za-z]", p))
+    return 2 * mixed >= len(value) and entropy(value) >= min(MIN_ENTROPY, ENTROPY_SHARE * math.log2(len(value)))
 
 
 def weak_links(text: str, base: list[Span], scope: int = SCOPE) -> list[tuple[Span, Span, str]]:
     """Weak candidates with the nearest complementary part within scope: (candidate, part, kind of part).
 
     Identifiers are access keys and assigned user, client or account names;
-    endpoints are URLs and assigned hosts. Weak candidates are secrets that the
-    base patterns leave out: assignments to less telling names, and long mixed
-    runs of letters and digits. They are searched in the whole text, so that one
+    endpoints are URLs with credentials or of services, and assigned hosts.
+    Weak candidates are secrets that the base patterns leave out: assignments to
+    less telling names and long runs, if they look random. They are searched in the whole text, so that one
     which reaches beyond the scope stays whole. The join is an interval join:
     both sides lie in rising order and each candidate looks up its neighbours by
     bisection.
@@ -79,13 +88,14 @@ def weak_links(text: str, base: list[Span], scope: int = SCOPE) -> list[tuple[Sp
     # parts may hold others, so the nearest one before is that with the last end; of equal ends the one that begins first
     closed = sorted(reversed(parts), key=lambda p: p[1])
     ends = [p[1] for p in closed]
-    found = {m.span() for m in _WEAK_ASSIGN.finditer(text)}
-    runs = {m.span(): m[0] for m in _WEAK_RUN.finditer(text)}
+    # an assignment counts by its value, a run as it is
+    found = {m.span(): m[1] for m in _WEAK_ASSIGN.finditer(text)}
+    found |= {m.span(): m[0] for m in _WEAK_RUN.finditer(text)}
     out, last = [], 0
-    for s, e in sorted(found | runs.keys()):
+    for s, e in sorted(found):
         before, after = bisect_right(ends, s), bisect_left(starts, e)
         near = [p for p in closed[max(0, before - 1) : before] + parts[after : after + 1] if p[0] - e <= scope and s - p[1] <= scope]
-        if s < last or not near or (s, e) not in found and not _looks_random(runs[s, e]):
+        if s < last or not near or not _looks_random(found[s, e]):
             continue
         if _overlaps(taken, s, e) or _overlaps(within, s, e):
             continue
