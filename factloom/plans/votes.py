@@ -6,8 +6,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import lexicons as lx
-from ..operators import votes
+from ..operators import runs, votes
 from ..operators.ranking import ranked
+from ..sources import store
 from . import corpus, facts
 
 _KEY = "emr_id, model_id, role, block, code"
@@ -50,6 +51,16 @@ def _decided(spark: SparkSession, sf_dir: str) -> DataFrame:
     return votes.decide(corpus.frame(spark, sf_dir, corpus.GATES), _final(spark, sf_dir), voices)
 
 
+def corpus_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A run of the first pairs, as if it had been stopped there, and the run of all pairs that goes on from it."""
+    path, voices = store.shared_path(spark, "evaluations"), corpus.frame(spark, sf_dir, corpus.AGGREGATES).withColumn("named", F.array_compact(F.array("named")))
+    runs.run(corpus.pairs(spark, sf_dir), path, _final(spark, sf_dir), voices, limit=500, batches=1)
+    done = runs.run(corpus.pairs(spark, sf_dir), path, _final(spark, sf_dir), voices, batches=2)
+    of = lambda c: F.coalesce(F.col(f"objective.{c}"), F.lit(0))
+    errors = of("numeric_mismatches") + of("unit_mismatches") + of("flips") + (of("causal") > 0).cast("int") + of("claims")
+    return done.results.select("emr_id", "model_id", "gate_status", "category", "issues", F.array_join("e1_sources", ",").alias("e1_sources"), errors.alias("real_errors"), F.col("error").isNotNull().alias("failed"))
+
+
 def final_votes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _final(spark, sf_dir).groupBy("model_id", "role", "block", "round").agg(F.count("*").alias("n"), F.count_if("pass").alias("n_pass"), F.count("pass").alias("n_decided"))
 
@@ -111,7 +122,7 @@ def cube_status(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _decided(spark, sf_dir).cube("model_id", "gate_status", "category").agg(F.count("*").alias("n"))
 
 
-QUERIES = {f.__name__: f for f in (final_votes, subcriterion_majority, block_verdict, e1_sources, final_decision, decision_by_model, critical_rows, block_pivot, candidate_ranking, statistics_by_model, cube_status)}
+QUERIES = {f.__name__: f for f in (final_votes, subcriterion_majority, block_verdict, e1_sources, final_decision, decision_by_model, critical_rows, block_pivot, candidate_ranking, statistics_by_model, cube_status, corpus_run)}
 
 ORACLE_SQL = {
     "final_votes": f"SELECT model_id, role, block, round, count(*) AS n, coalesce(count_if(pass), 0) AS n_pass, count(pass) AS n_decided FROM ({_FINAL}) GROUP BY ALL",
@@ -119,6 +130,8 @@ ORACLE_SQL = {
     "block_verdict": _BLOCKS,
     "e1_sources": _E1,
     "final_decision": _DECIDED,
+    "corpus_run": f"""SELECT emr_id, d.model_id, d.gate_status, category, issues, e1_sources, CASE WHEN d.gate_status = 'reject' THEN 0 ELSE numeric_mismatches + unit_mismatches + flips + CAST(causal > 0 AS INT) + claims END AS real_errors, false AS failed
+        FROM ({_DECIDED.replace(corpus.GATES, f"SELECT emr_id, model_id, gate_status FROM ({facts._FOUND})")}) d JOIN ({facts._FOUND}) f USING (emr_id)""",
     "decision_by_model": f"""SELECT model_id, count(*) AS n, count_if(category = '{lx.READY}') AS n_ready, count_if(category = '{lx.EDIT}') AS n_edit, count_if(category = '{lx.REJECT}') AS n_reject,
         count_if(e1_triggered) AS n_e1, count_if(e1_triggered) / count(*) AS e1_rate FROM ({_DECIDED}) GROUP BY model_id""",
     "critical_rows": f"SELECT emr_id, model_id, 'E1' AS what, unnest(string_split(e1_sources, ',')) AS detail FROM ({_DECIDED}) WHERE e1_sources <> '' UNION ALL SELECT emr_id, model_id, block, unnest(string_split(failed, ',')) FROM ({_BLOCKS}) WHERE failed <> ''",
