@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
 from .. import lexicons as lx
+from ..sources.store import written
 
 
 #: Ranges in which values are ranked; each is a task of its own.
@@ -24,7 +25,12 @@ def average_ranks(values: DataFrame, column: str) -> DataFrame:
     what lies below a range is a sum over at most RANGES counts.
     """
     present = values.where(F.col(column).isNotNull())
-    counts = present.groupBy(column).agg(F.count("*").alias("_n"))
+    return present.join(_ranks(present, column), column)
+
+
+def _ranks(values: DataFrame, column: str) -> DataFrame:
+    """(column, column_rank) of each distinct value; their counts are written once and read for bounds, sums and ranks."""
+    counts = written(values.groupBy(column).agg(F.count("*").alias("_n")))
     # approximate bounds are as good as exact ones: they only deal out the work
     bounds = sorted(set(counts.select(F.col(column).cast("double").alias("v")).approxQuantile("v", [k / RANGES for k in range(1, RANGES)], 0.01)))
     part = F.size(F.filter(F.lit(bounds), lambda b: b < F.col(column).cast("double"))) if bounds else F.lit(0)
@@ -35,12 +41,11 @@ def average_ranks(values: DataFrame, column: str) -> DataFrame:
         before.append((k, below))
         below += sizes[k]
     if not before:
-        return present.withColumn(f"{column}_rank", F.lit(None).cast("double"))
+        return counts.select(column, F.lit(None).cast("double").alias(f"{column}_rank"))
     offsets = values.sparkSession.createDataFrame(before, "_part int, _before long")
     upto = Window.partitionBy("_part").orderBy(column).rowsBetween(Window.unboundedPreceding, -1)
     less = F.col("_before") + F.coalesce(F.sum("_n").over(upto), F.lit(0))
-    ranks = placed.join(F.broadcast(offsets), "_part").select(column, (less + (F.col("_n") + 1) / 2).alias(f"{column}_rank"))
-    return present.join(ranks, column)
+    return placed.join(F.broadcast(offsets), "_part").select(column, (less + (F.col("_n") + 1) / 2).alias(f"{column}_rank"))
 
 
 def _fraction(a: float, b: float, x: float) -> float:
@@ -79,7 +84,7 @@ def p_value(rho: pa.Array, n: pa.Array) -> pa.Array:
 def spearman(values: DataFrame, x: str, y: str) -> DataFrame:
     """One row (n, rho, p): the correlation of the average ranks and its p value; null below 3 rows or where a side is constant."""
     both = values.where(F.col(x).isNotNull() & F.col(y).isNotNull()).select(x, y)
-    ranked = average_ranks(average_ranks(both, x), y)
+    ranked = both.join(_ranks(both, x), x).join(_ranks(both, y), y)
     n, varied = F.count("*"), (F.min(x) < F.max(x)) & (F.min(y) < F.max(y))
     rho = F.when((n >= 3) & varied, F.corr(f"{x}_rank", f"{y}_rank"))
     return ranked.agg(n.alias("n"), rho.alias("rho")).withColumn("p", p_value("rho", "n"))

@@ -23,6 +23,13 @@ def shared_path(spark: SparkSession, name: str) -> str:
     return f"{found.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+def written(rows: DataFrame) -> DataFrame:
+    """rows written below the shared folder and read again, so that what is read several times is computed once."""
+    path = shared_path(rows.sparkSession, "rows")
+    rows.write.parquet(path)
+    return rows.sparkSession.read.schema(rows.schema).parquet(path)
+
+
 class Store:
     """A folder of Parquet batches with a version; rows of later versions replace earlier ones of their key.
 
