@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -22,16 +23,38 @@ _NAMES = {"system": 0, "sys": 0, "developer": 0, "instruction": 0, "instructions
 _MARKER = re.compile(r"^\s*(?:(?P<alone>#{1,6}\s*|\*{1,2}|<\|im_start\|>)|\[|<\|?)?(?:im_start\|>)?(?P<name>" + "|".join(sorted(_NAMES, key=len, reverse=True)) + r")(?:\*{1,2})?(?:\s*:\*{0,2}|\]\s*:?|\|?>\s*|(?(alone)(?=\s*$)|(?!)))\s*", re.IGNORECASE)
 #: ChatML's end of a turn, where the line or the turn ends.
 _END, _END_BEFORE = re.compile(r"<\|im_end\|>[^\S\n]*$", re.MULTILINE), re.compile(r"<\|im_end\|>[^\S\n]*(?=<\|im_start\|>)")
-#: How sure a written marker, and the role that a row declares, tells the speaker; a line without either keeps it. A declared role is one observation that others can outweigh.
-_SURE, _DECLARED, _STAY = 0.98, 0.9, 0.98
+#: Names that open a line of ordinary text as well ("Model: X5", "Context: ..."): without brackets or signs around them they are weak markers.
+_WEAK_NAMES = frozenset("sys developer instruction instructions context question q customer client me answer a model agent response".split())
+#: How sure a marker in signs or brackets, a plain name with a colon, a weak one, and the role that a row declares, tell the speaker; a line without any keeps it. A declared role is one observation that others can outweigh.
+_FRAMED, _PLAIN, _WEAK, _DECLARED, _STAY = 0.999, 0.99, 0.6, 0.9, 0.98
 _LENGTHS = (20, 60, 120, 200, 400, 800, 1600)
 _FEATURES = len(_LENGTHS) + 1
 
 
+class Unit(NamedTuple):
+    """A piece of a row up to the next line that looks like a marker; cut is that marker as written."""
+
+    opens: bool
+    declared: int | None
+    marked: int | None
+    feature: int | None
+    sure: float = _FRAMED
+    cut: str = ""
+
+
+def _read(line: str) -> tuple[int | None, float, str]:
+    """The role that a line's opening marker names, how sure it is, and the marker as written."""
+    m = _MARKER.match(line)
+    if not m:
+        return None, _FRAMED, ""
+    name, framed = m["name"].lower(), bool(line[: m.start("name")].strip())
+    return _NAMES[name], _FRAMED if framed else _WEAK if name in _WEAK_NAMES else _PLAIN, m[0]
+
+
 def marker(line: str) -> tuple[int | None, str]:
     """The role that a line's opening marker names, and the line without it."""
-    m = _MARKER.match(line)
-    return (_NAMES[m["name"].lower()], line[m.end() :]) if m else (None, line)
+    role, _, written = _read(line)
+    return role, line[len(written) :]
 
 
 def _feature(length: int, asks: bool) -> int:
@@ -49,23 +72,40 @@ class Model:
         smooth = lambda x: np.log((x + 1) / (x + 1).sum(axis=-1, keepdims=True))
         n = len(ROLES)
         never = np.full((n + 1, 1), -np.inf)
-        start, self.emit = smooth(starts)[None, :], smooth(features)
+        start = smooth(starts)[None, :]
+        # relative to all turns, so that a unit that opens a turn pays nothing for having features
+        self.emit = smooth(features) - smooth(features.sum(axis=0))
         stay = np.log(np.where(np.eye(n, dtype=bool), _STAY, (1 - _STAY) / (n - 1)))
         self.move, self.stay = (np.hstack([np.vstack([m, start]), never]) for m in (smooth(moves), stay))
         self.before = np.array([-np.inf] * n + [0.0])
 
-    def scores(self, unit: tuple) -> np.ndarray:
-        """Of a unit (opens a row, declared role, marked role, feature) under each role."""
-        _, declared, marked, feature = unit
-        out = self.emit[:, feature].copy() if feature is not None else np.zeros(len(ROLES))
-        for role, sure in ((marked, _SURE), (declared, _DECLARED)):
-            if role is not None:
-                out += np.log(np.where(np.arange(len(ROLES)) == role, sure, (1 - sure) / (len(ROLES) - 1)))
-        return np.append(out, 0.0)
+    def _declared(self, role: int | None) -> np.ndarray:
+        return np.append(_told(role, _DECLARED), 0.0)
 
-    def steps(self, units: list[tuple]) -> list[np.ndarray]:
-        """From each state before a unit to each state of it. A unit that opens a row or has a marker begins a turn."""
-        return [(self.move if u[0] or u[2] is not None else self.stay) + self.scores(u)[None, :] for u in units]
+    def scores(self, unit: Unit) -> np.ndarray:
+        """Of a unit that opens a turn, or of one without marker, under each role."""
+        out = self.emit[:, unit.feature] if unit.feature is not None else np.zeros(len(ROLES))
+        return np.append(out + _told(unit.marked, unit.sure), 0.0) + self._declared(unit.declared)
+
+    def steps(self, units: list[Unit]) -> list[np.ndarray]:
+        """From each state before a unit to each state of it.
+
+        A unit that opens a row begins a turn. One that opens with a marker
+        within a row begins a turn, or is text that goes on: the better of both.
+        """
+        out = []
+        for unit in (Unit(*u) for u in units):
+            step = (self.move if unit.opens or unit.marked is not None else self.stay) + self.scores(unit)[None, :]
+            if unit.marked is not None and not unit.opens:
+                goes_on = np.where(np.eye(len(self.before), dtype=bool), self.stay + np.log(1 - unit.sure), -np.inf)
+                step = np.maximum(step, goes_on + self._declared(unit.declared)[None, :])
+            out.append(step)
+        return out
+
+
+def _told(role: int | None, sure: float) -> np.ndarray:
+    """Log probabilities of an observation that tells a role, under each role."""
+    return np.zeros(len(ROLES)) if role is None else np.log(np.where(np.arange(len(ROLES)) == role, sure, (1 - sure) / (len(ROLES) - 1)))
 
 
 def across(steps: list[np.ndarray]) -> np.ndarray:
@@ -91,20 +131,20 @@ def viterbi(entry: np.ndarray, steps: list[np.ndarray], exit_role: int | None) -
     return roles[::-1]
 
 
-def units_of(declared: str | None, text: str) -> list[tuple[tuple, str]]:
-    """A row's units with their texts: its lines, of which those without a marker of their own join the one before."""
+def units_of(declared: str | None, text: str) -> list[tuple[Unit, str]]:
+    """A row's units with their texts without markers: its lines, of which those without a marker of their own join the one before."""
     role = {"system": 0, "user": 1, "assistant": 2}.get((declared or "").strip().lower(), _NAMES.get((declared or "").strip().lower()))
-    pieces: list[list] = []
+    pieces: list[tuple] = []
     for k, line in enumerate(_END.sub("", _END_BEFORE.sub("\n", text)).split("\n")):
-        marked, rest = marker(line)
+        marked, sure, written = _read(line)
         if k == 0 or marked is not None:
-            pieces.append([k == 0, role if k == 0 else None, marked, [rest]])
+            pieces.append((marked, sure, written, [line[len(written) :]]))
         else:
             pieces[-1][3].append(line)
     out = []
-    for opens, own, marked, lines in pieces:
+    for k, (marked, sure, written, lines) in enumerate(pieces):
         body = "\n".join(lines)
-        out.append(((opens, own, marked, _feature(len(body), "?" in body)), body))
+        out.append((Unit(k == 0, role, marked, _feature(len(body), "?" in body), sure, written), body))
     return out
 
 
@@ -149,12 +189,17 @@ RENDERED = "conv_id long, turn long, part long, role string, text string, render
 def format_chats(conversations: DataFrame, model: Model | None = None) -> DataFrame:
     """One row for each recovered turn: its row's turn, its part of that row, role, text and canonical rendering.
 
-    A row's text is one unit, or several where lines within it open with a
-    speaker marker ("User:", "### Assistant", "[human]" and the like), which is
-    cut off. Names without a colon or bracket need a line of their own. The roles are the best path of a hidden Markov model: markers
-    speak most strongly, then the row's declared role, then length and question
-    marks, and turns follow each other as they do in all conversations.
-    Neighbouring units of a row that get the same role are one turn.
+    A row's text is one unit, or several where lines within it open with what
+    looks like a speaker marker ("User:", "### Assistant", "[human]" and the
+    like). Names without a colon or bracket need a line of their own. The roles
+    are the best path of a hidden Markov model: markers speak most strongly,
+    then the role that the row declares for all its lines, then length and
+    question marks, and turns follow each other as they do in all conversations;
+    a marked line within a row may also be text of the turn before it. Only then
+    are markers cut off: those whose role the path has, where a weak one ("Model:",
+    "A:") must also change the role within its row or open a row that declares
+    none. All others stay as text. Neighbouring units of a row that get the same
+    role are one turn.
 
     Conversations of more than CHUNK rows are decoded in chunks of CHUNK rows at
     most, cut by the rows' order and not by turn, so that many rows of one turn
@@ -214,16 +259,24 @@ def _plan(matrices: DataFrame, model: Model) -> DataFrame:
     return matrices.repartition("conv_id").sortWithinPartitions("conv_id", "chunk").mapInArrow(run, "conv_id long, chunk long, entry array<double>, exit int")
 
 
+def _body(unit: Unit, text: str, role: int, before: int | None) -> str:
+    """A unit's text under its decoded role, with its marker unless that is one; before is the role of the row's unit before it."""
+    turns = role != before and (not unit.opens or unit.declared is None)
+    return text if role == unit.marked and (unit.sure > _WEAK or turns) else unit.cut + text
+
+
 def _merged(units: list[tuple], roles: list[int]) -> Iterator[tuple[dict, int, int, str]]:
     """(row, part, role, text) of the turns: neighbouring units of one row and role are one."""
     held = None
-    for (row, part, _, body), role in zip(units, roles, strict=True):
-        if held and held[0] is row and held[2] == role:
-            held = (row, held[1], role, f"{held[3]}\n{body.strip()}".strip())
+    for (row, part, unit, text), role in zip(units, roles, strict=True):
+        same_row = held is not None and held[0] is row
+        body = _body(unit, text, role, held[2] if same_row else None).strip()
+        if same_row and held[2] == role:
+            held = (row, held[1], role, f"{held[3]}\n{body}".strip())
         else:
             if held:
                 yield held
-            held = (row, part, role, body.strip())
+            held = (row, part, role, body)
     if held:
         yield held
 

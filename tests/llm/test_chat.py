@@ -63,3 +63,33 @@ def test_lines_of_one_role_are_one_turn(spark):
     frame = spark.createDataFrame([(1, 0, None, "User: one\nUser: two\nAssistant: three")], "conv_id long, turn long, role string, text string")
     assert [(r.role, r.text) for r in chat.format_chats(frame).orderBy("part").collect()] == [("user", "one\ntwo"), ("assistant", "three")]
     assert chat.format_chats(frame.limit(0)).count() == 0
+
+
+def test_markers_stay_unless_the_path_has_their_role(spark):
+    talk = [(c, t, ("user", "assistant")[t % 2], "Why is that so?" if t % 2 == 0 else "Because of this and that. " * 9) for c in range(60) for t in range(4)]
+    camera, sure, asked = "Model: X5 camera\nCustomer: John Smith\nContext: shop", "Hello there?\n### Assistant\nGood day to you", "Q: Why?\nA: So it is."
+    talk += [(100, 0, "user", camera), (101, 0, "user", sure), (102, 0, None, asked), (103, 0, "user", "A: first\nB: second?"), (104, 0, "assistant", "User: Why?")]
+    got: dict = {}
+    for r in chat.format_chats(spark.createDataFrame(talk, "conv_id long, turn long, role string, text string")).where("conv_id >= 100").orderBy("conv_id", "turn", "part").collect():
+        got.setdefault(r.conv_id, []).append((r.role, r.text))
+    assert got[100] == [("user", camera)] and got[103] == [("user", "A: first\nB: second?")]
+    assert got[101] == [("user", "Hello there?"), ("assistant", "Good day to you")]
+    assert got[102] == [("user", "Why?"), ("assistant", "So it is.")]
+    assert got[104] == [("user", "Why?")]
+
+
+def test_no_character_is_lost_but_markers():
+    import numpy as np
+
+    rng = np.random.default_rng(5)
+    model = chat.Model(rng.integers(0, 9, 3), rng.integers(0, 9, (3, 3)), rng.integers(0, 9, (3, 2 * chat._FEATURES)))
+    lines = ["Model: 11", "plain", "### User", "A: 22", "Assistant: 33", "", "[human] 44", "Context: 55?"]
+    for _ in range(60):
+        text = "\n".join(rng.choice(lines, rng.integers(1, 9)))
+        row, units = {}, chat.units_of(rng.choice(["user", "assistant", ""]), text)
+        assert "\n".join(u.cut + body for u, body in units) == text
+        roles = chat.viterbi(model.before, model.steps([u for u, _ in units]), None)
+        turns = list(chat._merged([(row, k, u, body) for k, (u, body) in enumerate(units)], roles))
+        left = "\n".join(t[3] for t in turns)
+        assert all(left.count(word) == text.count(word) for word in ("11", "plain", "22", "33", "44", "55?"))
+        assert all(a[2] != b[2] for a, b in zip(turns, turns[1:]))
