@@ -168,6 +168,7 @@ def compare(pairs: DataFrame, source: str = "source_text", summary: str = "summa
     wrong = F.filter("_number_pairs", lambda p: F.abs(side("numbers_a", p, "i")["value"] - side("numbers_b", p, "j")["value"]) > lx.TOLERANCE)
     flips = F.filter("_statement_pairs", lambda p: side("statements_a", p, "i")["polarity"] != side("statements_b", p, "j")["polarity"])
     told = lambda name: lambda p: F.concat(side(f"{name}_a", p, "i")["raw"], F.lit(" → "), side(f"{name}_b", p, "j")["raw"])
+    near = lambda name, at: lambda p: F.right(side(name, p, at)["context"], F.lit(lx.FINDING_WINDOW))
     introduced = F.greatest(F.size("_links_b") - F.size("_links_a"), F.lit(0))
     return done.withColumn(
         "objective",
@@ -180,8 +181,10 @@ def compare(pairs: DataFrame, source: str = "source_text", summary: str = "summa
                 F.transform(wrong, told("numbers")).alias("mismatches"),
                 F.transform("_other_units", lambda u: F.concat(u["raw_a"], F.lit(" → "), u["raw_b"])).alias("unit_mismatches"),
                 F.array_distinct(F.concat(F.transform("_number_pairs", lambda p: p["i"]), F.transform("_other_units", lambda u: u["i"]))).alias("covered"),
+                F.transform(wrong, near("numbers_a", "i")).alias("mismatch_contexts"),
+                F.transform("_other_units", near("numbers_a", "i")).alias("unit_mismatch_contexts"),
             ).alias("numeric"),
-            F.struct(F.size("statements_a").alias("total_in_a"), (F.size("_statement_pairs") - F.size(flips)).alias("matched"), F.size(flips).alias("flip_count"), F.transform(flips, told("statements")).alias("flips")).alias("polarity"),
+            F.struct(F.size("statements_a").alias("total_in_a"), (F.size("_statement_pairs") - F.size(flips)).alias("matched"), F.size(flips).alias("flip_count"), F.transform(flips, told("statements")).alias("flips"), F.transform(flips, near("statements_a", "i")).alias("flip_contexts")).alias("polarity"),
             F.struct(F.size("_links_a").alias("in_a"), F.size("_links_b").alias("in_b"), introduced.alias("introduced"), F.slice("_links_b", F.lit(1), introduced).alias("introduced_markers")).alias("causality"),
             F.struct(F.col("_claims").alias("contradictions"), F.size("_claims").alias("count")).alias("interpretation"),
         ),

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from .. import lexicons as lx
 from ..functions.text import unnested
-from ..operators import agreement, similarity
+from ..operators import agreement, report, similarity
 from ..operators.compare import compare, flags, with_facts
 from ..operators.facts import numeric_facts, polarity_facts
 from ..operators.gate import gate
@@ -64,6 +64,33 @@ def _detected(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus.labelled(_found(spark, sf_dir)).withColumn("flagged", flagged).drop("objective")
 
 
+#: What an extractor finds in the pairs: the summary's spelling of the diagnosis, and what it leaves out or makes up.
+_NAMED = f"""SELECT *, map('diagnoses', array('инфаркт миокарда'), 'medications', array('морфин'), 'procedures', array('снимки', 'креатинин')) AS entities_a,
+map('diagnoses', array(regexp_extract(summary_text, '(Инфаркт ми.карда)', 1)), 'medications', array('Морфин'), 'procedures', CASE WHEN row_no = 22 THEN array('креатинин') WHEN row_no IN (21, 23) THEN array('снимкам') ELSE array('креатинин', 'снимкам') END,
+  'symptoms', CASE WHEN row_no = 27 THEN array('сорта кофе') ELSE array() END) AS entities_b FROM ({corpus.PAIRS}) AS written"""
+_MISSING = "CAST(row_no IN (21, 22, 23) AS INT)"
+_CAUGHT = {"numeric": "numeric_mismatches > 0", "unit": "unit_mismatches > 0", "polarity": "flips > 0", "entity": "row_no IN (21, 22, 23, 27)", "causality": "causal > 0", "interpretation": "claims > 0"}
+_SIGNALLED = f"SELECT emr_id, row_no, dtype, severity, list_filter([{', '.join(f'CASE WHEN {c} THEN {s!r} END' for s, c in _CAUGHT.items())}], lambda s: s IS NOT NULL) AS signals FROM ({_DETECTED})"
+
+
+def _reported(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return corpus.labelled(report.objective_report(corpus.frame(spark, sf_dir, _NAMED)))
+
+
+def hard_findings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many findings of each kind a pair's report tells."""
+    return unnested(_reported(spark, sf_dir), "findings", "f", "emr_id").groupBy("emr_id", "f.kind").agg(F.count("*").alias("n"))
+
+
+def detection_by_signal(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return report.detection_summary(_reported(spark, sf_dir), "dtype")
+
+
+def detection_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Critical pairs that no rule catches, and others that one does, by all six signals."""
+    return report.detection_errors(_reported(spark, sf_dir)).select("emr_id", "row_no", "dtype", "kind", F.array_join("signals", ",").alias("signals"))
+
+
 def pairs_by_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus.pairs(spark, sf_dir).groupBy("model_id").agg(F.count("*").alias("n_pairs"), F.countDistinct("emr_id").alias("n_records"))
 
@@ -139,6 +166,7 @@ QUERIES = {
     for f in (
         pairs_by_model, numeric_facts_extract, numeric_facts_by_category, objective_findings, numeric_coverage, polarity_facts_count, causality_introduced,
         interpretation_contradictions, gate_status, gate_reasons, detection_by_type, detection_misses_topk, legend_guard, representative_rows, rouge_by_type,
+        hard_findings, detection_by_signal, detection_errors,
     )
 }
 
@@ -164,5 +192,11 @@ ORACLE_SQL = {
     "detection_by_type": f"SELECT severity, dtype, count(*) AS n, count_if(flagged) AS n_flagged, count_if(flagged) / count(*) AS rate FROM ({_DETECTED}) GROUP BY ROLLUP (severity, dtype)",
     "detection_misses_topk": f"SELECT emr_id, row_no, dtype FROM ({_DETECTED}) WHERE NOT flagged AND severity = 'critical' ORDER BY CAST(emr_id AS BIGINT) LIMIT 25",
     "legend_guard": f"SELECT row_no, dtype, severity, count(*) AS n FROM ({corpus.PAIRS}) p JOIN ({corpus.LEGEND}) l ON row_no BETWEEN low AND high GROUP BY ALL",
+    "hard_findings": f"""SELECT emr_id, kind, n FROM (SELECT emr_id, unnest(['number', 'unit', 'polarity', 'causality', 'interpretation', 'entity']) AS kind,
+        unnest([numeric_mismatches, unit_mismatches, flips, causal, claims, {_MISSING}]) AS n FROM ({_FOUND})) WHERE n > 0""",
+    "detection_by_signal": f"""SELECT severity, dtype, count(*) AS n, count_if(len(signals) > 0) AS n_flagged, round(count_if(len(signals) > 0) / count(*), 4) AS rate, CASE WHEN severity = 'critical' THEN 'recall' WHEN severity IS NOT NULL THEN 'FPR' END AS rate_label,
+        {", ".join(f"count_if(list_contains(signals, '{s}')) AS n_{s}" for s in lx.SIGNALS)} FROM ({_SIGNALLED}) GROUP BY ROLLUP (severity, dtype)""",
+    "detection_errors": f"""SELECT emr_id, row_no, dtype, CASE WHEN severity = 'critical' THEN 'miss' ELSE 'false_alarm' END AS kind, coalesce(array_to_string(signals, ','), '') AS signals FROM ({_SIGNALLED})
+        WHERE (severity = 'critical') = (len(signals) = 0)""",
     "representative_rows": f"SELECT dtype, min(row_no) AS row_no, CAST(arg_min(CAST(emr_id AS BIGINT), row_no * 1000000000 + CAST(emr_id AS BIGINT)) AS BIGINT) AS first_emr FROM ({corpus.PAIRS}) p JOIN ({corpus.LEGEND}) l ON row_no BETWEEN low AND high GROUP BY dtype",
 }
