@@ -43,12 +43,18 @@ def alerts(snapshots: DataFrame) -> DataFrame:
     now = snapshots.select("run_id", "profile", *(F.round(c, 4).alias(c) for c in rates))
     both = now.select("*", F.lag("profile").over(order).alias("old_profile"), *(F.lag(c).over(order).alias(f"old_{c}") for c in rates)).where("old_profile IS NOT NULL")
     move = lambda c: F.col(c) - F.col(f"old_{c}")
-    total = sum((F.abs(move(c)) for c in ("edit_rate", "ready_rate")), F.abs(move("reject_rate")))
+    return fired(both, sum((F.abs(move(c)) for c in ("edit_rate", "ready_rate")), F.abs(move("reject_rate"))))
+
+
+def fired(both: DataFrame, total: Column) -> DataFrame:
+    """The alerts of rows with run_id, profile, reject_rate and gate_reject_rate, and old_ of each; total is how far all categories moved."""
+    move = lambda c: F.col(c) - F.col(f"old_{c}")
 
     def alert(metric: str, baseline: Column, current: Column, delta: Column, limit: float, severity: Column, fires: Column) -> Column:
         return F.when(fires, F.struct(F.lit(metric).alias("metric"), baseline.alias("baseline"), current.alias("current"), delta.alias("delta"), F.lit(limit).alias("threshold"), severity.alias("severity")))
 
-    zero, same = F.lit(0.0), F.col("profile") == F.col("old_profile")
+    # an unknown profile is comparable with any
+    zero, same = F.lit(0.0), F.coalesce(F.col("profile") == F.col("old_profile"), F.lit(True))
     found = [alert("profile", zero, zero, zero, 0.0, F.lit("notice"), ~same)]
     for c in ("reject_rate", "gate_reject_rate"):
         found.append(alert(c, F.col(f"old_{c}"), F.col(c), move(c), lx.DRIFT_LIMITS[c], F.when(move(c) > 0, "alarm").otherwise("notice"), same & (F.abs(move(c)) >= lx.DRIFT_LIMITS[c])))

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import lexicons as lx
-from ..operators import agreement, drift
+from ..operators import agreement, drift, snapshots
 from ..operators.compare import compare
 from ..operators.gate import gate
 from ..sources import tables
@@ -24,6 +24,40 @@ _AUTO = f"SELECT * FROM ({corpus.AUDIT}) AS marks WHERE CAST(emr_id AS BIGINT) %
 _CONFUSION = "SELECT tp, fp, fn, tn, tp / nullif(tp + fp, 0) AS precision, tp / nullif(tp + fn, 0) AS recall, 2 * tp / nullif(2 * tp + fp + fn, 0) AS f1, (tp + tn) / nullif(tp + fp + fn + tn, 0) AS accuracy FROM (SELECT count_if(NOT a AND NOT e) AS tp, count_if(NOT a AND e) AS fp, count_if(a AND NOT e) AS fn, count_if(a AND e) AS tn FROM ({}))"
 
 
+#: Monthly runs over lines, with a category that only the months of one half of the year have.
+_SHIPPED = f"""SELECT CAST(year(l_shipdate) * 100 + month(l_shipdate) AS STRING) AS run_id, 'pilot' AS profile, CAST(l_orderkey AS STRING) AS emr_id, CAST(l_linenumber AS STRING) AS model_id,
+CASE l_returnflag WHEN 'R' THEN '{lx.REJECT}' WHEN 'A' THEN '{lx.READY}' ELSE CASE WHEN month(l_shipdate) > 6 THEN '{lx.EDIT}' ELSE 'open' END END AS category, CASE l_linestatus WHEN 'F' THEN 'reject' ELSE 'pass' END AS gate_status, l_extendedprice AS price FROM lineitem"""
+_SHARES = f"SELECT run_id, category, round(n / sum(n) OVER (PARTITION BY run_id), 4) AS rate FROM (SELECT run_id, category, count(*) AS n FROM ({_SHIPPED}) GROUP BY ALL)"
+_RUNS = f"SELECT run_id, lag(run_id) OVER (ORDER BY run_id) AS baseline_id FROM (SELECT DISTINCT run_id FROM ({_SHIPPED}))"
+_UNION = f"""SELECT run_id, baseline_id, category, coalesce(o.rate, 0) AS before, coalesce(n.rate, 0) AS after, coalesce(n.rate, 0) - coalesce(o.rate, 0) AS delta
+FROM (SELECT r.run_id, r.baseline_id, s.category, s.rate FROM ({_RUNS}) r JOIN ({_SHARES}) s ON s.run_id = r.baseline_id) o
+FULL JOIN (SELECT r.run_id, r.baseline_id, s.category, s.rate FROM ({_RUNS}) r JOIN ({_SHARES}) s ON s.run_id = r.run_id WHERE r.baseline_id IS NOT NULL) n USING (run_id, baseline_id, category)"""
+_GATED = f"SELECT run_id, g - lag(g) OVER (ORDER BY run_id) AS delta FROM (SELECT run_id, round(count_if(gate_status = 'reject') / count(*), 4) AS g FROM ({_SHIPPED}) GROUP BY run_id)"
+
+
+def _snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = spark.sql(_SHIPPED.replace("FROM lineitem", "FROM {lineitem}"), lineitem=tables.read(spark, sf_dir, "lineitem"))
+    return snapshots.snapshot(rows.withColumn("at", F.to_timestamp(F.concat("run_id", F.lit("01")), "yyyyMMdd")), F.col("price"))
+
+
+def snapshot_moves(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How each category's share moved between months, those that only one of two months has included."""
+    return snapshots.moves(_snapshots(spark, sf_dir)).withColumn("delta", F.round("delta", 4))
+
+
+def snapshot_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return snapshots.alerts(_snapshots(spark, sf_dir)).select("run_id", "metric", "severity", F.round("delta", 4).alias("delta"))
+
+
+def merged_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Years from monthly snapshots: whether distinct orders and the median price are within four standard errors of the exact ones."""
+    lines = tables.read(spark, sf_dir, "lineitem")
+    exact = lines.groupBy(F.year("l_shipdate").cast("string").alias("year")).agg(F.countDistinct("l_orderkey").alias("n_orders"), *(F.percentile("l_extendedprice", q).alias(name) for name, q in (("low", 0.43), ("high", 0.57))))
+    years = snapshots.merged(_snapshots(spark, sf_dir), F.substring("run_id", 1, 4).alias("year"))
+    near = F.abs(F.col("n_records") - F.col("n_orders")) <= 0.065 * F.col("n_orders")
+    return years.join(exact, "year").select("year", "n", "n_orders", near.alias("orders_close"), snapshots.quantile(F.col("measures"), 0.5).between(F.col("low"), F.col("high")).alias("median_close"))
+
+
 def _audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus.frame(spark, sf_dir, corpus.AUDIT)
 
@@ -91,6 +125,7 @@ QUERIES = {
     for f in (
         audit_hash, drift_snapshot_category, drift_snapshot_by_model, drift_alerts, drift_objective_means, spearman, binary_agreement,
         label_agreement, correlate_unmatched, last_event_by_user, resume_antijoin, events_windowed_drift,
+        snapshot_moves, snapshot_alerts, merged_snapshots,
     )
 }
 
@@ -111,5 +146,11 @@ ORACLE_SQL = {
     "correlate_unmatched": f"SELECT 'auto' AS side, emr_id FROM ({_AUTO}) ANTI JOIN ({_EXPERT}) USING (emr_id) UNION ALL SELECT 'expert', emr_id FROM ({_EXPERT}) ANTI JOIN ({_AUTO}) USING (emr_id)",
     "last_event_by_user": "SELECT user_id, max(event_id) AS event_id, arg_max(event_type, event_id) AS event_type FROM events GROUP BY user_id",
     "resume_antijoin": f"SELECT CAST(k AS STRING) AS emr_id, CAST(k % 6 AS STRING) AS model_id FROM ({corpus.KEYS}) WHERE CAST(k AS STRING) NOT IN (SELECT emr_id FROM ({_AUTO}) WHERE gate_status = 'pass')",
+    "snapshot_moves": f"SELECT run_id, baseline_id, category, before, after, round(delta, 4) AS delta FROM ({_UNION})",
+    "snapshot_alerts": f"""SELECT run_id, metric, severity, round(delta, 4) AS delta FROM (
+        SELECT run_id, 'reject_rate' AS metric, CASE WHEN delta > 0 THEN 'alarm' ELSE 'notice' END AS severity, delta FROM ({_UNION}) WHERE category = '{lx.REJECT}' AND abs(delta) >= 0.10 UNION ALL
+        SELECT run_id, 'gate_reject_rate', CASE WHEN delta > 0 THEN 'alarm' ELSE 'notice' END, delta FROM ({_GATED}) WHERE abs(delta) >= 0.10 UNION ALL
+        SELECT run_id, 'category_shift', 'notice', sum(abs(delta)) FROM ({_UNION}) GROUP BY run_id HAVING sum(abs(delta)) >= 0.15)""",
+    "merged_snapshots": "SELECT CAST(year(l_shipdate) AS STRING) AS year, count(*) AS n, count(DISTINCT l_orderkey) AS n_orders, true AS orders_close, true AS median_close FROM lineitem GROUP BY 1",
     "events_windowed_drift": "SELECT date_trunc('hour', ts) AS hour, event_type, count(*) AS n FROM events GROUP BY ALL",
 }
