@@ -13,6 +13,7 @@ from .drift import fired
 #: HyperLogLog registers (2 ** 12: a standard error of 1.6 %), and the size of a quantile sketch (200: a rank error of 1.7 %).
 REGISTERS, QUANTILES = 12, 200
 UNKNOWN = "—"
+CELLS = "run_id string, model_id string, category string, gate_status string, n bigint, profile string, at timestamp, records binary, measures binary"
 SCHEMA = "run_id string, profile string, at timestamp, n bigint, categories map<string,bigint>, category_rates map<string,double>, gates map<string,bigint>, gate_rates map<string,double>, by_model map<string,map<string,double>>, records binary, measures binary"
 
 
@@ -32,11 +33,20 @@ def snapshot(audit: DataFrame, measure: Column | None = None) -> DataFrame:
     run's profile is the least and its time the latest of its rows; null
     measures and emr_ids are in no sketch. An empty table gives no rows.
     """
+    return of_cells(cells(audit, measure))
+
+
+def cells(audit: DataFrame, measure: Column | None = None) -> DataFrame:
+    """The rows of an audit counted by run, model, category and status, see CELLS."""
     name = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(UNKNOWN))
     rows = audit.select(name("run_id").alias("run_id"), "profile", F.col("at").cast("timestamp").alias("at"), F.col("emr_id").cast("string").alias("emr_id"), *(name(c).alias(c) for c in ("model_id", "category", "gate_status")), (F.lit(None) if measure is None else measure).cast("double").alias("measure"))
-    cells = rows.groupBy("run_id", "model_id", "category", "gate_status").agg(
+    return rows.groupBy("run_id", "model_id", "category", "gate_status").agg(
         F.count("*").alias("n"), F.min("profile").alias("profile"), F.max("at").alias("at"), F.hll_sketch_agg("emr_id", REGISTERS).alias("records"), F.kll_sketch_agg_double("measure", QUANTILES).alias("measures")
     )
+
+
+def of_cells(cells: DataFrame) -> DataFrame:
+    """The snapshots of cells; several of one run, model, category and status, from parts of a run, add up."""
     # every cell speaks of its category, its status and its model; the sketches go with the first only
     about = lambda kind, model, value, whole: F.struct(F.lit(kind).alias("kind"), model.alias("model"), F.col(value).alias("value"), *((F.col(c) if whole else F.lit(None)).cast("binary").alias(c) for c in ("records", "measures")))
     alone = F.lit(None).cast("string")
