@@ -9,7 +9,7 @@ from .. import lexicons as lx
 from ..functions.text import unnested
 from ..operators import answers, entities, segment, similarity
 from ..operators.gate import gate
-from ..sources import tables
+from ..sources import charsets, tables
 from . import corpus
 
 #: A record in lines, from the keys of an order; a third of them lacks a section, and a third has two in the other order.
@@ -127,7 +127,19 @@ def json_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return answers.parsed(rows, "answer", "k long").select("event_id", F.col("parsed.k").alias("k"))
 
 
-QUERIES = {f.__name__: f for f in (segment_source, schema_compliance, segment_summary, summary_compliance, inline_labels, text_by_category, section_coverage, entity_prf, entity_grounding, entity_present, gate_with_entities, entity_changed, rouge_l, json_repair)}
+#: Texts whose Latin-1 bytes are also those of the Western charset, and which have upper bytes, but no more than letters.
+_LATIN = "^[\\x00-\\x7F\\xA0-\\xFF]*$"
+
+
+def document_charsets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document written as UTF-8, UTF-16 or Latin-1 bytes, as its characters and id allow, and read again without knowing which."""
+    latin = F.col("text").rlike(_LATIN) & (F.col("doc_id") % 3 == 2)
+    content = F.when(F.col("doc_id") % 3 == 1, F.encode("text", "UTF-16LE")).when(latin, F.encode("text", "ISO-8859-1")).otherwise(F.encode("text", "UTF-8"))
+    files = tables.read(spark, sf_dir, "documents").select("doc_id", content.alias("content"))
+    return charsets.decoded(files).select("doc_id", "charset", F.md5("text").alias("text_md5"))
+
+
+QUERIES = {f.__name__: f for f in (segment_source, schema_compliance, segment_summary, summary_compliance, inline_labels, text_by_category, section_coverage, entity_prf, entity_grounding, entity_present, gate_with_entities, entity_changed, rouge_l, json_repair, document_charsets)}
 
 _LINES = f"SELECT emr_id, unnest(string_split(text, chr(10))) AS line, unnest(range(len(string_split(text, chr(10))))) AS pos FROM ({_RECORD})"
 _HEAD = "CASE WHEN line = 'Жалобы:' THEN 'complaints' WHEN line = 'Общий анализ крови' THEN 'labs' WHEN line = 'Анамнез жизни' THEN 'history_life' WHEN line = 'Заключение' THEN 'conclusion' END"
@@ -147,6 +159,8 @@ SELECT CAST(k AS STRING) AS emr_id, CASE WHEN k % 2 = 0 THEN 'radiologist' END A
 SELECT CAST(k AS STRING), CASE WHEN k % 2 = 0 THEN 'radiologist' END, 1, 'medications', 2, CASE WHEN k % 4 = 0 OR k % 3 = 0 THEN 0 ELSE 1 END, CASE WHEN k % 4 = 0 OR k % 3 = 0 THEN 0 ELSE 1 END, CASE WHEN k % 4 = 0 THEN 'Морфин,определение аспирина' ELSE 'определение аспирина' END, '', CASE WHEN k % 4 = 0 THEN 2 ELSE 1 END FROM (SELECT o_orderkey AS k FROM orders) UNION ALL
 SELECT CAST(k AS STRING), CASE WHEN k % 2 = 0 THEN 'radiologist' END, 4, 'symptoms', 1, 0, 0, 'одышка', '', 1 FROM (SELECT o_orderkey AS k FROM orders)))"""
 ORACLE_SQL = {
+    "document_charsets": """SELECT doc_id, CASE WHEN doc_id % 3 = 1 AND text <> '' THEN 'UTF-16LE' WHEN doc_id % 3 = 2 AND regexp_full_match(text, '(?s)[\\x{0}-\\x{7F}\\x{A0}-\\x{FF}]*') AND NOT regexp_full_match(text, '(?s)[\\x{0}-\\x{7F}]*') THEN 'windows-1252' WHEN text IS NOT NULL THEN 'UTF-8' END AS charset,
+        md5(regexp_replace(text, '^\\s+|\\s+$', '', 'g')) AS text_md5 FROM documents""",
     "segment_source": _SECTIONS,
     "schema_compliance": f"""SELECT emr_id, CASE WHEN k % 3 = 2 THEN 'complaints' ELSE 'complaints,history_life,labs' END AS present, CASE WHEN k % 3 = 2 THEN 'history_illness,history_life,labs,instrumental' ELSE 'history_illness,instrumental' END AS missing,
         k % 3 > 0 AS in_order, k % 3 < 2 AS complete FROM (SELECT emr_id, CAST(emr_id AS BIGINT) AS k FROM ({_RECORD}))""",

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from . import charsets
+
 PAIRS = "emr_id string, model_id string, source_text string, summary_text string"
 MODELS = {"1": "2", "2": "11", "3": "23", "4": "89", "5": "38", "6": "19"}  # fixed values: model ids by file number
 
@@ -15,8 +17,8 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def text_pairs(spark: SparkSession, folder: str) -> DataFrame:
-    """Pairs from files textN_source.txt and textN_modelM.txt; M names the model by MODELS, numbers without an entry stand for themselves."""
-    files = spark.read.text(f"{folder}/*.txt", wholetext=True).select(F.col("value").alias("text"), F.col("_metadata.file_name").alias("name"))
+    """Pairs from files textN_source.txt and textN_modelM.txt in any known encoding; M names the model by MODELS, numbers without an entry stand for themselves."""
+    files = charsets.text_files(spark, f"{folder}/*.txt")
     number = F.regexp_extract("name", r"^text(\d+)_", 1)
     model = F.regexp_extract("name", r"_model(\d+)\.txt$", 1)
     named = F.coalesce(F.try_element_at(F.create_map(*(F.lit(x) for kv in MODELS.items() for x in kv)), "model"), F.col("model"))
