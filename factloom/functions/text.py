@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator, Sequence
+from collections.abc import Sequence
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -11,10 +11,27 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType
 
 
-def found(pattern: re.Pattern, text: str | None, window: int) -> Iterator[tuple[re.Match, str, str]]:
-    """Every match in order, the window characters before it and those after it; a null text has none."""
-    for m in pattern.finditer(text or ""):
-        yield m, text[max(0, m.start() - window) : m.start()], text[m.end() : m.end() + window]
+#: Characters that the patterns' letters match in any case though lower() says otherwise, or whose lower() has another length or depends on its surroundings.
+_ODD = re.compile("[\u0130\u03a3\u1c80-\u1c88]")
+_FOLDED = str.maketrans(dict(zip("\u1c80\u1c81\u1c82\u1c83\u1c84\u1c85\u1c86\u1c87\u1c88", "вдосттъ\u0463\ua64b", strict=True)))
+
+
+def fold(text: str) -> tuple[str, bool]:
+    """text in small letters, of the same length, for patterns in small letters (as re.IGNORECASE reads it), and whether that is just lower()."""
+    if _ODD.search(text):
+        return "".join(c if c == "\u0130" else c.lower() for c in text).translate(_FOLDED), False
+    return text.lower(), True
+
+
+def alternatives(pattern: str) -> list[str]:
+    """The alternatives of a pattern at its top level."""
+    out, depth, begin = [], 0, 0
+    for at, c in enumerate(pattern):
+        depth += (c in "([") - (c in ")]")
+        if c == "|" and not depth:
+            out.append(pattern[begin:at])
+            begin = at + 1
+    return [*out, pattern[begin:]]
 
 
 def unnested(rows: DataFrame, array: Column | str, name: str, *keep: Column | str) -> DataFrame:

@@ -1,4 +1,4 @@
-"""Comparison of two texts' facts, row by row and without a shuffle: facts are matched by dictionaries in Arrow batches."""
+"""Comparison of two texts' facts, row by row and without a shuffle: facts are found and matched by dictionaries in one pass over Arrow batches."""
 
 from __future__ import annotations
 
@@ -6,15 +6,16 @@ from bisect import bisect_left, bisect_right
 from collections import Counter
 from collections.abc import Callable, Iterator, Sequence
 from itertools import accumulate
+from types import SimpleNamespace
 
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, IntegerType, StringType
+from pyspark.sql.types import ArrayType, DoubleType, IntegerType, StringType, StructField, StructType
 
 from .. import lexicons as lx
-from .facts import array_of, causal_links, contradictions, numeric_facts, polarity_facts
+from .facts import Number, Statement, array_of, causal_links, contradictions, numbers, numeric_facts, polarity_facts, statements
 
 
 def assign(a: Column, b: Column, fits: Callable[[Column, Column], Column], similarity: Callable[[Column, Column], Column]) -> Column:
@@ -37,6 +38,13 @@ def assign(a: Column, b: Column, fits: Callable[[Column, Column], Column], simil
     return F.when(F.size(a) > 0, F.aggregate(F.sequence(F.lit(0), F.size(a) - 1), none, step)).otherwise(none)
 
 
+#: The categories of numbers and predicates of statements in both texts, all that the gate asks for.
+KINDS = StructType([StructField(name, ArrayType(StringType())) for name in ("numbers_a", "numbers_b", "statements_a", "statements_b")])
+_TEXTS, _PLACES = ArrayType(StringType()), ArrayType(IntegerType())
+_NUMERIC = StructType([*(StructField(c, IntegerType()) for c in ("total_in_a", "matched", "mismatch_count", "unit_mismatch_count")), *(StructField(c, _TEXTS) for c in ("mismatches", "unit_mismatches")), StructField("covered", _PLACES), *(StructField(c, _TEXTS) for c in ("mismatch_contexts", "unit_mismatch_contexts"))])
+_POLARITY = StructType([*(StructField(c, IntegerType()) for c in ("total_in_a", "matched", "flip_count")), *(StructField(c, _TEXTS) for c in ("flips", "flip_contexts"))])
+
+
 def with_facts(pairs: DataFrame, source: str = "source_text", summary: str = "summary_text") -> DataFrame:
     """pairs with numbers_a, numbers_b, statements_a, statements_b: the facts of both texts."""
     return pairs.withColumns({"numbers_a": numeric_facts(F.col(source)), "numbers_b": numeric_facts(F.col(summary)), "statements_a": polarity_facts(F.col(source)), "statements_b": polarity_facts(F.col(summary))})
@@ -99,96 +107,145 @@ def best_free(asked: list[tuple], offered: list[tuple], least: float = 0.0) -> l
     return out
 
 
-@F.arrow_udf(_PAIRS)
-def numeric_pairs(a: pa.Array, b: pa.Array) -> pa.Array:
+def match_numbers(x: Sequence, y: Sequence) -> list[tuple[int, int, float]]:
     """Which numbers are the same measure: the only ones of their category (ages only of persons), else equal label sets, the context breaking ties."""
+    first, second = Counter(f.category for f in x), Counter(f.category for f in y)
+    place = {f.category: j for j, f in enumerate(y)}
+    sure = {i: place[f.category] for i, f in enumerate(x) if first[f.category] == 1 == second[f.category] and (f.category != "age" or f.person and y[place[f.category]].person)}
+    # a sure partner is the only one of its category, so it is in nobody's way; what the other side lacks has no partner
+    taken = set(sure.values())
+    rest = [i for i, f in enumerate(x) if i not in sure and f.category in second]
+    free = [j for j, f in enumerate(y) if j not in taken and f.category in first]
+    named = lambda facts: [((f.category, f.label_key) if f.label_key is not None else None, f.word_set) for f in facts]
+    told = best_free(named([x[i] for i in rest]), named([y[j] for j in free])) if rest and free else []
+    return sorted([*((rest[i], free[j], share) for i, j, share in told), *((i, j, 1.0) for i, j in sure.items())])
+
+
+def match_statements(x: Sequence, y: Sequence) -> list[tuple[int, int, float]]:
+    """Statements of the same predicate whose contexts share enough words."""
+    keyed = lambda facts: [(f.predicate, f.word_set) for f in facts]
+    return best_free(keyed(x), keyed(y), lx.CONTEXT_SHARE)
 
-    def match(x: list, y: list) -> list[tuple[int, int, float]]:
-        first, second = Counter(f[0] for f in x), Counter(f[0] for f in y)
-        place = {f[0]: j for j, f in enumerate(y)}
-        sure = {i: place[f[0]] for i, f in enumerate(x) if first[f[0]] == 1 == second[f[0]] and (f[0] != "age" or f[3] and y[place[f[0]]][3])}
-        named = lambda facts: [((f[0], f[1]) if f[1] is not None else None, frozenset(f[2])) for f in facts]
-        # a sure partner is the only one of its category, so it is in nobody's way
-        rest = [p for p in best_free(named(x), named(y)) if p[0] not in sure]
-        return sorted([*rest, *((i, j, 1.0) for i, j in sure.items())])
 
-    return _structs([match(x, y) for x, y in _each(a, b, ("category", "label_key", "words", "person"))], _ARROW_PAIR)
+def other_units(x: Sequence, y: Sequence) -> list[tuple[str, str, int]]:
+    """Equal values of one category with other units, told once for each pair of phrases; the place is that of the first fact that says so."""
+
+    def once(facts: Sequence) -> dict[str, tuple]:
+        out: dict[str, tuple] = {}
+        for k, f in enumerate(facts):
+            if f.raw not in out:
+                out[f.raw] = (k, f.category, f.value, f.unit, f.raw)
+        return out
+
+    by_value: dict[str, list[tuple]] = {}
+    for j, category, value, unit, raw in once(y).values():
+        by_value.setdefault(category, []).append((value, j, unit, raw))
+    for facts in by_value.values():
+        facts.sort()
+    out = []
+    for i, category, value, unit, raw in once(x).values():
+        near = by_value.get(category, [])
+        low, high = bisect_left(near, (value - lx.TOLERANCE,)), bisect_right(near, (value + lx.TOLERANCE, len(y)))
+        out += [(raw, other, i) for _, other, theirs in sorted((j, r, u) for _, j, u, r in near[low:high]) if theirs != unit]
+    return out
+
+
+def _facts(fields: Sequence[str], rows: list[tuple]) -> list[SimpleNamespace]:
+    return [SimpleNamespace(**dict(zip(fields, row, strict=True))) for row in rows]
 
 
 @F.arrow_udf(_PAIRS)
-def polarity_pairs(a: pa.Array, b: pa.Array) -> pa.Array:
-    """Statements of the same predicate whose contexts share enough words."""
-    keyed = lambda facts: [(f[0], frozenset(f[1])) for f in facts]
-    return _structs([best_free(keyed(x), keyed(y), lx.CONTEXT_SHARE) for x, y in _each(a, b, ("predicate", "words"))], _ARROW_PAIR)
+def numeric_pairs(a: pa.Array, b: pa.Array) -> pa.Array:
+    """match_numbers of facts as columns (see numeric_facts)."""
+    fields = ("category", "label_key", "words", "person")
+
+    def facts(rows: list[tuple]) -> list[SimpleNamespace]:
+        return [SimpleNamespace(word_set=frozenset(f.words), **vars(f)) for f in _facts(fields, rows)]
+
+    return _structs([match_numbers(facts(x), facts(y)) for x, y in _each(a, b, fields)], _ARROW_PAIR)
 
 
 @F.arrow_udf(_UNITS)
 def unit_mismatches(a: pa.Array, b: pa.Array) -> pa.Array:
-    """Equal values of one category with other units, told once for each pair of phrases; i is the first fact that says so."""
+    """other_units of facts as columns (see numeric_facts)."""
+    fields = ("category", "value", "unit", "raw")
+    return _structs([other_units(_facts(fields, x), _facts(fields, y)) for x, y in _each(a, b, fields)], _ARROW_UNIT)
 
-    def once(facts: list) -> dict[str, tuple]:
-        out: dict[str, tuple] = {}
-        for k, f in enumerate(facts):
-            out.setdefault(f[3], (k, *f))
-        return out
 
-    def found(x: list, y: list) -> list[tuple[str, str, int]]:
-        by_value: dict[str, list[tuple]] = {}
-        for j, category, value, unit, raw in once(y).values():
-            by_value.setdefault(category, []).append((value, j, unit, raw))
-        for facts in by_value.values():
-            facts.sort()
-        out = []
-        for i, category, value, unit, raw in once(x).values():
-            near = by_value.get(category, [])
-            low, high = bisect_left(near, (value - lx.TOLERANCE,)), bisect_right(near, (value + lx.TOLERANCE, len(y)))
-            out += [(raw, other, i) for _, other, theirs in sorted((j, r, u) for _, j, u, r in near[low:high]) if theirs != unit]
-        return out
+def _column(rows: list[dict], kind: StructType) -> pa.Array:
+    """Rows as an Arrow struct; the fields are integers and lists of one type."""
+    arrow = {IntegerType: pa.int32(), StringType: pa.string()}
+    of = lambda t: pa.list_(arrow[type(t.elementType)]) if isinstance(t, ArrayType) else arrow[type(t)]
+    return pa.StructArray.from_arrays([pa.array([r[f.name] for r in rows], of(f.dataType)) for f in kind.fields], kind.names)
+
+
+def _kinds(a: list[Number], b: list[Number], p: list[Statement], q: list[Statement]) -> dict:
+    return {"numbers_a": [f.category for f in a], "numbers_b": [f.category for f in b], "statements_a": [f.predicate for f in p], "statements_b": [f.predicate for f in q]}
+
+
+@F.arrow_udf(KINDS)
+def kinds(source: pa.Array, summary: pa.Array) -> pa.Array:
+    """The kinds of facts in both texts, without what surrounds them."""
+    return _column([_kinds(numbers(a), numbers(b), statements(a), statements(b)) for a, b in zip(source.to_pylist(), summary.to_pylist(), strict=True)], KINDS)
+
+
+def _numeric(a: list[Number], b: list[Number]) -> dict:
+    same, units = match_numbers(a, b), other_units(a, b)
+    wrong = [(a[i], b[j]) for i, j, _ in same if abs(a[i].value - b[j].value) > lx.TOLERANCE]
+    near = lambda f: f.context[-lx.FINDING_WINDOW :]
+    return {
+        "total_in_a": len(a),
+        "matched": len(same) - len(wrong),
+        "mismatch_count": len(wrong),
+        "unit_mismatch_count": len(units),
+        "mismatches": [f"{x.raw} → {y.raw}" for x, y in wrong],
+        "unit_mismatches": [f"{x} → {y}" for x, y, _ in units],
+        "covered": list(dict.fromkeys([*(i for i, _, _ in same), *(i for _, _, i in units)])),
+        "mismatch_contexts": [near(x) for x, _ in wrong],
+        "unit_mismatch_contexts": [near(a[i]) for _, _, i in units],
+    }
+
+
+def _polarity(a: list[Statement], b: list[Statement]) -> dict:
+    same = match_statements(a, b)
+    flips = [(a[i], b[j]) for i, j, _ in same if a[i].polarity != b[j].polarity]
+    return {"total_in_a": len(a), "matched": len(same) - len(flips), "flip_count": len(flips), "flips": [f"{x.raw} → {y.raw}" for x, y in flips], "flip_contexts": [x.context[-lx.FINDING_WINDOW :] for x, _ in flips]}
+
+
+_COMPARED = StructType([StructField("kinds", KINDS), StructField("numeric", _NUMERIC), StructField("polarity", _POLARITY)])
+
+
+@F.arrow_udf(_COMPARED)
+def compared(source: pa.Array, summary: pa.Array) -> pa.Array:
+    """What the facts of two texts say, found and matched in one pass, so that the facts themselves stay here."""
+    of_kinds, numeric, polarity = [], [], []
+    for a, b in zip(source.to_pylist(), summary.to_pylist(), strict=True):
+        own = numbers(a), numbers(b), statements(a), statements(b)
+        of_kinds.append(_kinds(*own))
+        numeric.append(_numeric(*own[:2]))
+        polarity.append(_polarity(*own[2:]))
+    return pa.StructArray.from_arrays([_column(of_kinds, KINDS), _column(numeric, _NUMERIC), _column(polarity, _POLARITY)], _COMPARED.names)
+
 
-    return _structs([found(x, y) for x, y in _each(a, b, ("category", "value", "unit", "raw"))], _ARROW_UNIT)
+def with_kinds(pairs: DataFrame, source: str = "source_text", summary: str = "summary_text") -> DataFrame:
+    """pairs with kinds (see KINDS), for the gate alone."""
+    return pairs.withColumn("kinds", kinds.asNondeterministic()(F.col(source), F.col(summary)))
 
 
 def compare(pairs: DataFrame, source: str = "source_text", summary: str = "summary_text") -> DataFrame:
-    """pairs with the columns of with_facts and a struct objective: numeric, polarity, causality, interpretation.
+    """pairs with the columns of with_facts, kinds and a struct objective: numeric, polarity, causality, interpretation.
 
     Null and empty texts have no facts, so all their counts are 0. Repeated
-    rows are compared each for itself.
+    rows are compared each for itself. The columns of with_facts are read from
+    the texts once more, where they are asked for. The comparison counts as
+    nondeterministic, so that a filter on it does not have it done twice.
     """
-    done = with_facts(pairs, source, summary).withColumns(
-        {
-            "_number_pairs": numeric_pairs(F.col("numbers_a"), F.col("numbers_b")),
-            "_statement_pairs": polarity_pairs(F.col("statements_a"), F.col("statements_b")),
-            "_other_units": unit_mismatches(F.col("numbers_a"), F.col("numbers_b")),
-            "_links_a": causal_links(F.col(source)),
-            "_links_b": causal_links(F.col(summary)),
-            "_claims": contradictions(F.col(summary)),
-        }
-    )
-    side = lambda name, p, at: F.get(F.col(name), p[at])
-    wrong = F.filter("_number_pairs", lambda p: F.abs(side("numbers_a", p, "i")["value"] - side("numbers_b", p, "j")["value"]) > lx.TOLERANCE)
-    flips = F.filter("_statement_pairs", lambda p: side("statements_a", p, "i")["polarity"] != side("statements_b", p, "j")["polarity"])
-    told = lambda name: lambda p: F.concat(side(f"{name}_a", p, "i")["raw"], F.lit(" → "), side(f"{name}_b", p, "j")["raw"])
-    near = lambda name, at: lambda p: F.right(side(name, p, at)["context"], F.lit(lx.FINDING_WINDOW))
+    done = with_facts(pairs, source, summary).withColumns({"_links_a": causal_links(F.col(source)), "_links_b": causal_links(F.col(summary)), "_claims": contradictions(F.col(summary))}).withColumn("_done", compared.asNondeterministic()(F.col(source), F.col(summary)))
     introduced = F.greatest(F.size("_links_b") - F.size("_links_a"), F.lit(0))
-    return done.withColumn(
-        "objective",
-        F.struct(
-            F.struct(
-                F.size("numbers_a").alias("total_in_a"),
-                (F.size("_number_pairs") - F.size(wrong)).alias("matched"),
-                F.size(wrong).alias("mismatch_count"),
-                F.size("_other_units").alias("unit_mismatch_count"),
-                F.transform(wrong, told("numbers")).alias("mismatches"),
-                F.transform("_other_units", lambda u: F.concat(u["raw_a"], F.lit(" → "), u["raw_b"])).alias("unit_mismatches"),
-                F.array_distinct(F.concat(F.transform("_number_pairs", lambda p: p["i"]), F.transform("_other_units", lambda u: u["i"]))).alias("covered"),
-                F.transform(wrong, near("numbers_a", "i")).alias("mismatch_contexts"),
-                F.transform("_other_units", near("numbers_a", "i")).alias("unit_mismatch_contexts"),
-            ).alias("numeric"),
-            F.struct(F.size("statements_a").alias("total_in_a"), (F.size("_statement_pairs") - F.size(flips)).alias("matched"), F.size(flips).alias("flip_count"), F.transform(flips, told("statements")).alias("flips"), F.transform(flips, near("statements_a", "i")).alias("flip_contexts")).alias("polarity"),
-            F.struct(F.size("_links_a").alias("in_a"), F.size("_links_b").alias("in_b"), introduced.alias("introduced"), F.slice("_links_b", F.lit(1), introduced).alias("introduced_markers")).alias("causality"),
-            F.struct(F.col("_claims").alias("contradictions"), F.size("_claims").alias("count")).alias("interpretation"),
-        ),
-    ).drop("_number_pairs", "_statement_pairs", "_other_units", "_links_a", "_links_b", "_claims")
+    causality = F.struct(F.size("_links_a").alias("in_a"), F.size("_links_b").alias("in_b"), introduced.alias("introduced"), F.slice("_links_b", F.lit(1), introduced).alias("introduced_markers"))
+    interpretation = F.struct(F.col("_claims").alias("contradictions"), F.size("_claims").alias("count"))
+    objective = F.struct(F.col("_done.numeric").alias("numeric"), F.col("_done.polarity").alias("polarity"), causality.alias("causality"), interpretation.alias("interpretation"))
+    return done.withColumns({"objective": objective, "kinds": F.col("_done.kinds")}).drop("_done", "_links_a", "_links_b", "_claims")
 
 
 def flags(objective: Column) -> dict[str, Column]:

@@ -8,6 +8,7 @@ is column expressions.
 from __future__ import annotations
 
 import re
+from functools import cached_property, lru_cache
 
 import pyarrow as pa
 from pyspark.sql import Column
@@ -15,15 +16,23 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BooleanType, DataType, DoubleType, StringType, StructField, StructType
 
 from .. import lexicons as lx
-from ..functions.text import found, squeeze
+from ..functions.text import alternatives, fold
 
-_UNIT = re.compile(f"(?P<value>{lx.NUMBER})\\s?(?P<unit>{'|'.join(f'(?:{p})' for _, p in lx.UNIT_GROUPS)})", re.IGNORECASE)
+# The patterns are written in small letters and read folded texts: without a flag for case an alternative's first letter tells where to look at all.
+_UNIT = re.compile(f"(?P<value>{lx.NUMBER})\\s?(?P<unit>{'|'.join(f'(?:{p})' for _, p in lx.UNIT_GROUPS).lower()})")
 _CATEGORIES = [(name, re.compile(pattern.replace(r"\s?", ""), re.IGNORECASE)) for name, pattern in lx.UNIT_GROUPS]
-_PREDICATE = re.compile(f"(?P<negated>{lx.NEGATION})?(?P<predicate>{'|'.join(lx.PREDICATES)})", re.IGNORECASE)
-_ANTONYM = re.compile("|".join(f"({p})|({n})" for _, p, n in lx.ANTONYMS), re.IGNORECASE)
-_CLAIM = re.compile("|".join(f"({p})" for _, p in lx.CLAIMS), re.IGNORECASE)
+_NEGATORS, _BETWEEN = re.fullmatch(r"\(\?:(.*?)\)(.*)", lx.NEGATION).groups()
+#: The alternatives that begin with a negation have a group, the plain ones have none.
+_PREDICATE = re.compile("|".join([*(f"{n}{_BETWEEN}({'|'.join(lx.PREDICATES)})" for n in alternatives(_NEGATORS)), *lx.PREDICATES]))
+#: An empty group at the end of each alternative tells which one it is.
+_ANTONYM_OF = [(name, polarity) for name, *sides in lx.ANTONYMS for polarity, side in zip((True, False), sides) for _ in alternatives(side)]
+_ANTONYM = re.compile("|".join(f"{p}()" for _, *sides in lx.ANTONYMS for side in sides for p in alternatives(side)))
+_CLAIM_OF = [name for name, side in lx.CLAIMS for _ in alternatives(side)]
+_CLAIM = re.compile("|".join(f"{p}()" for _, side in lx.CLAIMS for p in alternatives(side)))
 _VALUE = re.compile(lx.VALUE_AFTER, re.IGNORECASE)
 _PERSON = re.compile(lx.PERSON, re.IGNORECASE)
+_BOUNDARY = re.compile(r"[,;:.\n()]")
+_LABEL_WORD, _CONTEXT_WORD = re.compile(lx.LABEL_WORD), re.compile(lx.CONTEXT_WORD)
 
 _TEXT, _NUMBER, _FLAG, _WORDS = StringType(), DoubleType(), BooleanType(), ArrayType(StringType())
 
@@ -35,21 +44,23 @@ def array_of(**fields: DataType) -> ArrayType:
 _ARROW = {StringType: pa.string(), DoubleType: pa.float64(), BooleanType: pa.bool_(), ArrayType: pa.list_(pa.string())}
 
 
-def _lists(rows: list[list[dict]], kind: ArrayType) -> pa.Array:
-    """Each row's facts as a list of structs, built column by column."""
+def _lists(rows: list[list], kind: ArrayType) -> pa.Array:
+    """Each row's facts as a list of structs, built column by column from their attributes."""
     ends = [0]
     for own in rows:
         ends.append(ends[-1] + len(own))
     fields = kind.elementType.fields
-    columns = [pa.array([fact[f.name] for own in rows for fact in own], _ARROW[type(f.dataType)]) for f in fields]
+    columns = [pa.array([getattr(fact, f.name) for own in rows for fact in own], _ARROW[type(f.dataType)]) for f in fields]
     return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.StructArray.from_arrays(columns, [f.name for f in fields]))
 
 
 NUMBERS = array_of(value=_NUMBER, unit_raw=_TEXT, unit=_TEXT, category=_TEXT, label=_TEXT, label_key=_TEXT, context=_TEXT, words=_WORDS, person=_FLAG, raw=_TEXT)
 STATEMENTS = array_of(predicate=_TEXT, polarity=_FLAG, context=_TEXT, words=_WORDS, raw=_TEXT)
 CLAIMS = array_of(claimed=_TEXT, value=_NUMBER, second=_NUMBER, unit=_TEXT, fragment=_TEXT)
+_CLAIM_ARROW = pa.list_(pa.struct([("claimed", pa.string()), ("value", pa.float64()), ("second", pa.float64()), ("unit", pa.string()), ("fragment", pa.string())]))
 
 
+@lru_cache(4096)
 def unit_category(unit: str) -> str:
     """The first unit group that fits the unit without spaces, else "other" (so "в минуту", which needs its space, is other)."""
     plain = unit.lower().replace(" ", "")
@@ -58,7 +69,7 @@ def unit_category(unit: str) -> str:
 
 def label(left: str) -> str:
     """The last two words after the last boundary left of a number."""
-    return " ".join(re.findall(lx.LABEL_WORD, re.split(r"[,;:.\n()]", left)[-1].lower())[-2:])
+    return " ".join(_LABEL_WORD.findall(_BOUNDARY.split(left)[-1].lower())[-2:])
 
 
 def label_key(name: str) -> str | None:
@@ -66,47 +77,138 @@ def label_key(name: str) -> str | None:
     return " ".join(sorted(set(name.split()).difference(lx.GENERIC_LABEL_WORDS))) or None
 
 
-@F.arrow_udf(NUMBERS)
-def numeric_facts(texts: pa.Array) -> pa.Array:
-    """Numbers with units in text order: value, unit, category, label, and the words before them. Null texts have none."""
+@lru_cache(4096)
+def _words(left: str) -> frozenset[str]:
+    return frozenset(_CONTEXT_WORD.findall(left))
 
-    def facts(text: str | None) -> list[dict]:
-        out = []
-        for m, left, _ in found(_UNIT, text, lx.LABEL_WINDOW):
-            unit, name, context = m["unit"], label(left), squeeze(left[-lx.NUMBER_WINDOW :])
-            out.append(
-                {
-                    "value": float(m["value"].replace(",", ".")),
-                    "unit_raw": unit,
-                    "unit": re.sub(r"\s+", "", unit.lower()),
-                    "category": unit_category(unit),
-                    "label": name,
-                    "label_key": label_key(name),
-                    "context": context,
-                    "words": sorted(set(re.findall(lx.CONTEXT_WORD, context))),
-                    "person": bool(_PERSON.search(context)),
-                    "raw": m[0].strip(),
-                }
-            )
-        return out
 
-    return _lists([facts(text) for text in texts.to_pylist()], NUMBERS)
+class _Fact:
+    """A match in a text; what depends on the text left of it is read only where it is asked for."""
 
+    window: int
 
-@F.arrow_udf(STATEMENTS)
-def polarity_facts(texts: pa.Array) -> pa.Array:
+    def __init__(self, text: str, low: str, start: int, end: int):
+        self.text, self.low, self.start, self.end = text, low, start, end
+
+    def left(self, window: int) -> str:
+        at = max(0, self.start - window)
+        return self.text[at : self.start].lower() if self.low is None else self.low[at : self.start]
+
+    @property
+    def context(self) -> str:
+        return " ".join(self.left(self.window).split())
+
+    @property
+    def word_set(self) -> frozenset[str]:
+        return _words(self.left(self.window))
+
+    @property
+    def words(self) -> list[str]:
+        return sorted(self.word_set)
+
+    @property
+    def raw(self) -> str:
+        return self.text[self.start : self.end].strip()
+
+
+class Number(_Fact):
+    window = lx.NUMBER_WINDOW
+
+    def __init__(self, text: str, low: str, m: re.Match):
+        super().__init__(text, low, m.start(), m.end())
+        self.value = float(m["value"].replace(",", "."))
+        self.unit_raw = text[m.start("unit") : m.end()]
+        self.category = unit_category(self.unit_raw)
+
+    @property
+    def unit(self) -> str:
+        return "".join(self.unit_raw.lower().split())
+
+    @property
+    def label(self) -> str:
+        return label(self.left(lx.LABEL_WINDOW))
+
+    @cached_property
+    def label_key(self) -> str | None:
+        return label_key(self.label)
+
+    @property
+    def person(self) -> bool:
+        return bool(_PERSON.search(self.context))
+
+
+class Statement(_Fact):
+    window = lx.POLARITY_WINDOW
+
+    def __init__(self, text: str, low: str, start: int, end: int, predicate: str, polarity: bool):
+        super().__init__(text, low, start, end)
+        self.predicate, self.polarity = predicate, polarity
+
+
+def _read(text: str) -> tuple[str, str | None]:
+    """The folded text for the patterns, and the one in small letters that pieces are cut from; None where pieces must be put in small letters each for itself."""
+    folded, plain = fold(text)
+    return folded, folded if plain else None
+
+
+def numbers(text: str | None) -> list[Number]:
+    """Numbers with units in text order. Null texts have none."""
+    if not text:
+        return []
+    folded, low = _read(text)
+    return [Number(text, low, m) for m in _UNIT.finditer(folded)]
+
+
+def statements(text: str | None) -> list[Statement]:
     """Predicates with or without a negation in text order, then antonyms in text order. One phrase may give both."""
+    if not text:
+        return []
+    folded, low = _read(text)
+
+    def stated(m: re.Match) -> Statement:
+        at = m.start(m.lastindex or 0)
+        return Statement(text, low, m.start(), m.end(), text[at : m.end()].lower()[:6], m.lastindex is None)
+
+    paired = [Statement(text, low, m.start(), m.end(), *_ANTONYM_OF[m.lastindex - 1]) for m in _ANTONYM.finditer(folded)]
+    return [stated(m) for m in _PREDICATE.finditer(folded)] + paired
+
+
+def _part(kind: ArrayType, fields: tuple[str, ...]) -> ArrayType:
+    return ArrayType(StructType([kind.elementType[f] for f in fields])) if fields else kind
+
+
+def numeric_fields(text: Column, *fields: str) -> Column:
+    """numeric_facts with these fields alone; what only the others need is not read."""
+    kind = _part(NUMBERS, fields)
+
+    @F.arrow_udf(kind)
+    def read(texts: pa.Array) -> pa.Array:
+        return _lists([numbers(t) for t in texts.to_pylist()], kind)
 
-    def fact(predicate: str, polarity: bool, left: str, raw: str) -> dict:
-        context = squeeze(left)
-        return {"predicate": predicate, "polarity": polarity, "context": context, "words": sorted(set(re.findall(lx.CONTEXT_WORD, context))), "raw": raw.strip()}
+    return read(text)
 
-    def facts(text: str | None) -> list[dict]:
-        stated = [fact(m["predicate"].lower()[:6], m["negated"] is None, left, m[0]) for m, left, _ in found(_PREDICATE, text, lx.POLARITY_WINDOW)]
-        paired = [fact(lx.ANTONYMS[(m.lastindex - 1) // 2][0], m.lastindex % 2 == 1, left, m[0]) for m, left, _ in found(_ANTONYM, text, lx.POLARITY_WINDOW)]
-        return stated + paired
 
-    return _lists([facts(text) for text in texts.to_pylist()], STATEMENTS)
+def polarity_fields(text: Column, *fields: str) -> Column:
+    """polarity_facts with these fields alone."""
+    kind = _part(STATEMENTS, fields)
+
+    @F.arrow_udf(kind)
+    def read(texts: pa.Array) -> pa.Array:
+        return _lists([statements(t) for t in texts.to_pylist()], kind)
+
+    return read(text)
+
+
+@F.arrow_udf(NUMBERS)
+def numeric_facts(texts: pa.Array) -> pa.Array:
+    """Numbers with units in text order: value, unit, category, label, and the words before them. Null texts have none."""
+    return _lists([numbers(text) for text in texts.to_pylist()], NUMBERS)
+
+
+@F.arrow_udf(STATEMENTS)
+def polarity_facts(texts: pa.Array) -> pa.Array:
+    """The statements of texts: predicate, polarity and the words before them."""
+    return _lists([statements(text) for text in texts.to_pylist()], STATEMENTS)
 
 
 @F.arrow_udf(CLAIMS)
@@ -115,13 +217,13 @@ def claims(texts: pa.Array) -> pa.Array:
 
     def read(text: str | None) -> list[dict]:
         out = []
-        for m, _, right in found(_CLAIM, text, lx.CLAIM_WINDOW):
-            if v := _VALUE.match(right):
-                fragment = re.sub(r"\s+", " ", f"{m[0]} {v[0]}".strip())[:48]
-                out.append({"claimed": lx.CLAIMS[m.lastindex - 1][0], "value": float(v[1].replace(",", ".")), "second": float(v[2]) if v[2] else None, "unit": re.sub(r"\s+", "", (v[3] or "").lower()), "fragment": fragment})
+        for m in _CLAIM.finditer(fold(text)[0]) if text else ():
+            if v := _VALUE.match(text[m.end() : m.end() + lx.CLAIM_WINDOW]):
+                fragment = re.sub(r"\s+", " ", f"{text[m.start() : m.end()]} {v[0]}".strip())[:48]
+                out.append({"claimed": _CLAIM_OF[m.lastindex - 1], "value": float(v[1].replace(",", ".")), "second": float(v[2]) if v[2] else None, "unit": re.sub(r"\s+", "", (v[3] or "").lower()), "fragment": fragment})
         return out
 
-    return _lists([read(text) for text in texts.to_pylist()], CLAIMS)
+    return pa.array([read(text) for text in texts.to_pylist()], _CLAIM_ARROW)
 
 
 def causal_links(text: Column) -> Column:

@@ -12,10 +12,9 @@ def _reason(code: Column, severity: Column | str) -> Column:
     return F.struct(code.alias("code"), (severity if isinstance(severity, Column) else F.lit(severity)).alias("severity"))
 
 
-def _gone(a: Column, b: Column, field: str, critical: tuple[str, ...], code: str) -> Column:
-    """Critical values of a field that occur in a and nowhere in b."""
-    of = lambda facts: F.transform(facts, lambda f: f[field])
-    lost = F.array_except(F.array_intersect(F.array(*map(F.lit, critical)), of(a)), of(b))
+def _gone(a: Column, b: Column, critical: tuple[str, ...], code: str) -> Column:
+    """Critical kinds that occur in a and nowhere in b."""
+    lost = F.array_except(F.array_intersect(F.array(*map(F.lit, critical)), a), b)
     return F.transform(lost, lambda x: _reason(F.concat(F.lit(code), x), "reject"))
 
 
@@ -26,7 +25,7 @@ def counts(facts: Column, field: str) -> Column:
 
 
 def gate(facts: DataFrame, scope: Column | None = None, entities: Column | None = None) -> DataFrame:
-    """facts (see compare.with_facts) with gate: struct<status, reasons array<struct<code, severity>>>.
+    """facts (see compare.with_facts, or with_kinds) with gate: struct<status, reasons array<struct<code, severity>>>.
 
     Without a scope every critical kind of number or statement in the source
     must occur in the summary. entities are those of entities.compared:
@@ -37,7 +36,10 @@ def gate(facts: DataFrame, scope: Column | None = None, entities: Column | None
     """
     scope = F.lit(None).cast("string") if scope is None else scope
     none = F.array().cast("array<struct<code:string,severity:string>>")
-    plain = F.concat(_gone(F.col("numbers_a"), F.col("numbers_b"), "category", lx.CRITICAL_NUMBERS, "numeric_coverage_low:"), _gone(F.col("statements_a"), F.col("statements_b"), "predicate", lx.CRITICAL_PREDICATES, "predicate_coverage_low:"))
+    # kinds, where they are there, spare the facts
+    kind = lambda name, field: F.col(f"kinds.{name}") if "kinds" in facts.columns else F.transform(name, lambda f: f[field])
+    sides = lambda name, field: (kind(f"{name}_a", field), kind(f"{name}_b", field))
+    plain = F.concat(_gone(*sides("numbers", "category"), lx.CRITICAL_NUMBERS, "numeric_coverage_low:"), _gone(*sides("statements", "predicate"), lx.CRITICAL_PREDICATES, "predicate_coverage_low:"))
     reasons = F.when(scope.isNull(), plain).otherwise(none)
     if entities is not None:
         nothing = lambda e: e["recall"] == 0

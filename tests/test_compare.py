@@ -1,12 +1,16 @@
 """Matching of facts against a plain reading of its rules."""
 
 import random
+import re
 
 import pyarrow as pa
 import pytest
 
 from factloom import lexicons as lx
+from factloom.functions.text import fold
 from factloom.operators import compare
+from factloom.operators import facts as read
+from factloom.plans import facts as plans
 
 
 def share(x, y):
@@ -69,3 +73,18 @@ def test_long_tables_stay_quick():
     for name in (lambda k: "x", lambda k: f"n{k}"):
         own = [(name(k), frozenset((f"w{k % 50}", f"v{k % 7}"))) for k in range(1000)]
         assert len(compare.best_free(own, own[::-1])) == 1000
+
+
+def test_folded_texts_match_as_without_case():
+    """Every character against every letter of the patterns."""
+    letters = sorted({c for p in (read._UNIT, read._PREDICATE, read._ANTONYM, read._CLAIM) for c in re.sub(r"\?P<\w+>|\\\w", "", p.pattern) if c.isalpha()})
+    without_case = re.compile("[" + "".join(letters) + "]", re.IGNORECASE)
+    for c in map(chr, (*range(0xD800), *range(0xE000, 0x30000))):
+        assert len(fold(c)[0]) == 1 and bool(without_case.match(c)) == (fold(c)[0] in letters), hex(ord(c))
+
+
+@pytest.mark.parametrize("name", ["objective_findings", "detection_misses_topk", "detection_by_type", "gate_reasons", "interpretation_contradictions"])
+def test_texts_are_read_once(spark, name):
+    """Texts go to Python once, no facts with their surroundings come back, and a filter on findings does not repeat it."""
+    plan = plans.QUERIES[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("ArrowEvalPython") == 1 and "numeric_facts" not in plan and "polarity_facts" not in plan
