@@ -19,7 +19,7 @@ from . import votes
 
 PAIR = votes.PAIR
 TASK = (*PAIR, "role", "block")
-CODES = {block: tuple(f"{block}{k}" for k in range(1, n + 1)) for block, n in lx.BLOCKS.items()}
+CODES = votes.CODES
 _OWN = {code: [name for name, codes in lx.ANSWER_LISTS.items() if code in codes] for codes in CODES.values() for code in codes}
 _CRITERION = "STRUCT<pass: BOOLEAN, comment: STRING{}>"
 _BLOCK = {block: ", ".join([*(f"{c}: " + _CRITERION.format("".join(f", {name}: ARRAY<STRING>" for name in _OWN[c])) for c in codes), *(f"{name}: ARRAY<STRING>" for name, of in lx.BLOCK_LISTS.items() if of == block)]) for block, codes in CODES.items()}
