@@ -2,16 +2,17 @@
 
 from __future__ import annotations
 
+import re
 from difflib import SequenceMatcher
+from functools import lru_cache
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, StringType, StructField, StructType
+from pyspark.sql.types import ArrayType, IntegerType, StringType, StructField, StructType
 
 from .. import lexicons as lx
 from ..functions.text import squeezed, words
-from .compare import assign
 
 ENTITIES = "array<struct<category:string,precision:double,recall:double,f1:double,in_a:int,in_b:int,matched:int,missing:array<string>,extra:array<string>>>"
 
@@ -80,6 +81,93 @@ def present(name: Column, tokens: Column) -> Column:
     return (F.size(asked) > 0) & F.forall(asked, lambda t: F.exists(tokens, lambda x: same_stem(t, x)))
 
 
+_TOKEN, _SPACE = re.compile(lx.TOKEN), re.compile(r"[^\S\x1c-\x1f]+")  # the white space of (?U)\s
+_FRAMING = frozenset(lx.FRAMING_WORDS)
+
+
+@lru_cache(1 << 14)
+def _normal(name: str) -> str:
+    """normal, of one name."""
+    return _SPACE.sub(" ", name).strip(" ").lower().strip(".,;:")
+
+
+@lru_cache(1 << 14)
+def _words(name: str) -> tuple[str, ...]:
+    return tuple(_TOKEN.findall(name.lower()))
+
+
+@lru_cache(1 << 14)
+def _asked(name: str) -> tuple[str, ...]:
+    """The words of a name that a text must have, see present."""
+    long = [t for t in _words(name) if len(t) >= 3]
+    return tuple([t for t in long if t not in _FRAMING] or long or _words(name))
+
+
+@lru_cache(1 << 16)
+def _alike(a: str, b: str) -> bool:
+    """plain_match, or similar enough."""
+    if not a or not b:
+        return False
+    if a == b or len(a) > 3 and (a in b or b in a):
+        return True
+    x, y = ({t for t in _words(n) if len(t) >= 3} for n in (a, b))
+    if x and y and (x <= y or y <= x):
+        return True
+    return 2 * min(len(a), len(b)) >= lx.ENTITY_RATIO * (len(a) + len(b)) and SequenceMatcher(None, a, b, autojunk=False).ratio() >= lx.ENTITY_RATIO
+
+
+class _Text:
+    """The distinct words of a text by their first three letters, which words of one stem share."""
+
+    def __init__(self, text: str | None):
+        self.by_stem: dict[str, set[str]] = {}
+        words = _TOKEN.findall(text.lower()) if text else ()
+        self.empty = not words
+        for t in words:
+            self.by_stem.setdefault(t[:3], set()).add(t)
+
+    def has(self, name: str) -> bool:
+        """present, of one name."""
+        asked = _asked(name)
+        return bool(asked) and all(any(self._same(t, x) for x in self.by_stem.get(t[:3], ())) for t in asked)
+
+    @staticmethod
+    def _same(t: str, x: str) -> bool:
+        least = min(len(t), len(x))
+        n = max(3, least - 2)
+        return least >= n and t[:n] == x[:n]
+
+
+def _paired(a: list[str | None], b: list[str | None], x: _Text, y: _Text) -> tuple[int, int, int, list[str], list[str]]:
+    """in_a, in_b, matched, missing and extra of the names of one category."""
+    grounded = lambda names, text: [(n, None if n is None else _normal(n)) for n in names or () if text.empty or n is not None and text.has(_normal(n))]
+    a, b = grounded(a, x), grounded(b, y)
+    free, missing, n = list(b), [], 0
+    for raw, name in a:
+        j = next((j for j, (_, other) in enumerate(free) if name is not None and other is not None and _alike(name, other)), None)
+        if j is not None:
+            del free[j]
+            n += 1
+        elif name is not None and not y.has(name):
+            missing.append(raw)
+    return len(a), len(b), n, missing, [raw for raw, name in free if name is not None and not x.has(name)]
+
+
+TOLD = ArrayType(StructType([*(StructField(c, IntegerType()) for c in ("in_a", "in_b", "matched")), *(StructField(c, ArrayType(StringType())) for c in ("missing", "extra"))]))
+
+
+@F.arrow_udf(TOLD)
+def told(names_a: pa.Array, names_b: pa.Array, source: pa.Array, summary: pa.Array) -> pa.Array:
+    """What becomes of the names of each category, see compared."""
+    rows = []
+    for a, b, source_text, summary_text in zip(names_a.to_pylist(), names_b.to_pylist(), source.to_pylist(), summary.to_pylist(), strict=True):
+        x, y = _Text(source_text), _Text(summary_text)
+        rows += [_paired(own, other, x, y) for own, other in zip(a, b, strict=True)]
+    kinds = [pa.int32()] * 3 + [pa.list_(pa.string())] * 2
+    flat = pa.StructArray.from_arrays([pa.array([r[k] for r in rows], kind) for k, kind in enumerate(kinds)], TOLD.elementType.names)
+    return pa.ListArray.from_arrays(pa.array([k * len(lx.ENTITY_CATEGORIES) for k in range(len(names_a) + 1)], pa.int32()), flat)
+
+
 def compared(pairs: DataFrame, source: str | None = None, summary: str | None = None) -> DataFrame:
     """pairs with entities (see ENTITIES), from entities_a and entities_b, maps of category to names.
 
@@ -87,41 +175,22 @@ def compared(pairs: DataFrame, source: str | None = None, summary: str | None =
     name of one side without a partner is neither missing nor extra where the
     other side's text has it. Names are paired first-fit in their order, each
     once. An empty side: recall 1 without names in a; precision 1 without names
-    in b if a has none either, else 0. Every row is done in place, no shuffle;
-    null maps and texts are empty.
+    in b if a has none either, else 0. Every row is done in place, no shuffle:
+    names are told apart in one pass over Arrow batches. Null maps and texts are
+    empty; a null name has no partner and no place in a text.
     """
-    none = F.array().cast("array<string>")
-    tokens = lambda text: F.array_distinct(words(F.coalesce(F.col(text), F.lit("")), lx.TOKEN)) if text else none
-    grounded = pairs.withColumns({"_ta": tokens(source), "_tb": tokens(summary)})
-
-    def names(side: str, category: Column) -> Column:
-        raw = F.coalesce(F.try_element_at(F.col(f"entities_{side}"), category), none)
-        own = F.transform(raw, lambda x: F.struct(x.alias("raw"), normal(x).alias("norm")))
-        text = F.col(f"_t{side}")
-        return F.filter(own, lambda e: (F.size(text) == 0) | present(e["norm"], text))
-
-    listed = grounded.withColumn("_names", F.transform(F.array(*map(F.lit, lx.ENTITY_CATEGORIES)), lambda c: F.struct(c.alias("category"), names("a", c).alias("a"), names("b", c).alias("b"))))
-    unlike = lambda x: lambda y: ~plain_match(x["norm"], y["norm"]) & _possible(x["norm"], y["norm"])
-    asked = F.flatten(F.transform("_names", lambda n: F.flatten(F.transform(n["a"], lambda x: F.transform(F.filter(n["b"], unlike(x)), lambda y: F.struct(x["norm"].alias("a"), y["norm"].alias("b")))))))
-    listed = _with_near(listed, asked)
-    fits = lambda x, y: plain_match(x["norm"], y["norm"]) | F.exists("_near", lambda m: (m["a"] == x["norm"]) & (m["b"] == y["norm"]))
-    listed = listed.withColumn("_fit", F.transform("_names", lambda n: assign(n["a"], n["b"], fits, lambda x, y: F.lit(1.0))))
-
-    def lost(n: Column, fit: Column, side: str, at: str, tokens: Column) -> Column:
-        """Names without a partner that the other text doesn't have either."""
-        numbered = F.transform(n[side], lambda e, i: F.struct(e["raw"].alias("raw"), e["norm"].alias("norm"), i.alias("i")))
-        return F.transform(F.filter(numbered, lambda e: ~F.exists(fit, lambda p: p[at] == e["i"]) & ~present(e["norm"], tokens)), lambda e: e["raw"])
-
-    told = F.transform(
-        F.arrays_zip("_names", "_fit"),
-        lambda z: F.struct(z["_names"]["category"].alias("category"), F.size(z["_names"]["a"]).alias("in_a"), F.size(z["_names"]["b"]).alias("in_b"), F.size(z["_fit"]).alias("matched"), lost(z["_names"], z["_fit"], "a", "i", F.col("_tb")).alias("missing"), lost(z["_names"], z["_fit"], "b", "j", F.col("_ta")).alias("extra")),
-    )
+    def names(side: str) -> Column:
+        return F.transform(F.array(*map(F.lit, lx.ENTITY_CATEGORIES)), lambda c: F.try_element_at(F.col(f"entities_{side}"), c))
+
+    text = lambda name: F.col(name) if name else F.lit(None).cast("string")
+    listed = pairs.withColumn("_found", told.asNondeterministic()(names("a"), names("b"), text(source), text(summary)))
+    named = F.zip_with("_found", F.array(*map(F.lit, lx.ENTITY_CATEGORIES)), lambda e, c: F.struct(c.alias("category"), *(e[f].alias(f) for f in TOLD.elementType.names)))
+    done = listed.withColumn("_told", named)
     recall = lambda e: F.when(e["in_a"] > 0, (e["in_a"] - F.size(e["missing"])) / e["in_a"]).otherwise(1.0)
     precision = lambda e: F.when(e["in_b"] > 0, (e["in_b"] - F.size(e["extra"])) / e["in_b"]).when(e["in_a"] == 0, 1.0).otherwise(0.0)
     f1 = lambda e: F.coalesce(F.try_divide(2 * precision(e) * recall(e), precision(e) + recall(e)), F.lit(0.0))
-    done = listed.withColumn("_told", told)
     full = F.transform("_told", lambda e: F.struct(e["category"].alias("category"), F.round(precision(e), 3).alias("precision"), F.round(recall(e), 3).alias("recall"), F.round(f1(e), 3).alias("f1"), e["in_a"].alias("in_a"), e["in_b"].alias("in_b"), e["matched"].alias("matched"), e["missing"].alias("missing"), e["extra"].alias("extra")))
-    return done.withColumn("entities", full).drop("_ta", "_tb", "_names", "_near", "_fit", "_told")
+    return done.withColumn("entities", full).drop("_found", "_told")
 
 
 def changed(entities: Column) -> Column:
