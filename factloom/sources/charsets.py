@@ -16,6 +16,9 @@ CYRILLIC = ("windows-1251", "koi8-r", "cp866", "iso8859-5")
 PAIRS = "ст но то на ен ов ни ра во ко ал ли по ре ос пр не ро го та от ка ан ер ло ор ва ет ол те ны ль ия ие ит ис"
 _COMMON = "(?=" + "|".join(PAIRS.split()) + ")"
 _TURNED = "[а-яё](?=[А-ЯЁ])"
+# Letters beyond ASCII of one language each, and marks that go with any.
+LETTERS = ("àâæçèéêëîïôùûüÿœ", "äöüß", "áéíñóúü")
+_MARKS = "\xa0¡¿«»°"
 
 
 def table(charset: str) -> str:
@@ -61,8 +64,10 @@ def charset(content: Column) -> Column:
     parity are 0 or 4 (the high bytes of Latin and Cyrillic letters), twice as
     many as at the other. Else UTF-8 if the bytes are valid as such (empty
     content too). Else a single-byte charset: Western where ASCII letters are
-    no fewer than upper bytes, otherwise the Cyrillic one that gives the most
-    frequent pairs of Russian letters, the first of CYRILLIC on a tie.
+    no fewer than upper bytes, or where all of these are letters of one Western
+    language and no Cyrillic reading has a frequent pair of Russian letters for
+    each five of them (a word or two, such as "Éé"); otherwise the Cyrillic one
+    that gives the most such pairs, the first of CYRILLIC on a tie.
     """
     mark = F.hex(F.substring(content, 1, 3))
     latin = _latin(content)
@@ -73,6 +78,8 @@ def charset(content: Column) -> Column:
     high = F.length(F.regexp_replace(latin, "[\\x00-\\x7F]+", ""))
     letters = F.length(F.regexp_replace(latin, "[^A-Za-z]+", ""))
     ranked = F.array(*(F.struct((-_russian(single(content, c))).alias("least"), F.lit(k).alias("k"), F.lit(c).alias("charset")) for k, c in enumerate(CYRILLIC)))
+    best = F.array_min(ranked)
+    western = single(content, WESTERN).rlike("|".join(f"^[\\x00-\\x7F{_MARKS}{own}{own.upper().replace('SS', '')}]*$" for own in LETTERS))
     return (
         F.when(content.isNull(), None)
         .when(mark.startswith("EFBBBF"), "UTF-8")
@@ -82,7 +89,8 @@ def charset(content: Column) -> Column:
         .when(wide(1, 2), "UTF-16BE")
         .when(F.is_valid_utf8(content.cast("string")), "UTF-8")
         .when(letters >= high, WESTERN)
-        .otherwise(F.array_min(ranked)["charset"])
+        .when(western & (best["least"] * -5 < high), WESTERN)
+        .otherwise(best["charset"])
     )
 
 

@@ -1,8 +1,10 @@
 """Files in several encodings give one table of texts."""
 
+import duckdb
 import pytest
 from pyspark.sql import functions as F
 
+from factloom import catalogue
 from factloom.sources import charsets, tables
 
 RUSSIAN = "Пациент, 54 года, поступил в стационар.\nАллергоанамнез не отягощён. Гемоглобин 118 г/л, АД 120/80 мм рт. ст."
@@ -55,3 +57,17 @@ def test_a_folder_in_five_encodings_gives_one_table(spark, tmp_path):
         (tmp_path / f"text{k}_model{k + 1}.txt").write_bytes(f"{SHORT} {k}".encode(codecs[-1 - k]))
     rows = {r.emr_id: (r.model_id, r.source_text, r.summary_text) for r in tables.text_pairs(spark, str(tmp_path)).collect()}
     assert rows == {str(k): (tables.MODELS[str(k + 1)], f"{RUSSIAN} {k}", f"{SHORT} {k}") for k in range(5)}
+
+
+@pytest.mark.parametrize("written", ["Éé.", "À.", "Öä ß.", "ñó ññ", "éç. Èê éé", "«É»", "été"])
+def test_a_few_words_of_accented_letters_are_western(spark, written):
+    assert seen(spark, bytearray(written.encode("cp1252"))) == [("windows-1252", written)]
+
+
+def test_short_documents_give_the_rows_of_the_sql(spark, tmp_path):
+    texts = ["Éé.", "À.", "Öä ß.", "ñó ññ", "A.", "", None, RUSSIAN, "Éaux."]
+    spark.createDataFrame([(3 * k + r, t) for k, t in enumerate(texts) for r in range(3)], "doc_id bigint, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    con = duckdb.connect()
+    con.sql(f"CREATE VIEW documents AS FROM '{tmp_path}/documents.parquet/*.parquet'")
+    expected = con.sql(f"SELECT doc_id, charset, text_md5 FROM ({catalogue.ORACLE_SQL['document_charsets']})").fetchall()
+    assert sorted(map(tuple, catalogue.QUERIES["document_charsets"](spark, str(tmp_path)).collect())) == sorted(expected)
