@@ -8,12 +8,18 @@ known here: tasks go out as rows, and answers come back as rows.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
+from itertools import accumulate
 
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, BooleanType, IntegerType, StringType, StructField, StructType
 
 from .. import lexicons as lx
+from ..functions.text import unnested
 from . import answers as read
 from . import votes
 
@@ -104,6 +110,98 @@ def block_answers(answers: DataFrame, valid_only: bool = False) -> DataFrame:
     return best.select(*TASK, "attempts", F.col("_b.error").isNull().alias("valid"), "_b.error", "_b.criteria", F.when(F.col("_b.error").isNull(), F.col("_b.listed")).otherwise(F.array().cast(_NONE)).alias("listed"))
 
 
+_TOLD = ArrayType(StructType([StructField("role", StringType()), StructField("block", StringType()), StructField("attempts", IntegerType()), StructField("error", StringType()), StructField("votes", ArrayType(BooleanType())), StructField("comments", ArrayType(StringType()))]))
+
+
+def _voted(block: str, raw: str | None) -> tuple[str | None, list, list]:
+    """What is wrong with an answer, else its votes and comments by criterion; a comment that is no text is told as JSON."""
+    if raw is None:
+        return NO_ANSWER, [], []
+    found = read.read(raw)
+    if found is None:
+        return NO_OBJECT, [], []
+    own = [c if isinstance(c := found.get(code), dict) else {} for code in CODES[block]]
+    if lost := [code for code, c in zip(CODES[block], own, strict=True) if not isinstance(c.get("pass"), bool)]:
+        return NO_PASS + ", ".join(lost), [], []
+    text = lambda c: c if c is None or isinstance(c, str) else json.dumps(c, ensure_ascii=False, separators=(",", ":"))
+    return None, [c["pass"] for c in own], [text(c.get("comment")) for c in own]
+
+
+def _counted(block: str, given: list[tuple[int | None, str | None]]) -> tuple[int | None, str | None, list, list]:
+    """attempts, error, votes and comments of one task's answers, read only up to the first valid one."""
+    attempts = max((a for a, _ in given if a is not None), default=None)
+    for _, raw in sorted(given, key=lambda g: (g[0] is not None, g[0] or 0, g[1] or "")):
+        if (told := _voted(block, raw))[0] is None:
+            return attempts, *told
+    _, raw = min(given, key=lambda g: (g[0] is not None, -(g[0] or 0), g[1] or "", g[1] is not None))
+    return attempts, *_voted(block, raw)
+
+
+@F.arrow_udf(_TOLD)
+def best(answers: pa.Array) -> pa.Array:
+    """Of each pair's answers (role, block, attempt, raw) the one of each task that counts, by the rules of block_answers."""
+    flat = answers.flatten()
+    rows = zip(*(flat.field(c).to_pylist() for c in ("role", "block", "attempt", "raw")), strict=True)
+    sizes, out = [], []
+    for n in pc.fill_null(pc.list_value_length(answers), 0).to_pylist():
+        own: dict[tuple[str, str], list] = {}
+        for _ in range(n):
+            role, block, attempt, raw = next(rows)
+            own.setdefault((role, block), []).append((attempt, raw))
+        out += [(*task, *_counted(task[1], given)) for task, given in own.items()]
+        sizes.append(len(own))
+    role, block, attempts, error, votes_, comments_ = zip(*out, strict=True) if out else [()] * 6
+    lists = lambda rows, kind: pa.ListArray.from_arrays(pa.array([0, *accumulate(map(len, rows))], pa.int32()), pa.array([x for own in rows for x in own], kind))
+    fields = [pa.array(role, pa.string()), pa.array(block, pa.string()), pa.array(attempts, pa.int32()), pa.array(error, pa.string()), lists(votes_, pa.bool_()), lists(comments_, pa.string())]
+    return pa.ListArray.from_arrays(pa.array([0, *accumulate(sizes)], pa.int32()), pa.StructArray.from_arrays(fields, _TOLD.elementType.names))
+
+
+def panels(gated: DataFrame, roles: Sequence[str], answers: DataFrame, parts: int | None = None) -> DataFrame:
+    """(pair, n, told): every pair that the gate lets through, how often it is there, and what counts of its judges' first answers.
+
+    told: array<struct<role, block, attempts, error, votes, comments>>, with a
+    row for each task that has answers, votes and comments by criterion; those
+    of broken answers are empty. Each answer is shuffled once, as it came, and
+    read where its pair is put together. The rows are dealt out by record, into
+    parts tasks, so that what follows may group by record or pair as they lie.
+    """
+    first = answers.where("round = 1").where(F.col("role").isin(*roles) & F.col("block").isin(*CODES))
+    back = first.select(*PAIR, F.lit(0).alias("_n"), F.struct("role", "block", F.col("attempt").cast("int").alias("attempt"), F.col("raw").cast("string").alias("raw")).alias("_a"))
+    let = gated.where(F.coalesce(F.col("gate_status") != "reject", F.lit(False))).select(*PAIR, F.lit(1).alias("_n"), F.lit(None).cast(back.schema["_a"].dataType).alias("_a"))
+    dealt = let.unionByName(back).repartition(*([parts] if parts else []), "emr_id")
+    both = dealt.groupBy(*PAIR).agg(F.sum("_n").cast("int").alias("n"), F.collect_list("_a").alias("_all")).where("n > 0")
+    return both.select(*PAIR, "n", best.asNondeterministic()("_all").alias("told"))
+
+
+def panel_blocks(panels: DataFrame, roles: Sequence[str]) -> DataFrame:
+    """(pair, n, block, given, without): the valid answers on each block of pairs with panels, and the roles that gave none."""
+    every = F.array(*map(F.lit, sorted(set(roles))))
+    valid = panels.select(*PAIR, "n", F.filter("told", lambda t: t["error"].isNull()).alias("_v"))
+    rows = valid.select(*PAIR, "n", "_v", F.explode(F.array(*map(F.lit, CODES))).alias("block"))
+    given = rows.select(*PAIR, "n", "block", F.filter("_v", lambda t: t["block"] == F.col("block")).alias("given"))
+    return given.withColumn("without", F.array_except(every, F.transform("given", lambda t: t["role"])))
+
+
+def failed_by(given: Column, block: Column) -> Column:
+    """array<struct<code, role, comment, fails>>: the votes against a criterion among a block's valid answers (see panel_blocks), by code and role; fails tells whether its majority fails."""
+    codes = F.create_map(*(x for b, own in CODES.items() for x in (F.lit(b), F.array(*map(F.lit, own)))))
+
+    def against(code: Column, i: Column) -> Column:
+        no = F.filter(given, lambda t: ~F.get(t["votes"], i))
+        return F.transform(no, lambda t: F.struct(code.alias("code"), t["role"].alias("role"), F.get(t["comments"], i).alias("comment"), (2 * F.size(no) >= F.size(given)).alias("fails")))
+
+    return F.array_sort(F.flatten(F.transform(codes[block], against)))
+
+
+def panel_comments(panels: DataFrame, roles: Sequence[str]) -> DataFrame:
+    """comments of pairs with panels, told within each pair."""
+    rows = panel_blocks(panels, roles).where(F.size("given") > 0)
+    said = F.filter(failed_by(F.col("given"), F.col("block")), lambda x: x["fails"] & (x["comment"] != ""))
+    lines = F.transform(said, lambda x: F.format_string(lx.COMMENT, x["code"], x["role"], x["comment"]))
+    text = F.transform(F.array(F.array_join(lines, lx.COMMENT_JOIN)), lambda c: F.nullif(c, F.lit("")))
+    return unnested(rows, text, "comments", *PAIR, "block")
+
+
 def _tasks_with(tasks: DataFrame, first: DataFrame) -> DataFrame:
     """tasks with what came back for each; ids are compared null-safe."""
     same = F.lit(True)

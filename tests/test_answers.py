@@ -1,6 +1,7 @@
 """The forgiving scanner: known answers, strict JSON as it is, and every place at which an answer may break off."""
 
 import json
+import random
 
 import pytest
 from hypothesis import given, settings
@@ -79,3 +80,24 @@ def test_typed_by_a_schema(spark):
     assert [r.parsed.k if r.parsed else None for r in out] == [e.get("k") if e else None for _, e in KNOWN]
     assert rows.where("id = 0").select(F.try_variant_get(answers.salvage(F.col("raw")), "$.A1.comment", "string")).first()[0] == "ok"
     assert answers.parsed(rows.limit(0), "raw", "k bigint").count() == 0
+
+
+def test_common_faults_are_told_without_the_scanner_and_alike():
+    chance = random.Random(7)
+    good = '{"A1": {"pass": true, "comment": "part: {1}, a, b"}, "A2": {"pass": False, "list": ["x", None, "y",], }, c: {pass: True,},}'
+    pieces = ['"', "'", ",", ":", "{", "}", "[", "]", " ", "\n", "True", "a", "1", "\\", "None", "nOne", ",,", " "]
+    told = 0
+    for k in range(6000):
+        text = good
+        for _ in range(k % 4):
+            at = chance.randrange(len(text))
+            text = text[:at] + chance.choice([*pieces, ""]) + text[at + chance.randrange(3) :]
+        for tried in (text, text + " and so on"):
+            at = tried.find("{")
+            if at >= 0 and (plain := answers._plain(tried, at)):
+                try:
+                    answers._STRICT.raw_decode(tried, at)
+                except ValueError:
+                    told += 1
+                    assert plain == answers._scan(tried, at)[0], tried
+    assert told > 1000

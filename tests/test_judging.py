@@ -172,3 +172,23 @@ def test_tasks_meet_their_answers_by_pair(spark, tmp_path):
     small = judging.block_answers(spark.read.parquet(f"{tmp_path}/answers"))
     plan = judging.pending(judging.tasks(spark.read.parquet(f"{tmp_path}/gated"), ROLES), small).where("short")
     assert "Broadcast" not in plan._jdf.queryExecution().executedPlan().toString()
+
+
+def test_panels_say_what_the_rows_say_with_one_shuffle(spark):
+    """Ties, null ids and attempts, repeated pairs, silent and broken judges, comments that are no text."""
+    gated = spark.createDataFrame([("1", "m", "pass"), ("1", "m", "rework"), ("2", "m", "reject"), ("4", None, "pass"), ("5", "m", "pass")], "emr_id string, model_id string, gate_status string")
+    no = lambda comment: full("A", A2={"pass": False, "comment": comment})
+    rows = [answer("A", no("b"), attempt=2), answer("A", no("a"), attempt=2), answer("A", "no", attempt=1), answer("A", no(3), "y"), answer("B", "no", "y", 1), answer("B", None, "y", 3), answer("C", full("C"), "z")]
+    rows += [("4", None, 1, "z", "A", None, json.dumps(no("n"))), ("4", None, 1, "z", "A", 1, json.dumps(full("A"))), answer("A", no("x"), emr="2"), answer("A", no("x"), "other", emr="5"), answer("A", no(""), emr="5"), ("5", "m", 2, "x", "A", 1, "{}"), ("5", "m", 1, None, "A", 1, "{}")]
+    given = spark.createDataFrame(rows, ANSWER)
+    panels = judging.panels(gated, ROLES, given)
+    told = judging.counting(judging.votes_of(judging.asked(gated, ROLES, judging.block_answers(given))))
+    want = judging.comments(told, votes.criteria(told))
+    found = judging.panel_comments(panels, ROLES)
+    # the rows' join drops pairs with a null id, panels keep them
+    assert sorted(map(str, found.where("model_id IS NOT NULL").collect())) == sorted(map(str, want.select(found.columns).collect()))
+    assert {(r.emr_id, r.comments) for r in found.collect()} == {("1", "A2/x: a; A2/y: 3"), ("4", "A2/z: n")}
+    best = {(r.emr_id, t.role, t.block): (t.attempts, t.error) for r in panels.collect() for t in r.told}
+    assert best == {(r.emr_id, r.role, r.block): (r.attempts, r.error) for r in judging.block_answers(given).where("emr_id <> '2' AND role <> 'other'").collect()}
+    assert [r.n for r in panels.where("emr_id = '1'").collect()] == [2]
+    assert found.select("*")._jdf.queryExecution().executedPlan().toString().count("Exchange ") == 1
