@@ -3,19 +3,19 @@
 from __future__ import annotations
 
 from bisect import bisect_left, bisect_right
-from collections import Counter
 from collections.abc import Iterator, Sequence
 from itertools import accumulate
+from math import floor
 from types import SimpleNamespace
 
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, DoubleType, IntegerType, StringType, StructField, StructType
+from pyspark.sql.types import ArrayType, BooleanType, DoubleType, IntegerType, StringType, StructField, StructType
 
 from .. import lexicons as lx
-from .facts import Number, Statement, array_of, causal_links, contradictions, numbers, numeric_facts, polarity_facts, statements
+from .facts import Number, Read, Statement, array_of, causal_links, contradictions, may_link, numbers, numeric_facts, polarity_facts, read, statements
 
 
 #: The categories of numbers and predicates of statements in both texts, all that the gate asks for.
@@ -78,7 +78,11 @@ def best_free(asked: list[tuple], offered: list[tuple], least: float = 0.0) -> l
         own = free.get(key)
         if not own:
             continue
-        share, j, taken = max(((_share(words, y), -js[-1], y) for y, js in own.items()), key=lambda c: c[:2])
+        if len(own) == 1:  # nothing to choose from
+            ((taken, js),) = own.items()
+            share, j = _share(words, taken), -js[-1]
+        else:
+            share, j, taken = max(((_share(words, y), -js[-1], y) for y, js in own.items()), key=lambda c: c[:2])
         if share >= least:
             own[taken].pop()
             if not own[taken]:
@@ -87,18 +91,39 @@ def best_free(asked: list[tuple], offered: list[tuple], least: float = 0.0) -> l
     return out
 
 
-def match_numbers(x: Sequence, y: Sequence) -> list[tuple[int, int, float]]:
-    """Which numbers are the same measure: the only ones of their category (ages only of persons), else equal label sets, the context breaking ties."""
-    first, second = Counter(f.category for f in x), Counter(f.category for f in y)
-    place = {f.category: j for j, f in enumerate(y)}
-    sure = {i: place[f.category] for i, f in enumerate(x) if first[f.category] == 1 == second[f.category] and (f.category != "age" or f.person and y[place[f.category]].person)}
+def _places(facts: Sequence) -> dict[str, list[int]]:
+    """The places of facts by category."""
+    out: dict[str, list[int]] = {}
+    for k, f in enumerate(facts):
+        if f.category in out:
+            out[f.category].append(k)
+        else:
+            out[f.category] = [k]
+    return out
+
+
+def match_numbers(x: Sequence, y: Sequence, shares: bool = True) -> list[tuple[int, int, float]]:
+    """Which numbers are the same measure: the only ones of their category (ages only of persons), else equal label sets, the context breaking ties. Without shares no similarity is told, and contexts are read only for ties."""
+    first, second = _places(x), _places(y)
+    sure = {}
+    for category, own in first.items():
+        others = second.get(category, ())
+        if len(own) == 1 == len(others) and (category != "age" or x[own[0]].person and y[others[0]].person):
+            sure[own[0]] = others[0]
     # a sure partner is the only one of its category, so it is in nobody's way; what the other side lacks has no partner
     taken = set(sure.values())
     rest = [i for i, f in enumerate(x) if i not in sure and f.category in second]
     free = [j for j, f in enumerate(y) if j not in taken and f.category in first]
-    named = lambda facts: [((f.category, f.label_key) if f.label_key is not None else None, f.word_set) for f in facts]
-    told = best_free(named([x[i] for i in rest]), named([y[j] for j in free])) if rest and free else []
-    return sorted([*((rest[i], free[j], share) for i, j, share in told), *((i, j, 1.0) for i, j in sure.items())])
+    keys = lambda facts, places: [(facts[k].category, key) if (key := facts[k].label_key) is not None else None for k in places]
+    asked, offered = keys(x, rest), keys(y, free)
+    told = []
+    if not shares and len(set(asked)) == len(asked) and len(set(offered)) == len(offered):
+        by_key = dict(zip(offered, free, strict=True))
+        told = [(i, by_key[key], 1.0) for i, key in zip(rest, asked, strict=True) if key is not None and key in by_key]
+    elif rest and free:
+        named = lambda facts, places, own: [(key, facts[k].word_set) for k, key in zip(places, own, strict=True)]
+        told = [(rest[i], free[j], share) for i, j, share in best_free(named(x, rest, asked), named(y, free, offered))]
+    return sorted([*told, *((i, j, 1.0) for i, j in sure.items())])
 
 
 def match_statements(x: Sequence, y: Sequence) -> list[tuple[int, int, float]]:
@@ -107,8 +132,24 @@ def match_statements(x: Sequence, y: Sequence) -> list[tuple[int, int, float]]:
     return best_free(keyed(x), keyed(y), lx.CONTEXT_SHARE)
 
 
+def _units_may_differ(x: Sequence, y: Sequence) -> bool:
+    """False only where no value stands on both sides with other units: values within TOLERANCE share a whole part, taken on both edges."""
+    seen: dict[str, str] = {}
+    several = {f.category for f in (*x, *y) if seen.setdefault(f.category, f.unit) != f.unit}
+    if not several:
+        return False
+    units: dict[tuple[str, int], set[str]] = {}
+    for f in y:
+        if f.category in several:
+            for edge in {floor(f.value - lx.TOLERANCE), floor(f.value + lx.TOLERANCE)}:
+                units.setdefault((f.category, edge), set()).add(f.unit)
+    return any(own != {f.unit} for f in x if f.category in several and (own := units.get((f.category, floor(f.value)))))
+
+
 def other_units(x: Sequence, y: Sequence) -> list[tuple[str, str, int]]:
     """Equal values of one category with other units, told once for each pair of phrases; the place is that of the first fact that says so."""
+    if not _units_may_differ(x, y):
+        return []
 
     def once(facts: Sequence) -> dict[str, tuple]:
         out: dict[str, tuple] = {}
@@ -192,19 +233,72 @@ def _polarity(a: list[Statement], b: list[Statement]) -> dict:
     return {"total_in_a": len(a), "matched": len(same) - len(flips), "flip_count": len(flips), "flips": [f"{x.raw} → {y.raw}" for x, y in flips], "flip_contexts": [x.context[-lx.FINDING_WINDOW :] for x, _ in flips]}
 
 
-_COMPARED = StructType([StructField("kinds", KINDS), StructField("numeric", _NUMERIC), StructField("polarity", _POLARITY)])
+def count_mismatches(x: list[Number], y: list[Number]) -> int:
+    """How many numbers of the same measure differ; only categories with more than one value need to be matched."""
+    seen: dict[str, float] = {}
+    moved = {f.category for f in (*x, *y) if seen.setdefault(f.category, f.value) != f.value}
+    if not moved:
+        return 0
+    a, b = ([f for f in facts if f.category in moved] for facts in (x, y))
+    return sum(abs(a[i].value - b[j].value) > lx.TOLERANCE for i, j, _ in match_numbers(a, b, shares=False))
+
+
+def count_flips(source: str | None, summary: str | None, a: Read, b: Read) -> int:
+    """How many statements change their polarity; only predicates that occur with both need to be matched."""
+    seen: dict[str, bool] = {}
+    told = (stated for own in (a, b) for _, clause in own.clauses for stated in clause.polarities)
+    moved = {name for name, polarity in told if seen.setdefault(name, polarity) != polarity}
+    if a.low is None or b.low is None:  # names are those of the texts as they are
+        x, y = statements(source, a), statements(summary, b)
+    elif moved:
+        x, y = ([f for f in facts if f.predicate in moved] for facts in (statements(source, a), statements(summary, b)))
+    else:
+        return 0
+    return sum(x[i].polarity != y[j].polarity for i, j, _ in match_statements(x, y))
+
+
+_COMPARED = StructType([StructField("kinds", KINDS), StructField("numeric", _NUMERIC), StructField("polarity", _POLARITY), StructField("links_a", BooleanType()), StructField("links_b", BooleanType())])
+_COUNTED = StructType([*(StructField(c, IntegerType()) for c in ("numeric_mismatches", "unit_mismatches", "flips")), StructField("links_a", BooleanType()), StructField("links_b", BooleanType())])
 
 
 @F.arrow_udf(_COMPARED)
 def compared(source: pa.Array, summary: pa.Array) -> pa.Array:
-    """What the facts of two texts say, found and matched in one pass, so that the facts themselves stay here."""
-    of_kinds, numeric, polarity = [], [], []
+    """What the facts of two texts say, found and matched in one pass, so that the facts themselves stay here; and whether the texts may have causal links."""
+    of_kinds, numeric, polarity, links = [], [], [], []
     for a, b in zip(source.to_pylist(), summary.to_pylist(), strict=True):
-        own = numbers(a), numbers(b), statements(a), statements(b)
+        x, y = read(a), read(b)
+        own = numbers(a, x), numbers(b, y), statements(a, x), statements(b, y)
         of_kinds.append(_kinds(*own))
         numeric.append(_numeric(*own[:2]))
         polarity.append(_polarity(*own[2:]))
-    return pa.StructArray.from_arrays([_column(of_kinds, KINDS), _column(numeric, _NUMERIC), _column(polarity, _POLARITY)], _COMPARED.names)
+        links.append((may_link(x), may_link(y)))
+    told = [_column(of_kinds, KINDS), _column(numeric, _NUMERIC), _column(polarity, _POLARITY)]
+    return pa.StructArray.from_arrays([*told, *(pa.array([own[k] for own in links], pa.bool_()) for k in (0, 1))], _COMPARED.names)
+
+
+@F.arrow_udf(_COUNTED)
+def tallied(source: pa.Array, summary: pa.Array) -> pa.Array:
+    """The counts of compared alone: no phrase or context is cut out, and only what can differ is matched."""
+    rows = []
+    for a, b in zip(source.to_pylist(), summary.to_pylist(), strict=True):
+        x, y = read(a), read(b)
+        m, n = numbers(a, x), numbers(b, y)
+        rows.append((count_mismatches(m, n), len(other_units(m, n)), count_flips(a, b, x, y), may_link(x), may_link(y)))
+    of = lambda k, kind: pa.array([r[k] for r in rows], kind)
+    return pa.StructArray.from_arrays([*(of(k, pa.int32()) for k in range(3)), *(of(k, pa.bool_()) for k in (3, 4))], _COUNTED.names)
+
+
+def _links(may: str, text: str) -> Column:
+    """The causal links of texts that may have some."""
+    return F.when(F.col(may), causal_links(F.col(text))).otherwise(F.array().cast("array<string>"))
+
+
+def counted(pairs: DataFrame, source: str = "source_text", summary: str = "summary_text") -> DataFrame:
+    """pairs with counts: struct<numeric_mismatches, unit_mismatches, flips, causal, claims>, the counts of what compare tells."""
+    done = pairs.withColumns({"_claims": F.size(contradictions(F.col(summary))), "_done": tallied.asNondeterministic()(F.col(source), F.col(summary))})
+    introduced = F.when(F.col("_done.links_b"), F.greatest(F.size(causal_links(F.col(summary))) - F.size(_links("_done.links_a", source)), F.lit(0))).otherwise(0)
+    counts = F.struct(*(F.col(f"_done.{c}").alias(c) for c in ("numeric_mismatches", "unit_mismatches", "flips")), introduced.alias("causal"), F.col("_claims").alias("claims"))
+    return done.withColumn("counts", counts).drop("_done", "_claims")
 
 
 def with_kinds(pairs: DataFrame, source: str = "source_text", summary: str = "summary_text") -> DataFrame:
@@ -220,7 +314,7 @@ def compare(pairs: DataFrame, source: str = "source_text", summary: str = "summa
     the texts once more, where they are asked for. The comparison counts as
     nondeterministic, so that a filter on it does not have it done twice.
     """
-    done = with_facts(pairs, source, summary).withColumns({"_links_a": causal_links(F.col(source)), "_links_b": causal_links(F.col(summary)), "_claims": contradictions(F.col(summary))}).withColumn("_done", compared.asNondeterministic()(F.col(source), F.col(summary)))
+    done = with_facts(pairs, source, summary).withColumns({"_claims": contradictions(F.col(summary)), "_done": compared.asNondeterministic()(F.col(source), F.col(summary))}).withColumns({"_links_a": _links("_done.links_a", source), "_links_b": _links("_done.links_b", summary)})
     introduced = F.greatest(F.size("_links_b") - F.size("_links_a"), F.lit(0))
     causality = F.struct(F.size("_links_a").alias("in_a"), F.size("_links_b").alias("in_b"), introduced.alias("introduced"), F.slice("_links_b", F.lit(1), introduced).alias("introduced_markers"))
     interpretation = F.struct(F.col("_claims").alias("contradictions"), F.size("_claims").alias("count"))

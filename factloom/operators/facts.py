@@ -8,7 +8,8 @@ is column expressions.
 from __future__ import annotations
 
 import re
-from functools import cached_property, lru_cache
+from functools import lru_cache
+from typing import NamedTuple
 
 import pyarrow as pa
 from pyspark.sql import Column
@@ -19,7 +20,10 @@ from .. import lexicons as lx
 from ..functions.text import alternatives, fold
 
 # The patterns are written in small letters and read folded texts: without a flag for case an alternative's first letter tells where to look at all.
-_UNIT = re.compile(f"(?P<value>{lx.NUMBER})\\s?(?P<unit>{'|'.join(f'(?:{p})' for _, p in lx.UNIT_GROUPS).lower()})")
+# Units stand side by side and not group by group, for the same reason.
+_UNIT = re.compile(f"(?P<value>{lx.NUMBER})\\s?(?P<unit>{'|'.join(p for _, own in lx.UNIT_GROUPS for p in alternatives(own)).lower()})")
+#: For texts without other digits, which are much the quicker to look for.
+_UNIT_PLAIN = re.compile(_UNIT.pattern.replace(r"\d]", "0-9]").replace(r"\d", "[0-9]"))
 _CATEGORIES = [(name, re.compile(pattern.replace(r"\s?", ""), re.IGNORECASE)) for name, pattern in lx.UNIT_GROUPS]
 _NEGATORS, _BETWEEN = re.fullmatch(r"\(\?:(.*?)\)(.*)", lx.NEGATION).groups()
 #: The alternatives that begin with a negation have a group, the plain ones have none.
@@ -31,7 +35,7 @@ _CLAIM_OF = [name for name, side in lx.CLAIMS for _ in alternatives(side)]
 _CLAIM = re.compile("|".join(f"{p}()" for _, side in lx.CLAIMS for p in alternatives(side)))
 _VALUE = re.compile(lx.VALUE_AFTER, re.IGNORECASE)
 _PERSON = re.compile(lx.PERSON, re.IGNORECASE)
-_BOUNDARY = re.compile(r"[,;:.\n()]")
+_BOUNDARIES = ",;:.\n()"
 _LABEL_WORD, _CONTEXT_WORD = re.compile(lx.LABEL_WORD), re.compile(lx.CONTEXT_WORD)
 
 _TEXT, _NUMBER, _FLAG, _WORDS = StringType(), DoubleType(), BooleanType(), ArrayType(StringType())
@@ -67,11 +71,17 @@ def unit_category(unit: str) -> str:
     return next((name for name, pattern in _CATEGORIES if pattern.match(plain)), "other")
 
 
+@lru_cache(4096)
+def _last_words(tail: str) -> str:
+    return " ".join(_LABEL_WORD.findall(tail.lower())[-2:])
+
+
 def label(left: str) -> str:
     """The last two words after the last boundary left of a number."""
-    return " ".join(_LABEL_WORD.findall(_BOUNDARY.split(left)[-1].lower())[-2:])
+    return _last_words(left[max(map(left.rfind, _BOUNDARIES)) + 1 :])
 
 
+@lru_cache(4096)
 def label_key(name: str) -> str | None:
     """The set of a label's telling words, sorted and joined; None where none is left."""
     return " ".join(sorted(set(name.split()).difference(lx.GENERIC_LABEL_WORDS))) or None
@@ -82,14 +92,23 @@ def _words(left: str) -> frozenset[str]:
     return frozenset(_CONTEXT_WORD.findall(left))
 
 
+@lru_cache(4096)
+def _value(digits: str) -> float:
+    return float(digits.replace(",", "."))
+
+
+@lru_cache(4096)
+def _unit(raw: str) -> tuple[str, str]:
+    """Category and plain form of a unit as written."""
+    return unit_category(raw), "".join(raw.lower().split())
+
+
 class _Fact:
     """A match in a text; what depends on the text left of it is read only where it is asked for."""
 
+    __slots__ = ("text", "low", "start", "end")
     window: int
 
-    def __init__(self, text: str, low: str, start: int, end: int):
-        self.text, self.low, self.start, self.end = text, low, start, end
-
     def left(self, window: int) -> str:
         at = max(0, self.start - window)
         return self.text[at : self.start].lower() if self.low is None else self.low[at : self.start]
@@ -112,23 +131,25 @@ class _Fact:
 
 
 class Number(_Fact):
+    __slots__ = ("value", "category", "unit", "unit_at")
     window = lx.NUMBER_WINDOW
 
-    def __init__(self, text: str, low: str, m: re.Match):
-        super().__init__(text, low, m.start(), m.end())
-        self.value = float(m["value"].replace(",", "."))
-        self.unit_raw = text[m.start("unit") : m.end()]
-        self.category = unit_category(self.unit_raw)
+    def __init__(self, text: str, low: str | None, m: re.Match):
+        self.text, self.low = text, low
+        self.start, self.end = m.span()
+        digits, unit = m.groups()
+        self.value, self.unit_at = _value(digits), self.end - len(unit)
+        self.category, self.unit = _unit(unit if low is not None else self.unit_raw)
 
     @property
-    def unit(self) -> str:
-        return "".join(self.unit_raw.lower().split())
+    def unit_raw(self) -> str:
+        return self.text[self.unit_at : self.end]
 
     @property
     def label(self) -> str:
         return label(self.left(lx.LABEL_WINDOW))
 
-    @cached_property
+    @property
     def label_key(self) -> str | None:
         return label_key(self.label)
 
@@ -138,39 +159,75 @@ class Number(_Fact):
 
 
 class Statement(_Fact):
+    __slots__ = ("predicate", "polarity")
     window = lx.POLARITY_WINDOW
 
-    def __init__(self, text: str, low: str, start: int, end: int, predicate: str, polarity: bool):
-        super().__init__(text, low, start, end)
-        self.predicate, self.polarity = predicate, polarity
+    def __init__(self, text: str, low: str | None, start: int, end: int, predicate: str, polarity: bool):
+        self.text, self.low, self.start, self.end, self.predicate, self.polarity = text, low, start, end, predicate, polarity
+
+
+class _Clause(NamedTuple):
+    """What a clause states, by places within it."""
+
+    predicates: tuple[tuple[int, int, int, bool], ...]  # start, end, start without the negation, polarity
+    antonyms: tuple[tuple[int, int, str, bool], ...]  # start, end, predicate, polarity
+    claims: tuple[tuple[int, int, str], ...]  # start, end, what is claimed
+    polarities: tuple[tuple[str, bool], ...]
+    links: bool  # whether there may be a causal link
+    digits: bool  # whether there are digits other than 0 to 9
+
+
+@lru_cache(1 << 16)
+def _clause(folded: str) -> _Clause | None:
+    """The clause's facts, None where there are none. Clauses repeat within and between texts; each is searched once while it is kept."""
+    predicates = tuple((m.start(), m.end(), m.start(m.lastindex or 0), m.lastindex is None) for m in _PREDICATE.finditer(folded))
+    antonyms = tuple((m.start(), m.end(), *_ANTONYM_OF[m.lastindex - 1]) for m in _ANTONYM.finditer(folded))
+    claims = tuple((m.start(), m.end(), _CLAIM_OF[m.lastindex - 1]) for m in _CLAIM.finditer(folded))
+    polarities = tuple(dict.fromkeys([*((folded[at:end][:6], polarity) for _, end, at, polarity in predicates), *((name, polarity) for _, _, name, polarity in antonyms)]))
+    links, digits = any(stem in folded for stem in lx.CAUSAL_STEMS), any(c.isdecimal() and c > "9" for c in folded)
+    return _Clause(predicates, antonyms, claims, polarities, links, digits) if polarities or claims or links or digits else None
+
+
+class Read(NamedTuple):
+    """A text as it is searched: folded for the patterns, in small letters to cut pieces from (None where pieces must be put in small letters each for itself), and its clauses that state something, with their places."""
+
+    folded: str
+    low: str | None
+    clauses: list[tuple[int, _Clause]]
 
 
-def _read(text: str) -> tuple[str, str | None]:
-    """The folded text for the patterns, and the one in small letters that pieces are cut from; None where pieces must be put in small letters each for itself."""
-    folded, plain = fold(text)
-    return folded, folded if plain else None
+def read(text: str | None) -> Read:
+    """A text's clauses end at full stops and commas, which the patterns of statements, claims and links do not cross."""
+    folded, plain = fold(text or "")
+    clauses, at = [], 0
+    for piece in folded.replace(",", ".").split("."):
+        if (own := _clause(piece)) is not None:
+            clauses.append((at, own))
+        at += len(piece) + 1
+    return Read(folded, folded if plain else None, clauses)
 
 
-def numbers(text: str | None) -> list[Number]:
-    """Numbers with units in text order. Null texts have none."""
+def numbers(text: str | None, own: Read | None = None) -> list[Number]:
+    """Numbers with units in text order. Null texts have none. own: the text as read, where it is known."""
     if not text:
         return []
-    folded, low = _read(text)
-    return [Number(text, low, m) for m in _UNIT.finditer(folded)]
+    folded, low, clauses = own or read(text)
+    return [Number(text, low, m) for m in (_UNIT if any(c.digits for _, c in clauses) else _UNIT_PLAIN).finditer(folded)]
 
 
-def statements(text: str | None) -> list[Statement]:
+def statements(text: str | None, own: Read | None = None) -> list[Statement]:
     """Predicates with or without a negation in text order, then antonyms in text order. One phrase may give both."""
     if not text:
         return []
-    folded, low = _read(text)
+    _, low, clauses = own or read(text)
+    named = lambda at, end: text[at:end].lower()[:6]
+    stated = [Statement(text, low, k + start, k + end, named(k + at, k + end), polarity) for k, c in clauses for start, end, at, polarity in c.predicates]
+    return stated + [Statement(text, low, k + start, k + end, name, polarity) for k, c in clauses for start, end, name, polarity in c.antonyms]
 
-    def stated(m: re.Match) -> Statement:
-        at = m.start(m.lastindex or 0)
-        return Statement(text, low, m.start(), m.end(), text[at : m.end()].lower()[:6], m.lastindex is None)
 
-    paired = [Statement(text, low, m.start(), m.end(), *_ANTONYM_OF[m.lastindex - 1]) for m in _ANTONYM.finditer(folded)]
-    return [stated(m) for m in _PREDICATE.finditer(folded)] + paired
+def may_link(own: Read) -> bool:
+    """False only for texts without any causal link."""
+    return any(c.links for _, c in own.clauses)
 
 
 def _part(kind: ArrayType, fields: tuple[str, ...]) -> ArrayType:
@@ -182,10 +239,10 @@ def numeric_fields(text: Column, *fields: str) -> Column:
     kind = _part(NUMBERS, fields)
 
     @F.arrow_udf(kind)
-    def read(texts: pa.Array) -> pa.Array:
+    def found(texts: pa.Array) -> pa.Array:
         return _lists([numbers(t) for t in texts.to_pylist()], kind)
 
-    return read(text)
+    return found(text)
 
 
 def polarity_fields(text: Column, *fields: str) -> Column:
@@ -193,10 +250,10 @@ def polarity_fields(text: Column, *fields: str) -> Column:
     kind = _part(STATEMENTS, fields)
 
     @F.arrow_udf(kind)
-    def read(texts: pa.Array) -> pa.Array:
+    def found(texts: pa.Array) -> pa.Array:
         return _lists([statements(t) for t in texts.to_pylist()], kind)
 
-    return read(text)
+    return found(text)
 
 
 @F.arrow_udf(NUMBERS)
@@ -215,15 +272,15 @@ def polarity_facts(texts: pa.Array) -> pa.Array:
 def claims(texts: pa.Array) -> pa.Array:
     """Judging words with a value right after them."""
 
-    def read(text: str | None) -> list[dict]:
+    def claimed(text: str | None) -> list[dict]:
         out = []
-        for m in _CLAIM.finditer(fold(text)[0]) if text else ():
-            if v := _VALUE.match(text[m.end() : m.end() + lx.CLAIM_WINDOW]):
-                fragment = re.sub(r"\s+", " ", f"{text[m.start() : m.end()]} {v[0]}".strip())[:48]
-                out.append({"claimed": _CLAIM_OF[m.lastindex - 1], "value": float(v[1].replace(",", ".")), "second": float(v[2]) if v[2] else None, "unit": re.sub(r"\s+", "", (v[3] or "").lower()), "fragment": fragment})
+        for start, end, name in ((k + start, k + end, name) for k, c in read(text).clauses for start, end, name in c.claims):
+            if v := _VALUE.match(text[end : end + lx.CLAIM_WINDOW]):
+                fragment = re.sub(r"\s+", " ", f"{text[start:end]} {v[0]}".strip())[:48]
+                out.append({"claimed": name, "value": float(v[1].replace(",", ".")), "second": float(v[2]) if v[2] else None, "unit": re.sub(r"\s+", "", (v[3] or "").lower()), "fragment": fragment})
         return out
 
-    return pa.array([read(text) for text in texts.to_pylist()], _CLAIM_ARROW)
+    return pa.array([claimed(text) for text in texts.to_pylist()], _CLAIM_ARROW)
 
 
 def causal_links(text: Column) -> Column:
