@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from bisect import bisect_left, bisect_right
-from collections.abc import Iterator, Sequence
+from collections.abc import Iterable, Iterator, Sequence
 from itertools import accumulate
 from math import floor
 from types import SimpleNamespace
@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BooleanType, DoubleType, IntegerType, StringType, StructField, StructType
 
 from .. import lexicons as lx
-from .facts import Number, Read, Statement, array_of, causal_links, contradictions, may_link, numbers, numeric_facts, polarity_facts, read, statements
+from .facts import Number, Read, Statement, array_of, causal_links, contradictions, may_link, numbers, numeric_facts, polarity_facts, read, stated, statements
 
 
 #: The categories of numbers and predicates of statements in both texts, all that the gate asks for.
@@ -274,18 +274,35 @@ def compared(source: pa.Array, summary: pa.Array) -> pa.Array:
         links.append((may_link(x), may_link(y)))
     told = [_column(of_kinds, KINDS), _column(numeric, _NUMERIC), _column(polarity, _POLARITY)]
     return pa.StructArray.from_arrays([*told, *(pa.array([own[k] for own in links], pa.bool_()) for k in (0, 1))], _COMPARED.names)
+_GATED = StructType([*_COUNTED.fields, StructField("kinds", KINDS)])
 
 
-@F.arrow_udf(_COUNTED)
-def tallied(source: pa.Array, summary: pa.Array) -> pa.Array:
-    """The counts of compared alone: no phrase or context is cut out, and only what can differ is matched."""
+def _tally(source: pa.Array, summary: pa.Array, of_kinds: list[dict] | None = None) -> list[pa.Array]:
     rows = []
     for a, b in zip(source.to_pylist(), summary.to_pylist(), strict=True):
         x, y = read(a), read(b)
         m, n = numbers(a, x), numbers(b, y)
         rows.append((count_mismatches(m, n), len(other_units(m, n)), count_flips(a, b, x, y), may_link(x), may_link(y)))
-    of = lambda k, kind: pa.array([r[k] for r in rows], kind)
-    return pa.StructArray.from_arrays([*(of(k, pa.int32()) for k in range(3)), *(of(k, pa.bool_()) for k in (3, 4))], _COUNTED.names)
+        if of_kinds is not None:
+            of_kinds.append({"numbers_a": _once(f.category for f in m), "numbers_b": _once(f.category for f in n), "statements_a": stated(a, x), "statements_b": stated(b, y)})
+    return [pa.array([r[k] for r in rows], pa.int32() if k < 3 else pa.bool_()) for k in range(5)]
+
+
+def _once(names: Iterable[str]) -> list[str]:
+    return list(dict.fromkeys(names))
+
+
+@F.arrow_udf(_COUNTED)
+def tallied(source: pa.Array, summary: pa.Array) -> pa.Array:
+    """The counts of compared alone: no phrase or context is cut out, and only what can differ is matched."""
+    return pa.StructArray.from_arrays(_tally(source, summary), _COUNTED.names)
+
+
+@F.arrow_udf(_GATED)
+def tallied_for_gate(source: pa.Array, summary: pa.Array) -> pa.Array:
+    """tallied, with the kinds of facts in both texts, each once."""
+    of_kinds: list[dict] = []
+    return pa.StructArray.from_arrays([*_tally(source, summary, of_kinds), _column(of_kinds, KINDS)], _GATED.names)
 
 
 def _links(may: str, text: str) -> Column:
@@ -293,12 +310,13 @@ def _links(may: str, text: str) -> Column:
     return F.when(F.col(may), causal_links(F.col(text))).otherwise(F.array().cast("array<string>"))
 
 
-def counted(pairs: DataFrame, source: str = "source_text", summary: str = "summary_text") -> DataFrame:
-    """pairs with counts: struct<numeric_mismatches, unit_mismatches, flips, causal, claims>, the counts of what compare tells."""
-    done = pairs.withColumns({"_claims": F.size(contradictions(F.col(summary))), "_done": tallied.asNondeterministic()(F.col(source), F.col(summary))})
+def counted(pairs: DataFrame, source: str = "source_text", summary: str = "summary_text", for_gate: bool = False) -> DataFrame:
+    """pairs with counts: struct<numeric_mismatches, unit_mismatches, flips, causal, claims>, the counts of what compare tells; for the gate with kinds too, each kind once."""
+    told = tallied_for_gate if for_gate else tallied
+    done = pairs.withColumns({"_claims": F.size(contradictions(F.col(summary))), "_done": told.asNondeterministic()(F.col(source), F.col(summary))})
     introduced = F.when(F.col("_done.links_b"), F.greatest(F.size(causal_links(F.col(summary))) - F.size(_links("_done.links_a", source)), F.lit(0))).otherwise(0)
     counts = F.struct(*(F.col(f"_done.{c}").alias(c) for c in ("numeric_mismatches", "unit_mismatches", "flips")), introduced.alias("causal"), F.col("_claims").alias("claims"))
-    return done.withColumn("counts", counts).drop("_done", "_claims")
+    return done.withColumns({"counts": counts} | ({"kinds": F.col("_done.kinds")} if for_gate else {})).drop("_done", "_claims")
 
 
 def with_kinds(pairs: DataFrame, source: str = "source_text", summary: str = "summary_text") -> DataFrame:

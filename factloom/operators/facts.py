@@ -221,8 +221,15 @@ def statements(text: str | None, own: Read | None = None) -> list[Statement]:
         return []
     _, low, clauses = own or read(text)
     named = lambda at, end: text[at:end].lower()[:6]
-    stated = [Statement(text, low, k + start, k + end, named(k + at, k + end), polarity) for k, c in clauses for start, end, at, polarity in c.predicates]
-    return stated + [Statement(text, low, k + start, k + end, name, polarity) for k, c in clauses for start, end, name, polarity in c.antonyms]
+    plain = [Statement(text, low, k + start, k + end, named(k + at, k + end), polarity) for k, c in clauses for start, end, at, polarity in c.predicates]
+    return plain + [Statement(text, low, k + start, k + end, name, polarity) for k, c in clauses for start, end, name, polarity in c.antonyms]
+
+
+def stated(text: str | None, own: Read) -> list[str]:
+    """The predicates of statements, each once."""
+    if own.low is None:  # names are those of the text as it is
+        return list(dict.fromkeys(f.predicate for f in statements(text, own)))
+    return list(dict.fromkeys(name for _, c in own.clauses for name, _ in c.polarities))
 
 
 def may_link(own: Read) -> bool:
