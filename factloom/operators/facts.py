@@ -177,6 +177,10 @@ class _Clause(NamedTuple):
     digits: bool  # whether there are digits other than 0 to 9
 
 
+#: Longer clauses hardly repeat and are not kept, so that what is kept stays some tens of MB.
+_KEPT = 200
+
+
 @lru_cache(1 << 16)
 def _clause(folded: str) -> _Clause | None:
     """The clause's facts, None where there are none. Clauses repeat within and between texts; each is searched once while it is kept."""
@@ -201,7 +205,7 @@ def read(text: str | None) -> Read:
     folded, plain = fold(text or "")
     clauses, at = [], 0
     for piece in folded.replace(",", ".").split("."):
-        if (own := _clause(piece)) is not None:
+        if (own := (_clause if len(piece) <= _KEPT else _clause.__wrapped__)(piece)) is not None:
             clauses.append((at, own))
         at += len(piece) + 1
     return Read(folded, folded if plain else None, clauses)

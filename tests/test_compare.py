@@ -126,6 +126,12 @@ def test_clauses_give_what_the_whole_text_gives():
     assert not re.search(r"[.,]|\\[WDS]|\[\^", crossing), "a pattern may cross the end of a clause"
 
 
+def test_long_clauses_are_not_kept():
+    before = read._clause.cache_info().misses
+    long = "боль не купирована " * 20
+    assert len(read.statements(long)) == 40 and read._clause.cache_info().misses == before
+
+
 def test_labels_end_at_the_last_boundary():
     for left in (t for pair in texts(300, 2) for t in pair if t):
         assert read.label(left) == " ".join(re.findall(lx.LABEL_WORD, re.split(r"[,;:.\n()]", left)[-1].lower())[-2:])
