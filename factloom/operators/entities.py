@@ -3,13 +3,18 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Callable, Sequence
 from difflib import SequenceMatcher
 from functools import lru_cache
+from itertools import accumulate
+from typing import NamedTuple
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, IntegerType, StringType, StructField, StructType
+from pyspark.sql.types import ArrayType, BooleanType, IntegerType, StringType, StructField, StructType
 
 from .. import lexicons as lx
 from ..functions.text import squeezed, words
@@ -82,7 +87,7 @@ def present(name: Column, tokens: Column) -> Column:
 
 
 _TOKEN, _SPACE = re.compile(lx.TOKEN), re.compile(r"[^\S\x1c-\x1f]+")  # the white space of (?U)\s
-_FRAMING = frozenset(lx.FRAMING_WORDS)
+_FRAMING, _GENERIC = frozenset(lx.FRAMING_WORDS), frozenset(lx.GENERIC_ENTITY_WORDS)
 
 
 @lru_cache(1 << 14)
@@ -116,58 +121,172 @@ def _alike(a: str, b: str) -> bool:
     return 2 * min(len(a), len(b)) >= lx.ENTITY_RATIO * (len(a) + len(b)) and SequenceMatcher(None, a, b, autojunk=False).ratio() >= lx.ENTITY_RATIO
 
 
+#: So many words are looked for in a text as it is, before its own words are put in order.
+_LOOKED_FOR = 200
+_IN_TOKENS = frozenset("абвгдежзийклмнопрстуфхцчшщъыьэюяёabcdefghijklmnopqrstuvwxyz0123456789")
+
+
+def _same(t: str, x: str) -> bool:
+    """same_stem, of two words with the same first three letters."""
+    least = min(len(t), len(x))
+    n = max(3, least - 2)
+    return least >= n and t[:n] == x[:n]
+
+
 class _Text:
-    """The distinct words of a text by their first three letters, which words of one stem share."""
+    """The words of a text, which are looked for by their first three letters, as words of one stem share these."""
 
     def __init__(self, text: str | None):
-        self.by_stem: dict[str, set[str]] = {}
-        words = _TOKEN.findall(text.lower()) if text else ()
-        self.empty = not words
-        for t in words:
-            self.by_stem.setdefault(t[:3], set()).add(t)
+        self.low = text.lower() if text else ""
+        self.asked: dict[str, bool] = {}
+        self.by_stem: dict[str, set[str]] | None = None
+
+    @property
+    def empty(self) -> bool:
+        return not _TOKEN.search(self.low)
+
+    def has_all(self, names: list[_Name]) -> bool:
+        return all(self.holds(own.asked) for own in names if own.normal is not None)
 
     def has(self, name: str) -> bool:
         """present, of one name."""
-        asked = _asked(name)
-        return bool(asked) and all(any(self._same(t, x) for x in self.by_stem.get(t[:3], ())) for t in asked)
+        return self.holds(_asked(name))
+
+    def holds(self, asked: tuple[str, ...]) -> bool:
+        for t in asked:
+            if t not in self.asked:
+                self.asked[t] = len(t) >= 3 and (self._begins(t) if len(self.asked) < _LOOKED_FOR else self._listed(t))
+            if not self.asked[t]:
+                return False
+        return bool(asked)
+
+    def _begins(self, t: str) -> bool:
+        at = self.low.find(t)
+        if at >= 0 and (not at or self.low[at - 1] not in _IN_TOKENS):
+            return True
+        at = self.low.find(t[:3])
+        while at >= 0:
+            if (not at or self.low[at - 1] not in _IN_TOKENS) and _same(t, _TOKEN.match(self.low, at)[0]):
+                return True
+            at = self.low.find(t[:3], at + 1)
+        return False
+
+    def _listed(self, t: str) -> bool:
+        if self.by_stem is None:
+            self.by_stem = {}
+            for x in _TOKEN.findall(self.low):
+                self.by_stem.setdefault(x[:3], set()).add(x)
+        return any(_same(t, x) for x in self.by_stem.get(t[:3], ()))
+
 
-    @staticmethod
-    def _same(t: str, x: str) -> bool:
-        least = min(len(t), len(x))
-        n = max(3, least - 2)
-        return least >= n and t[:n] == x[:n]
+_Told = tuple[int, int, int, list[str], list[str]]
 
 
-def _paired(a: list[str | None], b: list[str | None], x: _Text, y: _Text) -> tuple[int, int, int, list[str], list[str]]:
+class _Name(NamedTuple):
+    """A name as it is, normal, and the words that a text must have."""
+
+    raw: str | None
+    normal: str | None
+    asked: tuple[str, ...]
+
+
+@lru_cache(1 << 14)
+def _name(raw: str | None) -> _Name:
+    return _Name(None, None, ()) if raw is None else _Name(raw, own := _normal(raw), _asked(own))
+
+
+def _paired(a: Sequence[_Name], b: Sequence[_Name], x: _Text, y: _Text) -> _Told:
     """in_a, in_b, matched, missing and extra of the names of one category."""
-    grounded = lambda names, text: [(n, None if n is None else _normal(n)) for n in names or () if text.empty or n is not None and text.has(_normal(n))]
-    a, b = grounded(a, x), grounded(b, y)
+    a, b = ([own for own in names if text.holds(own.asked)] if names and not text.empty else list(names) for names, text in ((a, x), (b, y)))
     free, missing, n = list(b), [], 0
-    for raw, name in a:
-        j = next((j for j, (_, other) in enumerate(free) if name is not None and other is not None and _alike(name, other)), None)
+    for raw, name, asked in a:
+        if name is None:
+            continue
+        j = next((j for j, own in enumerate(free) if own.normal is not None and _alike(name, own.normal)), None)
         if j is not None:
             del free[j]
             n += 1
-        elif name is not None and not y.has(name):
+        elif not y.holds(asked):
             missing.append(raw)
-    return len(a), len(b), n, missing, [raw for raw, name in free if name is not None and not x.has(name)]
+    return len(a), len(b), n, missing, [own.raw for own in free if own.normal is not None and not x.holds(own.asked)]
 
 
 TOLD = ArrayType(StructType([*(StructField(c, IntegerType()) for c in ("in_a", "in_b", "matched")), *(StructField(c, ArrayType(StringType())) for c in ("missing", "extra"))]))
 
 
+_NONE: _Told = (0, 0, 0, [], [])
+
+
+def _known(texts: pa.Array, read: Callable) -> list:
+    """What is read from each text, from equal ones but once."""
+    coded = texts.dictionary_encode()
+    own = [read(text) for text in (*coded.dictionary.to_pylist(), None)]
+    return [own[k] for k in pc.fill_null(coded.indices, -1).to_pylist()]
+
+
+class _Column:
+    """Names by row, from maps of category to names."""
+
+    def __init__(self, names: pa.MapArray):
+        self.maps = names.offsets.to_pylist()
+        for k in np.flatnonzero(names.is_null().to_numpy(zero_copy_only=False)).tolist():
+            self.maps[k + 1] = self.maps[k]
+        self.keys = _known(names.keys, lambda key: key)
+        self.lists = [0, *accumulate(pc.fill_null(pc.list_value_length(names.items), 0).to_pylist())]
+        self.names: list[_Name] = _known(names.items.flatten(), _name)
+
+    def all(self, row: int) -> list[_Name]:
+        return self.names[self.lists[self.maps[row]] : self.lists[self.maps[row + 1]]]
+
+    def by_category(self, row: int) -> dict[str, list[_Name]]:
+        return {self.keys[k]: self.names[self.lists[k] : self.lists[k + 1]] for k in range(self.maps[row], self.maps[row + 1])}
+
+
+def _told(a: dict[str, list[_Name]], b: dict[str, list[_Name]], x: _Text, y: _Text) -> list[_Told]:
+    """What becomes of the names by category."""
+    sides = ((a.get(c, ()), b.get(c, ())) for c in lx.ENTITY_CATEGORIES)
+    return [_paired(own, other, x, y) if own or other else _NONE for own, other in sides]
+
+
 @F.arrow_udf(TOLD)
 def told(names_a: pa.Array, names_b: pa.Array, source: pa.Array, summary: pa.Array) -> pa.Array:
     """What becomes of the names of each category, see compared."""
-    rows = []
-    for a, b, source_text, summary_text in zip(names_a.to_pylist(), names_b.to_pylist(), source.to_pylist(), summary.to_pylist(), strict=True):
-        x, y = _Text(source_text), _Text(summary_text)
-        rows += [_paired(own, other, x, y) for own, other in zip(a, b, strict=True)]
+    a, b = _Column(names_a), _Column(names_b)
+    texts = zip(map(_Text, source.to_pylist()), map(_Text, summary.to_pylist()), strict=True)
+    rows = [r for k, (x, y) in enumerate(texts) for r in _told(a.by_category(k), b.by_category(k), x, y)]
     kinds = [pa.int32()] * 3 + [pa.list_(pa.string())] * 2
     flat = pa.StructArray.from_arrays([pa.array([r[k] for r in rows], kind) for k, kind in enumerate(kinds)], TOLD.elementType.names)
     return pa.ListArray.from_arrays(pa.array([k * len(lx.ENTITY_CATEGORIES) for k in range(len(names_a) + 1)], pa.int32()), flat)
 
 
+@lru_cache(1 << 14)
+def _of_substance(name: str) -> bool:
+    """See changed."""
+    return any(len(t) >= 4 and t not in _GENERIC for t in _words(name))
+
+
+LOST = StructType([StructField("missing", ArrayType(StructType([StructField("category", StringType()), StructField("name", StringType())]))), StructField("changed", BooleanType())])
+
+
+@F.arrow_udf(LOST)
+def lost(names_a: pa.Array, names_b: pa.Array, source: pa.Array, summary: pa.Array) -> pa.Array:
+    """The missing names, and changed, of what told tells. Nothing is lost where each text has all names of the other, which then need no partners."""
+    a, b = _Column(names_a), _Column(names_b)
+    missing, ends, changed_ = [], [0], []
+    for k, (x, y) in enumerate(zip(map(_Text, source.to_pylist()), map(_Text, summary.to_pylist()), strict=True)):
+        own = () if y.has_all(a.all(k)) and x.has_all(b.all(k)) else _told(a.by_category(k), b.by_category(k), x, y)
+        missing += ((category, name) for category, t in zip(lx.ENTITY_CATEGORIES, own) for name in t[3])
+        changed_.append(any(_of_substance(name) for t in own for name in (*t[3], *t[4])))
+        ends.append(len(missing))
+    named = pa.StructArray.from_arrays([pa.array([m[k] for m in missing], pa.string()) for k in (0, 1)], ["category", "name"])
+    return pa.StructArray.from_arrays([pa.ListArray.from_arrays(pa.array(ends, pa.int32()), named), pa.array(changed_, pa.bool_())], LOST.names)
+
+
+def lost_names(source: str, summary: str) -> Column:
+    """struct<missing array<struct<category, name>>, changed>: what compared tells as missing, and whether names changed."""
+    return lost.asNondeterministic()("entities_a", "entities_b", F.col(source), F.col(summary))
+
+
 def compared(pairs: DataFrame, source: str | None = None, summary: str | None = None) -> DataFrame:
     """pairs with entities (see ENTITIES), from entities_a and entities_b, maps of category to names.
 
@@ -179,11 +298,8 @@ def compared(pairs: DataFrame, source: str | None = None, summary: str | None =
     names are told apart in one pass over Arrow batches. Null maps and texts are
     empty; a null name has no partner and no place in a text.
     """
-    def names(side: str) -> Column:
-        return F.transform(F.array(*map(F.lit, lx.ENTITY_CATEGORIES)), lambda c: F.try_element_at(F.col(f"entities_{side}"), c))
-
     text = lambda name: F.col(name) if name else F.lit(None).cast("string")
-    listed = pairs.withColumn("_found", told.asNondeterministic()(names("a"), names("b"), text(source), text(summary)))
+    listed = pairs.withColumn("_found", told.asNondeterministic()("entities_a", "entities_b", text(source), text(summary)))
     named = F.zip_with("_found", F.array(*map(F.lit, lx.ENTITY_CATEGORIES)), lambda e, c: F.struct(c.alias("category"), *(e[f].alias(f) for f in TOLD.elementType.names)))
     done = listed.withColumn("_told", named)
     recall = lambda e: F.when(e["in_a"] > 0, (e["in_a"] - F.size(e["missing"])) / e["in_a"]).otherwise(1.0)

@@ -8,6 +8,7 @@ is column expressions.
 from __future__ import annotations
 
 import re
+from collections.abc import Collection
 from functools import lru_cache
 from typing import NamedTuple
 
@@ -24,6 +25,7 @@ from ..functions.text import alternatives, fold
 _UNIT = re.compile(f"(?P<value>{lx.NUMBER})\\s?(?P<unit>{'|'.join(p for _, own in lx.UNIT_GROUPS for p in alternatives(own)).lower()})")
 #: For texts without other digits, which are much the quicker to look for.
 _UNIT_PLAIN = re.compile(_UNIT.pattern.replace(r"\d]", "0-9]").replace(r"\d", "[0-9]"))
+_OTHER_DIGIT = re.compile(r"[^\D0-9]")
 _CATEGORIES = [(name, re.compile(pattern.replace(r"\s?", ""), re.IGNORECASE)) for name, pattern in lx.UNIT_GROUPS]
 _NEGATORS, _BETWEEN = re.fullmatch(r"\(\?:(.*?)\)(.*)", lx.NEGATION).groups()
 #: The alternatives that begin with a negation have a group, the plain ones have none.
@@ -61,7 +63,7 @@ def _lists(rows: list[list], kind: ArrayType) -> pa.Array:
 NUMBERS = array_of(value=_NUMBER, unit_raw=_TEXT, unit=_TEXT, category=_TEXT, label=_TEXT, label_key=_TEXT, context=_TEXT, words=_WORDS, person=_FLAG, raw=_TEXT)
 STATEMENTS = array_of(predicate=_TEXT, polarity=_FLAG, context=_TEXT, words=_WORDS, raw=_TEXT)
 CLAIMS = array_of(claimed=_TEXT, value=_NUMBER, second=_NUMBER, unit=_TEXT, fragment=_TEXT)
-_CLAIM_ARROW = pa.list_(pa.struct([("claimed", pa.string()), ("value", pa.float64()), ("second", pa.float64()), ("unit", pa.string()), ("fragment", pa.string())]))
+CLAIM_ARROW = pa.list_(pa.struct([("claimed", pa.string()), ("value", pa.float64()), ("second", pa.float64()), ("unit", pa.string()), ("fragment", pa.string())]))
 
 
 @lru_cache(4096)
@@ -106,12 +108,11 @@ def _unit(raw: str) -> tuple[str, str]:
 class _Fact:
     """A match in a text; what depends on the text left of it is read only where it is asked for."""
 
-    __slots__ = ("text", "low", "start", "end")
+    __slots__ = ("text", "start", "end")
     window: int
 
     def left(self, window: int) -> str:
-        at = max(0, self.start - window)
-        return self.text[at : self.start].lower() if self.low is None else self.low[at : self.start]
+        return self.text[max(0, self.start - window) : self.start].lower()
 
     @property
     def context(self) -> str:
@@ -130,29 +131,31 @@ class _Fact:
         return self.text[self.start : self.end].strip()
 
 
+class Found(NamedTuple):
+    """A number by its places within a clause."""
+
+    start: int
+    end: int
+    unit_at: int
+    value: float
+    category: str
+    unit: str
+    label: str
+    label_key: str | None
+
+
 class Number(_Fact):
-    __slots__ = ("value", "category", "unit", "unit_at")
+    __slots__ = ("value", "category", "unit", "unit_at", "label", "label_key")
     window = lx.NUMBER_WINDOW
 
-    def __init__(self, text: str, low: str | None, m: re.Match):
-        self.text, self.low = text, low
-        self.start, self.end = m.span()
-        digits, unit = m.groups()
-        self.value, self.unit_at = _value(digits), self.end - len(unit)
-        self.category, self.unit = _unit(unit if low is not None else self.unit_raw)
+    def __init__(self, text: str, at: int, own: Found):
+        start, end, unit_at, self.value, self.category, self.unit, self.label, self.label_key = own
+        self.text, self.start, self.end, self.unit_at = text, at + start, at + end, at + unit_at
 
     @property
     def unit_raw(self) -> str:
         return self.text[self.unit_at : self.end]
 
-    @property
-    def label(self) -> str:
-        return label(self.left(lx.LABEL_WINDOW))
-
-    @property
-    def label_key(self) -> str | None:
-        return label_key(self.label)
-
     @property
     def person(self) -> bool:
         return bool(_PERSON.search(self.context))
@@ -162,85 +165,98 @@ class Statement(_Fact):
     __slots__ = ("predicate", "polarity")
     window = lx.POLARITY_WINDOW
 
-    def __init__(self, text: str, low: str | None, start: int, end: int, predicate: str, polarity: bool):
-        self.text, self.low, self.start, self.end, self.predicate, self.polarity = text, low, start, end, predicate, polarity
+    def __init__(self, text: str, start: int, end: int, predicate: str, polarity: bool):
+        self.text, self.start, self.end, self.predicate, self.polarity = text, start, end, predicate, polarity
 
 
-class _Clause(NamedTuple):
-    """What a clause states, by places within it."""
+class Clause(NamedTuple):
+    """What a clause holds, by places within it."""
 
-    predicates: tuple[tuple[int, int, int, bool], ...]  # start, end, start without the negation, polarity
-    antonyms: tuple[tuple[int, int, str, bool], ...]  # start, end, predicate, polarity
+    numbers: tuple[Found, ...]
+    measures: tuple[tuple[str, float, str], ...]  # category, value and unit, each once
+    predicates: tuple[tuple[int, int, str, bool], ...]  # start, end, predicate, polarity
+    antonyms: tuple[tuple[int, int, str, bool], ...]
     claims: tuple[tuple[int, int, str], ...]  # start, end, what is claimed
     polarities: tuple[tuple[str, bool], ...]
     links: bool  # whether there may be a causal link
-    digits: bool  # whether there are digits other than 0 to 9
+    torn: bool  # whether a unit may go on after the clause
 
 
+#: What ends a clause, and what does not, with the mark that texts are cut at.
+CUTS = ((", ", ",\0"), (". ", ".\0"), ("рт.\0ст", "рт. ст"))
 #: Longer clauses hardly repeat and are not kept, so that what is kept stays some tens of MB.
 _KEPT = 200
 
 
 @lru_cache(1 << 16)
-def _clause(folded: str) -> _Clause | None:
-    """The clause's facts, None where there are none. Clauses repeat within and between texts; each is searched once while it is kept."""
-    predicates = tuple((m.start(), m.end(), m.start(m.lastindex or 0), m.lastindex is None) for m in _PREDICATE.finditer(folded))
+def _clause(text: str) -> Clause | None:
+    """The clause's facts, None where there are none. Clauses repeat within and between texts; each is searched once while it is kept.
+
+    A label ends at a clause's beginning, so it is told here; what else stands
+    left of a fact is not.
+    """
+    folded, _ = fold(text)
+    numbers = []
+    for m in (_UNIT if _OTHER_DIGIT.search(folded) else _UNIT_PLAIN).finditer(folded):
+        start, end = m.span()
+        at, name = m.start("unit"), label(text[max(0, start - lx.LABEL_WINDOW) : start].lower())
+        numbers.append(Found(start, end, at, _value(m["value"]), *_unit(text[at:end]), name, label_key(name)))
+    predicates = tuple((m.start(), m.end(), text[m.start(m.lastindex or 0) : m.end()].lower()[:6], m.lastindex is None) for m in _PREDICATE.finditer(folded))
     antonyms = tuple((m.start(), m.end(), *_ANTONYM_OF[m.lastindex - 1]) for m in _ANTONYM.finditer(folded))
     claims = tuple((m.start(), m.end(), _CLAIM_OF[m.lastindex - 1]) for m in _CLAIM.finditer(folded))
-    polarities = tuple(dict.fromkeys([*((folded[at:end][:6], polarity) for _, end, at, polarity in predicates), *((name, polarity) for _, _, name, polarity in antonyms)]))
-    links, digits = any(stem in folded for stem in lx.CAUSAL_STEMS), any(c.isdecimal() and c > "9" for c in folded)
-    return _Clause(predicates, antonyms, claims, polarities, links, digits) if polarities or claims or links or digits else None
+    polarities = tuple(dict.fromkeys(own[2:] for own in (*predicates, *antonyms)))
+    links, torn = any(stem in folded for stem in lx.CAUSAL_STEMS), folded.endswith("рт.")
+    return Clause(tuple(numbers), tuple(dict.fromkeys((own.category, own.value, own.unit) for own in numbers)), predicates, antonyms, claims, polarities, links, torn) if numbers or polarities or claims or links or torn else None
+
+
+def clause(text: str) -> Clause | None:
+    return (_clause if len(text) <= _KEPT else _clause.__wrapped__)(text)
 
 
 class Read(NamedTuple):
-    """A text as it is searched: folded for the patterns, in small letters to cut pieces from (None where pieces must be put in small letters each for itself), and its clauses that state something, with their places."""
+    """The clauses of a text that hold something, with their places, and whether any has a claim or may have a causal link."""
 
-    folded: str
-    low: str | None
-    clauses: list[tuple[int, _Clause]]
+    clauses: list[tuple[int, Clause]]
+    claims: bool = False
+    links: bool = False
 
 
 def read(text: str | None) -> Read:
-    """A text's clauses end at full stops and commas, which the patterns of statements, claims and links do not cross."""
-    folded, plain = fold(text or "")
-    clauses, at = [], 0
-    for piece in folded.replace(",", ".").split("."):
-        if (own := (_clause if len(piece) <= _KEPT else _clause.__wrapped__)(piece)) is not None:
+    """A text's clauses end at a full stop or comma before a space, which no pattern crosses but that of "мм рт. ст."; where such a unit is not written just so, and in texts with the mark that ends clauses here, the text is one clause."""
+    if not text:
+        return Read([])
+    clauses, at, torn, claims, links = [], 0, "\0" in text, False, False
+    cut = text
+    for written, marked in CUTS:
+        cut = cut.replace(written, marked)
+    for piece in cut.split("\0"):
+        if (own := clause(piece)) is not None:
             clauses.append((at, own))
+            torn, claims, links = torn or own.torn, claims or bool(own.claims), links or own.links
         at += len(piece) + 1
-    return Read(folded, folded if plain else None, clauses)
+    if torn:
+        own = _clause.__wrapped__(text)
+        return Read([(0, own)], bool(own.claims), own.links) if own is not None else Read([])
+    return Read(clauses, claims, links)
 
 
 def numbers(text: str | None, own: Read | None = None) -> list[Number]:
     """Numbers with units in text order. Null texts have none. own: the text as read, where it is known."""
-    if not text:
-        return []
-    folded, low, clauses = own or read(text)
-    return [Number(text, low, m) for m in (_UNIT if any(c.digits for _, c in clauses) else _UNIT_PLAIN).finditer(folded)]
+    return [Number(text, at, number) for at, c in (own or read(text)).clauses for number in c.numbers]
 
 
-def statements(text: str | None, own: Read | None = None) -> list[Statement]:
-    """Predicates with or without a negation in text order, then antonyms in text order. One phrase may give both."""
-    if not text:
-        return []
-    _, low, clauses = own or read(text)
-    named = lambda at, end: text[at:end].lower()[:6]
-    plain = [Statement(text, low, k + start, k + end, named(k + at, k + end), polarity) for k, c in clauses for start, end, at, polarity in c.predicates]
-    return plain + [Statement(text, low, k + start, k + end, name, polarity) for k, c in clauses for start, end, name, polarity in c.antonyms]
+def statements(text: str | None, own: Read | None = None, of: Collection[str] | None = None) -> list[Statement]:
+    """Predicates with or without a negation in text order, then antonyms in text order, of some predicates or of all. One phrase may give both."""
+    clauses = (own or read(text)).clauses
+    found = [(k, s) for k, c in clauses for s in c.predicates] + [(k, s) for k, c in clauses for s in c.antonyms]
+    return [Statement(text, k + start, k + end, name, polarity) for k, (start, end, name, polarity) in found if of is None or name in of]
 
 
-def stated(text: str | None, own: Read) -> list[str]:
+def stated(own: Read) -> list[str]:
     """The predicates of statements, each once."""
-    if own.low is None:  # names are those of the text as it is
-        return list(dict.fromkeys(f.predicate for f in statements(text, own)))
     return list(dict.fromkeys(name for _, c in own.clauses for name, _ in c.polarities))
 
 
-def may_link(own: Read) -> bool:
-    """False only for texts without any causal link."""
-    return any(c.links for _, c in own.clauses)
-
-
 def _part(kind: ArrayType, fields: tuple[str, ...]) -> ArrayType:
     return ArrayType(StructType([kind.elementType[f] for f in fields])) if fields else kind
 
@@ -279,19 +295,22 @@ def polarity_facts(texts: pa.Array) -> pa.Array:
     return _lists([statements(text) for text in texts.to_pylist()], STATEMENTS)
 
 
-@F.arrow_udf(CLAIMS)
-def claims(texts: pa.Array) -> pa.Array:
-    """Judging words with a value right after them."""
-
-    def claimed(text: str | None) -> list[dict]:
-        out = []
-        for start, end, name in ((k + start, k + end, name) for k, c in read(text).clauses for start, end, name in c.claims):
-            if v := _VALUE.match(text[end : end + lx.CLAIM_WINDOW]):
-                fragment = re.sub(r"\s+", " ", f"{text[start:end]} {v[0]}".strip())[:48]
-                out.append({"claimed": name, "value": float(v[1].replace(",", ".")), "second": float(v[2]) if v[2] else None, "unit": re.sub(r"\s+", "", (v[3] or "").lower()), "fragment": fragment})
+def claimed(text: str | None, own: Read | None = None) -> list[dict]:
+    """Judging words with a value right after them. own: the text as read, where it is known."""
+    own, out = own or read(text), []
+    if not own.claims:
         return out
+    for start, end, name in ((k + start, k + end, name) for k, c in own.clauses for start, end, name in c.claims):
+        if v := _VALUE.match(text[end : end + lx.CLAIM_WINDOW]):
+            fragment = re.sub(r"\s+", " ", f"{text[start:end]} {v[0]}".strip())[:48]
+            out.append({"claimed": name, "value": float(v[1].replace(",", ".")), "second": float(v[2]) if v[2] else None, "unit": re.sub(r"\s+", "", (v[3] or "").lower()), "fragment": fragment})
+    return out
 
-    return pa.array([claimed(text) for text in texts.to_pylist()], _CLAIM_ARROW)
+
+@F.arrow_udf(CLAIMS)
+def claims(texts: pa.Array) -> pa.Array:
+    """claimed of each text."""
+    return pa.array([claimed(text) for text in texts.to_pylist()], CLAIM_ARROW)
 
 
 def causal_links(text: Column) -> Column:
@@ -317,5 +336,10 @@ def true_polarity(value: Column, second: Column, unit: Column) -> Column:
 
 def contradictions(text: Column) -> Column:
     """array<struct<claimed, actual, fragment>>: judging words whose value's reference range says otherwise."""
-    told = F.transform(claims(text), lambda c: F.struct(c["claimed"].alias("claimed"), true_polarity(c["value"], c["second"], c["unit"]).alias("actual"), c["fragment"].alias("fragment")))
+    return contradicted(claims(text))
+
+
+def contradicted(found: Column) -> Column:
+    """Those of the claims found that are contradictions."""
+    told = F.transform(found, lambda c: F.struct(c["claimed"].alias("claimed"), true_polarity(c["value"], c["second"], c["unit"]).alias("actual"), c["fragment"].alias("fragment")))
     return F.filter(told, lambda c: c["actual"] != c["claimed"])

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from .. import lexicons as lx
 from . import entities
-from .compare import compare, flags
+from .compare import compare, flags, wrongs
 
 
 def objective_report(pairs: DataFrame, source: str = "source_text", summary: str = "summary_text") -> DataFrame:
@@ -24,10 +24,23 @@ def objective_report(pairs: DataFrame, source: str = "source_text", summary: str
         done = entities.compared(done, source, summary)
     else:
         done = done.withColumn("entities", F.lit(None).cast(entities.ENTITIES))
-    return done.withColumns({"findings": findings(F.col("objective"), F.col("entities")), "signals": signals(F.col("objective"), F.col("entities"))})
+    missing = F.flatten(F.transform("entities", lambda e: F.transform(e["missing"], lambda name: F.struct(e["category"].alias("category"), name.alias("name")))))
+    return done.withColumns({"findings": findings(F.col("objective"), missing), "signals": signals(F.col("objective"), entities.changed(F.col("entities")))})
 
 
-def findings(objective: Column, found: Column) -> Column:
+def alarms(pairs: DataFrame, source: str = "source_text", summary: str = "summary_text") -> DataFrame:
+    """pairs with the findings and signals of objective_report alone.
+
+    What is right is neither matched nor told, and all is found in one pass over the texts.
+    """
+    if {"entities_a", "entities_b"} <= set(pairs.columns):
+        done, missing, changed = wrongs(pairs, source, summary, _lost=entities.lost_names(source, summary)), F.col("_lost.missing"), F.col("_lost.changed")
+    else:
+        done, missing, changed = wrongs(pairs, source, summary), F.lit(None).cast("array<struct<category:string,name:string>>"), F.lit(None).cast("boolean")
+    return done.withColumns({"findings": findings(F.col("objective"), missing), "signals": signals(F.col("objective"), changed)}).drop("objective", "_lost")
+
+
+def findings(objective: Column, missing: Column) -> Column:
     """array<struct<kind, told>>: what a judge must weigh. Extra entities are none, as a good summary may name what its source describes."""
 
     def rows(kind: str, items: Column, *parts) -> Column:
@@ -39,7 +52,6 @@ def findings(objective: Column, found: Column) -> Column:
 
     number, polarity, causality = objective["numeric"], objective["polarity"], objective["causality"]
     markers = F.when(causality["introduced"] > 0, F.array(F.array_join(causality["introduced_markers"], ", "))).otherwise(F.array().cast("array<string>"))
-    missing = F.flatten(F.transform(found, lambda e: F.transform(e["missing"], lambda name: F.struct(e["category"].alias("category"), name.alias("name")))))
     none = F.array().cast("array<struct<kind:string,told:string>>")
     return F.concat(
         cited("number", number["mismatches"], number["mismatch_contexts"]),
@@ -51,9 +63,9 @@ def findings(objective: Column, found: Column) -> Column:
     )
 
 
-def signals(objective: Column, found: Column) -> Column:
+def signals(objective: Column, changed: Column) -> Column:
     """The kinds of finding that the rules caught, in the order of lexicons.SIGNALS."""
-    caught = flags(objective) | {"caught_entity": F.coalesce(entities.changed(found), F.lit(False))}
+    caught = flags(objective) | {"caught_entity": F.coalesce(changed, F.lit(False))}
     return F.array_compact(F.array(*(F.when(caught[f"caught_{s}"], s) for s in lx.SIGNALS)))
 
 
