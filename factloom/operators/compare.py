@@ -355,16 +355,17 @@ def wrong(source: pa.Array, summary: pa.Array) -> pa.Array:
     near = lambda f: f.context[-lx.FINDING_WINDOW :]
     phrase = lambda a, b: f"{a.raw} → {b.raw}"
     may = suspects(source, summary)
-    compared_ = may.compared.tolist()
+    of = list(zip(may.numbers.tolist(), may.units.tolist(), may.polarities.tolist(), strict=True))
     found: list[list] = [[] for _ in range(7)]
     counts = np.zeros((7, len(source)), np.int32)
     for k in may.places():
-        a, x = may.texts.read(k) if compared_[k] else (None, Read([]))
+        by_number, by_unit, by_polarity = of[k]
+        a, x = may.texts.read(k) if by_number or by_unit or by_polarity else (None, Read([]))
         b, y = may.texts.read(len(source) + k)
-        measures = _measures(x, y) if may.numbers[k] or may.units[k] else set()
-        moved = wrong_numbers(a, b, x, y, measures) if may.numbers[k] else []
-        own, units = wrong_units(a, b, x, y, measures) if may.units[k] else ([], [])
-        turned = flipped(a, b, x, y) if may.polarities[k] else []
+        measures = _measures(x, y) if by_number or by_unit else set()
+        moved = wrong_numbers(a, b, x, y, measures) if by_number else []
+        own, units = wrong_units(a, b, x, y, measures) if by_unit else ([], [])
+        turned = flipped(a, b, x, y) if by_polarity else []
         told = [[phrase(*p) for p in moved], [near(f) for f, _ in moved], [f"{p} → {q}" for p, q, _ in units], [near(own[i]) for _, _, i in units], [phrase(*p) for p in turned], [near(f) for f, _ in turned], claimed(b, y)]
         for own_column, rows in zip(found, told, strict=True):
             own_column += rows

@@ -146,7 +146,10 @@ class _Text:
         return not _TOKEN.search(self.low)
 
     def has_all(self, names: list[_Name]) -> bool:
-        return all(self.holds(own.asked) for own in names if own.normal is not None)
+        for own in names:
+            if own.normal is not None and not self.holds(own.asked):
+                return False
+        return True
 
     def has(self, name: str) -> bool:
         """present, of one name."""
@@ -274,8 +277,12 @@ def lost(names_a: pa.Array, names_b: pa.Array, source: pa.Array, summary: pa.Arr
     a, b = _Column(names_a), _Column(names_b)
     missing, ends, changed_ = [], [0], []
     for k, (x, y) in enumerate(zip(map(_Text, source.to_pylist()), map(_Text, summary.to_pylist()), strict=True)):
-        own = () if y.has_all(a.all(k)) and x.has_all(b.all(k)) else _told(a.by_category(k), b.by_category(k), x, y)
-        missing += ((category, name) for category, t in zip(lx.ENTITY_CATEGORIES, own) for name in t[3])
+        if y.has_all(a.all(k)) and x.has_all(b.all(k)):
+            ends.append(len(missing))
+            changed_.append(False)
+            continue
+        own = _told(a.by_category(k), b.by_category(k), x, y)
+        missing += ((category, name) for category, t in zip(lx.ENTITY_CATEGORIES, own, strict=True) for name in t[3])
         changed_.append(any(_of_substance(name) for t in own for name in (*t[3], *t[4])))
         ends.append(len(missing))
     named = pa.StructArray.from_arrays([pa.array([m[k] for m in missing], pa.string()) for k in (0, 1)], ["category", "name"])

@@ -24,20 +24,15 @@ class Suspects(NamedTuple):
     links_a: np.ndarray
     links_b: np.ndarray
 
-    @property
-    def compared(self) -> np.ndarray:
-        """Where a summary's facts must be compared with its source's."""
-        return self.numbers | self.units | self.polarities
-
     def places(self) -> list[int]:
-        return np.flatnonzero(self.compared | self.claims).tolist()
+        return np.flatnonzero(self.numbers | self.units | self.polarities | self.claims).tolist()
 
 
 class _Texts:
     """The sources and then the summaries of a batch, as facts.read reads them: row, place and number of each clause that holds something."""
 
     def __init__(self, source: pa.Array, summary: pa.Array):
-        self.texts = cut = pc.fill_null(pa.concat_arrays([source, summary]), "")
+        self.texts = cut = pc.fill_null(pa.concat_arrays([side.cast(pa.large_string()) for side in (source, summary)]), "")  # both may be over 2 GB
         for written, marked in CUTS:
             cut = pc.replace_substring(cut, written, marked)
         parts = pc.split_pattern(cut, "\0")
@@ -48,9 +43,12 @@ class _Texts:
         first = np.concatenate([[0], ends])[np.cumsum(count) - count]
         row, place = np.repeat(np.arange(len(count)), count), np.concatenate([[0], ends[:-1]]) if len(ends) else ends
         kept = self._test(lambda c: True)[own]
-        self.row, self.own, self.place = row[kept], own[kept], (place - np.repeat(first, count))[kept]
+        self.row, self.own, place = row[kept], own[kept], (place - np.repeat(first, count))[kept]
         self.at = np.searchsorted(self.row, np.arange(len(count) + 1)).tolist()
+        self.held = list(zip(place.tolist(), map(self.clauses.__getitem__, self.own.tolist()), strict=True))
         self.whole = self.marked_by(lambda c: c.torn) | pc.match_substring(self.texts, "\0").to_numpy(zero_copy_only=False)
+        self.claims, self.links = self.marked_by(lambda c: bool(c.claims)), self.marked_by(lambda c: c.links)
+        self.marks = list(zip(self.whole.tolist(), self.claims.tolist(), self.links.tolist(), strict=True))
 
     def _test(self, test: Callable[[Clause], bool]) -> np.ndarray:
         return np.array([c is not None and test(c) for c in self.clauses], bool)
@@ -70,12 +68,8 @@ class _Texts:
         return np.repeat(self.row, count), flat[at]
 
     def read(self, row: int) -> tuple[str, Read]:
-        text = self.texts[row].as_py()
-        if self.whole[row]:
-            return text, read(text)
-        held = slice(self.at[row], self.at[row + 1])
-        clauses = [(at, self.clauses[k]) for at, k in zip(self.place[held].tolist(), self.own[held].tolist(), strict=True)]
-        return text, Read(clauses, any(c.claims for _, c in clauses), any(c.links for _, c in clauses))
+        text, (whole, claims, links) = self.texts[row].as_py(), self.marks[row]
+        return text, read(text) if whole else Read(self.held[self.at[row] : self.at[row + 1]], claims, links)
 
 
 class _Ids(dict):
@@ -121,6 +115,5 @@ def suspects(source: pa.Array, summary: pa.Array) -> Suspects:
     stated, told = texts.facts(lambda c: ((predicates[name], polarity) for name, polarity in c.polarities), 2)
     turned = _several(n, stated % n if n else stated, told[:, 0], told[:, 1])
     whole = texts.whole[:n] | texts.whole[n:]
-    links = texts.marked_by(lambda c: c.links)
-    claims = texts.marked_by(lambda c: bool(c.claims))[n:]
+    links, claims = texts.links, texts.claims[n:]
     return Suspects(texts, moved | whole, _several(n, pair, number[:, 3], number[:, 4]) | whole, turned | whole, claims | whole, links[:n] | whole, links[n:] | whole)
